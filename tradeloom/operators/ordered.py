@@ -44,28 +44,17 @@ def running_count(frame: DataFrame, keys: Sequence[str], order: str, weight: str
     )
 
 
-def mark_hot_blocks(
-    frame: DataFrame, keys: Sequence[str], block: Column, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Adds `_block`: NULL for ordinary keys, `block` for keys with too many rows.
+def hot_keys(frame: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with too many rows for one task, as a written table of `_hot_<key>` columns.
 
-    `block` must grow with the order the caller is going to use. Windows over
-    (keys, _block) then stay small: a hot key is spread over its blocks, all other
-    keys remain whole.
+    Rows are counted per key before they are shuffled. Fewer than HOT_SHARE keys
+    can pass the filter, so the table may be broadcast.
     """
     sizes = frame.groupBy(*keys).count()
     total = sizes.agg(F.sum("count")).scalar()
-    hot = (
-        sizes.filter(F.col("count") > F.greatest(F.lit(hot_rows), F.floor(total / HOT_SHARE)))
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias("_hot"))
-    )
-    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    # Bounded: fewer than HOT_SHARE keys pass the filter.
-    return (
-        frame.join(F.broadcast(hot), same, "left")
-        .withColumn("_block", F.when(F.col("_hot"), block))
-        .drop("_hot", *[f"_hot_{k}" for k in keys])
-    )
+    enough = F.greatest(F.lit(hot_rows), F.floor(total / HOT_SHARE))
+    hot = sizes.filter(F.col("count") > enough).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    return materialize(hot, "hot-keys")
 
 
 def floored_running_sums(
@@ -80,44 +69,66 @@ def floored_running_sums(
 
     A sum floored at zero after each step equals S - min(0, lowest S so far) with
     S the plain running sum, so two running window functions replace the loop.
-    Blocks of a hot key take over S and its lowest value from the earlier blocks.
+
+    Ordinary keys are windows of their own. A hot key is cut into the blocks given
+    by `block`, an expression that grows with `order`; each block takes over S and
+    its lowest value from the earlier blocks of the key. `frame` is read more than
+    once and should be a table.
     """
-    names = list(deltas)
-    marked = mark_hot_blocks(frame, keys, block, hot_rows)
-    marked = marked.withColumns({f"_d_{n}": deltas[n] for n in names})
-    running = (
-        Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    plain = {n: F.col(f"_s_{n}") - F.least(F.lit(0), F.col(f"_m_{n}")) for n in deltas}
+    hot = hot_keys(frame, keys, hot_rows)
+    if hot.isEmpty():
+        return _running(frame, keys, order, deltas).select(*frame.columns, *_named(plain))
+
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    ordinary = _running(frame.join(F.broadcast(hot), same, "left_anti"), keys, order, deltas)
+    busy = frame.join(F.broadcast(hot), same, "left_semi").withColumn("_block", block)
+    busy = _carried(_running(busy, [*keys, "_block"], order, deltas), keys, list(deltas))
+    # least skips NULLs, so the first block has no earlier floor to regard.
+    taken_over = {
+        n: F.col(f"_o_{n}")
+        + F.col(f"_s_{n}")
+        - F.least(F.lit(0), F.col(f"_o_{n}") + F.col(f"_m_{n}"), F.col(f"_f_{n}"))
+        for n in deltas
+    }
+    return ordinary.select(*frame.columns, *_named(plain)).unionByName(
+        busy.select(*frame.columns, *_named(taken_over))
     )
-    summed = marked.withColumns({f"_s_{n}": F.sum(f"_d_{n}").over(running) for n in names})
-    summed = summed.withColumns({f"_m_{n}": F.min(f"_s_{n}").over(running) for n in names})
-
-    per_block = (
-        summed.filter(F.col("_block").isNotNull())
-        .groupBy(*keys, "_block")
-        .agg(
-            *[F.sum(f"_d_{n}").alias(f"_t_{n}") for n in names],
-            *[F.min(f"_s_{n}").alias(f"_l_{n}") for n in names],
-        )
+
+
+def _named(columns: Mapping[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
+
+def _running(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], deltas: Mapping[str, Column]
+) -> DataFrame:
+    """Adds the running sum _s and the lowest running sum so far _m of each delta _d."""
+    along = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        frame.withColumns({f"_d_{n}": delta for n, delta in deltas.items()})
+        .withColumns({f"_s_{n}": F.sum(f"_d_{n}").over(along) for n in deltas})
+        .withColumns({f"_m_{n}": F.min(f"_s_{n}").over(along) for n in deltas})
     )
+
+
+def _carried(blocks: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Adds what each block takes over: _o, the sum, and _f, the lowest sum, of the earlier ones."""
+    per_block = blocks.groupBy(*keys, "_block").agg(
+        *[F.sum(f"_d_{n}").alias(f"_t_{n}") for n in names],
+        *[F.min(f"_s_{n}").alias(f"_l_{n}") for n in names],
+    )
+    # One row per hot key and block.
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_block.withColumns(
+    sums = per_block.withColumns(
         {f"_o_{n}": F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)) for n in names}
     )
-    carried = carried.withColumns(
+    floors = sums.withColumns(
         {f"_f_{n}": F.min(F.col(f"_o_{n}") + F.col(f"_l_{n}")).over(earlier) for n in names}
     ).select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.col("_block").alias("_c_block"),
+        *[F.col(c).alias(f"_c_{c}") for c in [*keys, "_block"]],
         *[f"_o_{n}" for n in names],
         *[f"_f_{n}" for n in names],
     )
-    match = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys]
-    joined = summed.join(carried, [*match, F.col("_block") == F.col("_c_block")], "left")
-
-    def held(n: str) -> Column:
-        offset = F.coalesce(f"_o_{n}", F.lit(0))
-        total = offset + F.col(f"_s_{n}")
-        # least skips NULLs, so the first block has no earlier floor to regard.
-        return total - F.least(F.lit(0), offset + F.col(f"_m_{n}"), F.col(f"_f_{n}"))
-
-    return joined.select(*frame.columns, *[held(n).alias(n) for n in names])
+    match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in [*keys, "_block"]]
+    return blocks.join(floors, match, "left")

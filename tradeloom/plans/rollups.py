@@ -130,8 +130,13 @@ def holiday_stats(fact: DataFrame) -> DataFrame:
     )
     mean = lambda status: F.max(F.when(F.col("status") == status, F.col("avg_amount")))
     means = stats.agg(F.struct(mean("Holiday").alias("h"), mean("Non-Holiday").alias("n"))).scalar()
-    apart = F.try_divide(means["h"] - means["n"], means["n"]) * 100
-    return stats.withColumn("difference_percent", F.round(apart, 6))
+    m = F.col("_means")
+    apart = F.try_divide(m["h"] - m["n"], m["n"]) * 100
+    return (
+        stats.withColumn("_means", means)
+        .withColumn("difference_percent", F.round(apart, 6))
+        .drop("_means")
+    )
 
 
 @reads("stock_sector", *MEASURES)
@@ -170,12 +175,13 @@ def sector_minmax(fact: DataFrame) -> DataFrame:
             *[F.max(c).cast("double").alias(f"{c}_high") for c in names],
         )
     ).scalar()
+    s = F.col("_span")
     scaled = []
     for c in names:
-        low, width = span[f"{c}_low"], span[f"{c}_high"] - span[f"{c}_low"]
+        low, width = s[f"{c}_low"], s[f"{c}_high"] - s[f"{c}_low"]
         value = F.when(width == 0, 0.0).otherwise(F.try_divide(F.col(c) - low, width))
         scaled.append(F.round(value, 6).alias(c))
-    return metrics.filter(span["n"] >= 3).select("sector", *scaled)
+    return metrics.withColumn("_span", span).filter(s["n"] >= 3).select("sector", *scaled)
 
 
 @reads("stock_liquidity_tier", "timestamp", *MEASURES)
@@ -296,12 +302,15 @@ def customer_histogram(fact: DataFrame, bins: int = 50) -> DataFrame:
     """Customers per equal-width bin of their total amount; empty bins show 0."""
     totals = _by(fact, "customer_id", total=sum_or_zero("total_trade_amount"))
     ends = totals.agg(F.struct(F.min("total").alias("low"), F.max("total").alias("high"))).scalar()
-    low, width = ends["low"], (ends["high"] - ends["low"]) / bins
+    e = F.col("_ends")
+    low, width = e["low"], (e["high"] - e["low"]) / bins
     position = F.coalesce(F.floor(F.try_divide(F.col("total") - low, width)), F.lit(0))
-    counted = totals.groupBy(F.least(position, F.lit(bins - 1)).alias("bin")).agg(
+    counted = totals.withColumn("_ends", ends).groupBy(F.least(position, F.lit(bins - 1)).alias("bin")).agg(
         F.count("*").alias("customers")
     )
-    every_bin = fact.sparkSession.range(0, bins, numPartitions=1).withColumnRenamed("id", "bin")
+    every_bin = fact.sparkSession.range(0, bins, numPartitions=1).select(
+        F.col("id").alias("bin"), ends.alias("_ends")
+    )
     return every_bin.join(counted, "bin", "left").select(
         "bin",
         F.round(low + width * F.col("bin"), 4).alias("lower"),
