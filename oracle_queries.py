@@ -11,7 +11,7 @@ STAR = f"""
 trades AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
                    CAST(round(l_extendedprice * 100) AS BIGINT), CAST(l_quantity AS BIGINT),
-                   strftime(l_shipdate, '%Y%m%d')) AS transaction_id,
+                   strftime(l_shipdate, '%Y-%m-%d')) AS transaction_id,
          'STK' || lpad(CAST(l_partkey AS VARCHAR), 12, '0') AS stock_ticker,
          CASE WHEN l_returnflag = 'R' THEN 'SELL' ELSE 'BUY' END AS transaction_type,
          CAST(l_quantity AS BIGINT) AS quantity,
@@ -220,7 +220,7 @@ def treated(change: str, digits: int) -> str:
     columns = ["stock_price", "total_trade_amount"]
     params = "params AS (SELECT * FROM judged JOIN moments USING (column_name))"
     selected = ", ".join(
-        f"round(CASE WHEN p{i}.flagged THEN {change.replace('{x}', f's.{c}').replace('{p}', f'p{i}')} ELSE s.{c} END, {digits}) AS {c}"
+        f"round(CASE WHEN p{i}.flagged THEN {change.replace("{x}", f"s.{c}").replace("{p}", f"p{i}")} ELSE s.{c} END, {digits}) + 0 AS {c}"
         for i, c in enumerate(columns)
     )
     joins = " ".join(f"JOIN params p{i} ON p{i}.column_name = '{c}'" for i, c in enumerate(columns))

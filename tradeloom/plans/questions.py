@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.columns import day_name, exact_avg, exact_sum
+from tradeloom.functions.columns import day_name, exact_avg, exact_avg_sql, exact_sum, exact_sum_sql
 from tradeloom.plans.reads import reads
 
 
@@ -126,7 +126,11 @@ def transaction_types(stocks: DataFrame) -> DataFrame:
 
 # --- SQL questions -------------------------------------------------------------
 
-# Money is summed as DECIMAL for the reason given in functions/columns.py.
+_AMOUNT = exact_sum_sql("total_trade_amount")
+_MEAN = exact_avg_sql("total_trade_amount")
+_BOUGHT = exact_sum_sql("case when transaction_type = 'BUY' then total_trade_amount else 0 end")
+_SOLD = exact_sum_sql("case when transaction_type = 'SELL' then total_trade_amount else 0 end")
+
 TOP_TICKERS = """
 select stock_ticker, sum(quantity) as total_quantity
 from {stocks}
@@ -135,72 +139,66 @@ order by total_quantity desc, stock_ticker
 limit 5
 """
 
-AVERAGE_BY_ACCOUNT = """
+AVERAGE_BY_ACCOUNT = f"""
 select customer_account_type,
-       cast(sum(cast(total_trade_amount as decimal(18, 4))) as double) / count(total_trade_amount)
-         as avg_trade_amount,
+       {_MEAN} as avg_trade_amount,
        count(*) as transaction_count
-from {stocks}
+from {{stocks}}
 group by customer_account_type
 order by avg_trade_amount desc, customer_account_type
 """
 
-HOLIDAYS_AGAINST_REST = """
+HOLIDAYS_AGAINST_REST = f"""
 select case when is_holiday then 'Holiday' else 'Non-Holiday' end as period_type,
        count(*) as transaction_count,
-       cast(sum(cast(total_trade_amount as decimal(18, 4))) as double) as total_trade_amount
-from {stocks}
+       {_AMOUNT} as total_trade_amount
+from {{stocks}}
 group by is_holiday
 order by is_holiday desc
 """
 
-HOLIDAY_FLAG_COUNTS = """
-select is_holiday, count(*) as transactions_count from {stocks} group by is_holiday
+HOLIDAY_FLAG_COUNTS = f"""
+select is_holiday, count(*) as transactions_count from {{stocks}} group by is_holiday
 """
 
-WEEKEND_SECTORS = """
+WEEKEND_SECTORS = f"""
 select stock_sector,
        sum(quantity) as total_weekend_volume,
        count(*) as weekend_transactions,
-       cast(sum(cast(total_trade_amount as decimal(18, 4))) as double) as total_weekend_value
-from {stocks}
+       {_AMOUNT} as total_weekend_value
+from {{stocks}}
 where is_weekend
 group by stock_sector
 order by total_weekend_volume desc, stock_sector
 """
 
-LIQUIDITY_BY_TYPE = """
+LIQUIDITY_BY_TYPE = f"""
 select stock_liquidity_tier, transaction_type,
-       cast(sum(cast(total_trade_amount as decimal(18, 4))) as double) as total_amount,
+       {_AMOUNT} as total_amount,
        count(*) as transaction_count,
-       cast(sum(cast(total_trade_amount as decimal(18, 4))) as double) / count(total_trade_amount)
-         as avg_amount
-from {stocks}
+       {_MEAN} as avg_amount
+from {{stocks}}
 group by stock_liquidity_tier, transaction_type
 order by stock_liquidity_tier, transaction_type
 """
 
-LIQUIDITY_BUY_SELL = """
+LIQUIDITY_BUY_SELL = f"""
 select stock_liquidity_tier,
-       cast(sum(case when transaction_type = 'BUY'
-                     then cast(total_trade_amount as decimal(18, 4)) else 0 end) as double) as buy_amount,
-       cast(sum(case when transaction_type = 'SELL'
-                     then cast(total_trade_amount as decimal(18, 4)) else 0 end) as double) as sell_amount
-from {stocks}
+       {_BOUGHT} as buy_amount,
+       {_SOLD} as sell_amount
+from {{stocks}}
 group by stock_liquidity_tier
 order by stock_liquidity_tier
 """
 
-LIQUIDITY_OVERVIEW = """
+LIQUIDITY_OVERVIEW = f"""
 select stock_liquidity_tier,
-       cast(sum(case when transaction_type = 'BUY'
-                     then cast(total_trade_amount as decimal(18, 4)) else 0 end) as double) as total_buy_amount,
-       cast(sum(case when transaction_type = 'SELL'
-                     then cast(total_trade_amount as decimal(18, 4)) else 0 end) as double) as total_sell_amount,
-       cast(sum(cast(total_trade_amount as decimal(18, 4))) as double) as total_amount,
+       {_BOUGHT} as total_buy_amount,
+       {_SOLD} as total_sell_amount,
+       {_AMOUNT} as total_amount,
        count(case when transaction_type = 'BUY' then 1 end) as buy_count,
        count(case when transaction_type = 'SELL' then 1 end) as sell_count
-from {stocks}
+from {{stocks}}
 group by stock_liquidity_tier
 order by total_amount desc, stock_liquidity_tier
 """

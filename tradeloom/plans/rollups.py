@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.columns import (
     count_or_zero,
     exact_avg,
+    exact_sum,
     holiday_label_or_null,
     sum_or_zero,
     weekday_position,
@@ -208,12 +209,12 @@ def _tree(fact: DataFrame, parent: str, child: str) -> DataFrame:
     leaves = (
         fact.dropna(subset=[parent, child])
         .groupBy(parent, child)
-        .agg(F.sum(F.col("total_trade_amount").cast("decimal(18,4)")).alias("amount"))
+        .agg(exact_sum("total_trade_amount").alias("amount"))
     )
     return (
         leaves.rollup(parent, child)
         .agg(
-            F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("total_amount"),
+            sum_or_zero("amount").alias("total_amount"),
             F.grouping_id().cast("bigint").alias("level"),
         )
         .select(parent, child, "level", "total_amount")

@@ -50,7 +50,7 @@ def ticker(part_key: str) -> Column:
 def price_ticks() -> Column:
     """Price per unit in 1/10 000, rounded half up in integers so it is exact."""
     return F.expr(
-        "(cast(round(l_extendedprice * 100) as bigint) * 200 + cast(l_quantity as bigint))"
+        "(floor(l_extendedprice * 100 + 0.5D) * 200 + cast(l_quantity as bigint))"
         " div nullif(2 * cast(l_quantity as bigint), 0)"
     )
 
@@ -63,9 +63,9 @@ def transaction_id() -> Column:
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        F.round(F.col("l_extendedprice") * 100).cast("bigint"),
+        F.floor(F.col("l_extendedprice") * 100 + 0.5),
         F.col("l_quantity").cast("bigint"),
-        F.date_format("l_shipdate", "yyyyMMdd"),
+        F.to_date("l_shipdate"),
     )
 
 

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_AMOUNT = "cast(sum(cast(total_trade_amount as decimal(18, 4))) as double)"
+from tradeloom.functions.columns import exact_avg_sql, exact_sum_sql
+
+_AMOUNT = exact_sum_sql("total_trade_amount")
 
 TEMPLATES: dict[str, str] = {
     "sector_volume": "select sum(quantity) as total_volume from {stocks} where stock_sector = :sector",
@@ -17,12 +19,11 @@ TEMPLATES: dict[str, str] = {
         "group by stock_ticker order by total_volume desc, stock_ticker limit 20"
     ),
     "sector_avg_price": (
-        "select stock_sector, cast(sum(cast(stock_price as decimal(18, 4))) as double)"
-        " / count(stock_price) as avg_price "
+        f"select stock_sector, {exact_avg_sql('stock_price')} as avg_price "
         "from {stocks} group by stock_sector order by avg_price desc, stock_sector"
     ),
     "account_avg_amount": (
-        f"select customer_account_type, {_AMOUNT} / count(total_trade_amount) as avg_amount "
+        f"select customer_account_type, {exact_avg_sql('total_trade_amount')} as avg_amount "
         "from {stocks} group by customer_account_type"
     ),
     "top10_customers": (
