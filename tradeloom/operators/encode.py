@@ -27,20 +27,15 @@ def fit_labels(
     values is spread over all tasks. Flags map to themselves.
     """
     labels = [c for c in columns if c in fact.columns]
-    present = [c for c in flags if c in fact.columns]
-    values = fact.select(F.inline(F.array(*[_entry(c, F.col(c)) for c in labels])))
+    bits = [c for c in flags if c in fact.columns]
+    entries = [_entry(c, F.col(c)) for c in labels] + [_entry(c, F.col(c).cast("int")) for c in bits]
+    values = fact.select(F.inline(F.array(*entries)))
     distinct = values.filter("original_value is not null").distinct().withColumn("n", F.lit(1))
     ranked = running_count(distinct, ["column_name"], "original_value", "n", "upto")
-    lookup = ranked.select(
-        "column_name", "original_value", (F.col("upto") - 1).cast("bigint").alias("encoded_value")
+    code = F.when(F.col("column_name").isin(bits), F.col("original_value").try_cast("bigint")).otherwise(
+        F.col("upto") - 1
     )
-    if present:
-        bits = fact.select(F.inline(F.array(*[_entry(c, F.col(c).cast("int")) for c in present])))
-        seen = bits.filter("original_value is not null").distinct()
-        lookup = lookup.unionByName(
-            seen.withColumn("encoded_value", F.col("original_value").cast("bigint"))
-        )
-    return lookup
+    return ranked.select("column_name", "original_value", code.cast("bigint").alias("encoded_value"))
 
 
 def fit_lookups(fact: DataFrame, path: str | None = None, **kinds) -> Lookups:

@@ -32,17 +32,23 @@ def fill_prices(long: DataFrame, method: str = "ffill") -> DataFrame:
     """
     by_date = Window.partitionBy("stock_ticker").orderBy("date")
     until = by_date.rowsBetween(Window.unboundedPreceding, 0)
-    onward = by_date.rowsBetween(0, Window.unboundedFollowing)
+    # The next value is the last one seen coming from the end: a running frame, where
+    # a frame up to the end would start over for each row.
+    onward = (
+        Window.partitionBy("stock_ticker")
+        .orderBy(F.desc("date"))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
     price = F.col("stock_price")
     if method in ("ffill", "bfill"):
-        last, first = F.last(price, True).over(until), F.first(price, True).over(onward)
+        last, first = F.last(price, True).over(until), F.last(price, True).over(onward)
         filled = F.coalesce(last, first) if method == "ffill" else F.coalesce(first, last)
         return long.withColumn("stock_price", filled)
     if method == "interpolate":
         numbered = long.withColumn("_at", F.row_number().over(by_date))
         known = F.when(price.isNotNull(), F.struct(F.col("_at").alias("at"), price.alias("price")))
         ends = numbered.withColumns(
-            {"_a": F.last(known, True).over(until), "_b": F.first(known, True).over(onward)}
+            {"_a": F.last(known, True).over(until), "_b": F.last(known, True).over(onward)}
         )
         a, b = F.col("_a"), F.col("_b")
         share = F.try_divide(F.col("_at") - a["at"], b["at"] - a["at"])

@@ -20,6 +20,7 @@ from tradeloom.functions.columns import (
     weekday_position,
     year_month,
 )
+from tradeloom.operators.ordered import HOT_ROWS, hot_keys
 from tradeloom.operators.quantiles import exact_quantiles
 from tradeloom.plans.reads import reads
 
@@ -347,38 +348,35 @@ def monthly_price(fact: DataFrame) -> DataFrame:
 
 
 @reads("stock_ticker", "stock_price", *MEASURES)
-def stock_stats(fact: DataFrame) -> DataFrame:
+def stock_stats(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mean, exact median and deviation per ticker.
 
-    The medians come from the distributed quantiles, so a ticker that holds a
-    third of all trades is not gathered in one task.
+    An ordinary ticker's median is an aggregate like the others. The values of a hot
+    ticker would not fit one task; they are ranked across tasks instead.
     """
     known = fact.dropna(subset=["stock_ticker"])
-    means = _by(
-        known,
-        "stock_ticker",
-        stock_price_mean=exact_avg("stock_price"),
-        stock_price_std=F.round(F.stddev_samp("stock_price"), 4),
-        quantity_mean=exact_avg("quantity"),
-        total_trade_amount_mean=exact_avg("total_trade_amount"),
-    )
     measured = ["stock_price", "quantity", "total_trade_amount"]
-    halves = exact_quantiles(known, ["stock_ticker"], measured, {"median": 0.5})
-    medians = halves.groupBy("stock_ticker").agg(
-        *[
-            F.max(F.when(F.col("column_name") == c, F.col("median"))).alias(f"{c}_median")
-            for c in measured
-        ]
+    moments = {
+        "stock_price_mean": exact_avg("stock_price"),
+        "stock_price_std": F.round(F.stddev_samp("stock_price"), 4),
+        "quantity_mean": exact_avg("quantity"),
+        "total_trade_amount_mean": exact_avg("total_trade_amount"),
+    }
+    medians = {f"{c}_median": F.median(c) for c in measured}
+    shown = ["stock_ticker", *[f"{c}_{m}" for c in measured for m in ("mean", "median")], "stock_price_std"]
+    hot = hot_keys(known, ["stock_ticker"], hot_rows)
+    if hot.isEmpty():
+        return _by(known, "stock_ticker", **moments, **medians).select(*shown)
+
+    same = F.col("stock_ticker") == F.col("_hot_stock_ticker")
+    ordinary = _by(known.join(F.broadcast(hot), same, "left_anti"), "stock_ticker", **moments, **medians)
+    busy = known.join(F.broadcast(hot), same, "left_semi")
+    halves = exact_quantiles(busy, ["stock_ticker"], measured, {"median": 0.5})
+    ranked = halves.groupBy("stock_ticker").agg(
+        *[F.max(F.when(F.col("column_name") == c, F.col("median"))).alias(f"{c}_median") for c in measured]
     )
-    return means.join(medians, "stock_ticker", "left").select(
-        "stock_ticker",
-        "stock_price_mean",
-        "stock_price_median",
-        "stock_price_std",
-        "quantity_mean",
-        "quantity_median",
-        "total_trade_amount_mean",
-        "total_trade_amount_median",
+    return ordinary.select(*shown).unionByName(
+        _by(busy, "stock_ticker", **moments).join(ranked, "stock_ticker", "left").select(*shown)
     )
 
 
