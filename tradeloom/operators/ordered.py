@@ -16,9 +16,13 @@ HOT_ROWS = 1_000_000
 HOT_SHARE = 100_000
 
 
-def running_count(frame: DataFrame, keys: Sequence[str], order: str, weight: str, out: str) -> DataFrame:
+def running_count(
+    frame: DataFrame, keys: Sequence[str], order: str, weight: str, out: str, total: str = "total"
+) -> DataFrame:
     """Running sum of `weight` inside each key along `order`, split across tasks.
 
+    Adds the running sum as `out` and the key's whole sum as `total`.
+
     (keys, order) must be unique. The rows are range-partitioned and written, each
     with the number of its slice; a slice then adds the sum of the earlier slices
     of the same key to its own running sum. The written table fixes the slices, so
@@ -33,8 +37,13 @@ def running_count(frame: DataFrame, keys: Sequence[str], order: str, weight: str
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         sliced.groupBy(*keys, "_slice")
-        .agg(F.sum(weight).alias("_total"))
-        .select(*keys, "_slice", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+        .agg(F.sum(weight).alias("_part"))
+        .select(
+            *keys,
+            "_slice",
+            F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_part").over(Window.partitionBy(*keys)).alias(total),
+        )
     )
     return (
         sliced.withColumn("_inside", F.sum(weight).over(inside))

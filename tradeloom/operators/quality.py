@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -63,10 +63,17 @@ def value_counts(frame: DataFrame, column: str) -> DataFrame:
 
 
 def iqr_outliers(
-    frame: DataFrame, columns: Sequence[str], multiplier: float = 1.5, threshold: float = 0.1
+    frame: DataFrame,
+    columns: Sequence[str],
+    multiplier: float = 1.5,
+    threshold: float = 0.1,
+    also: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per column: quartiles, bounds, outliers, their share of all rows, and whether
-    the share reaches the threshold. Rows without a value count in the share."""
+    the share reaches the threshold. Rows without a value count in the share.
+
+    `also` names further aggregates of `value` to take in the same pass.
+    """
     quartiles = exact_quantiles(frame, [], columns, {"q1": 0.25, "q3": 0.75}).drop("n")
     reach = multiplier * (F.col("q3") - F.col("q1"))
     bounds = quartiles.withColumns({"lower": F.col("q1") - reach, "upper": F.col("q3") + reach})
@@ -79,6 +86,7 @@ def iqr_outliers(
         .agg(
             F.count("*").alias("row_count"),
             F.count_if((value < F.col("lower")) | (value > F.col("upper"))).alias("outlier_count"),
+            *[aggregate.alias(name) for name, aggregate in (also or {}).items()],
         )
     )
     share = F.col("outlier_count") / F.col("row_count")

@@ -32,9 +32,7 @@ def exact_quantiles(
     ).filter(F.col("value").isNotNull())
     group = [*keys, "column_name"]
     counts = long.groupBy(*group, "value").agg(F.count("*").alias("n"))
-    ranked = running_count(counts, group, "value", "n", "upto")
-    sizes = ranked.groupBy(*group).agg(F.max("upto").alias("size"))
-    with_size = ranked.join(sizes, group)
+    ranked = running_count(counts, group, "value", "n", "upto", total="size")
 
     def at(rank: Column) -> Column:
         """Smallest value with more than `rank` values up to and including it."""
@@ -44,7 +42,7 @@ def exact_quantiles(
     for name, p in probs.items():
         position = F.lit(float(p)) * (F.col("size") - 1)
         picks += [at(F.floor(position)).alias(f"_{name}_low"), at(F.ceil(position)).alias(f"_{name}_high")]
-    ends = with_size.groupBy(*group, "size").agg(*picks)
+    ends = ranked.groupBy(*group, "size").agg(*picks)
 
     def between(name: str, p: float) -> Column:
         position = F.lit(float(p)) * (F.col("size") - 1)

@@ -31,7 +31,7 @@ BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 # Values of the stock sector.
 SECTORS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
-_FROM_ORDERS = {"timestamp", "date", "customer_id", "average_trade_size"}
+_FROM_ORDERS = ["timestamp", "date", "customer_id", "average_trade_size"]
 _FROM_CALENDAR = {"day_name", "is_weekend", "is_holiday"}
 _FROM_CUSTOMER = {"customer_account_type"}
 _FROM_STOCK = {"stock_liquidity_tier", "stock_sector", "stock_industry"}
@@ -87,25 +87,45 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
     return read(spark, sf_dir, "part").select(
-        ticker("p_partkey").alias("stock_ticker"),
+        "p_partkey",
         F.when(size <= 16, "Low").when(size <= 33, "Mid").otherwise("High").alias("liquidity_tier"),
         F.col("p_type").alias("sector"),
         F.col("p_brand").alias("industry"),
     )
 
 
-def trades(spark: SparkSession, sf_dir: str, with_orders: bool = True) -> DataFrame:
-    """Trades with every column the line item and its order offer."""
-    lines = read(spark, sf_dir, "lineitem")
-    if with_orders:
-        orders = read(spark, sf_dir, "orders").select(
-            "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"
-        )
-        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    columns = [
+def stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = ticker("p_partkey").alias("stock_ticker")
+    return _parts(spark, sf_dir).select(key, "liquidity_tier", "sector", "industry")
+
+
+def _orders(spark: SparkSession, sf_dir: str, with_calendar: bool, with_customers: bool) -> DataFrame:
+    """What a trade takes from its order.
+
+    Calendar and customer hang on the order, so they join the orders, several times
+    fewer than the trades: the fact is then not shuffled by customer.
+    """
+    orders = read(spark, sf_dir, "orders").select(
+        F.col("o_orderkey"),
+        F.col("o_orderdate").alias("timestamp"),
+        F.to_date("o_orderdate").alias("date"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").alias("average_trade_size"),
+    )
+    if with_calendar:
+        orders = orders.join(F.broadcast(calendar(spark)), "date", "left")
+    if with_customers:
+        who = customers(spark, sf_dir).withColumnRenamed("account_type", "customer_account_type")
+        orders = orders.join(who, "customer_id", "left")
+    return orders
+
+
+def _lines() -> list[Column]:
+    """What a trade takes from its line item."""
+    return [
         transaction_id().alias("transaction_id"),
         ticker("l_partkey").alias("stock_ticker"),
         F.when(F.col("l_returnflag") == "R", "SELL").otherwise("BUY").alias("transaction_type"),
@@ -113,36 +133,39 @@ def trades(spark: SparkSession, sf_dir: str, with_orders: bool = True) -> DataFr
         (price_ticks() / _TICKS).alias("stock_price"),
         F.col("l_extendedprice").alias("total_trade_amount"),
     ]
-    if with_orders:
-        columns += [
-            F.col("o_orderdate").alias("timestamp"),
-            F.to_date("o_orderdate").alias("date"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_totalprice").alias("average_trade_size"),
-        ]
-    return lines.select(*columns)
+
+
+def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades with every column the line item and its order offer."""
+    lines = read(spark, sf_dir, "lineitem")
+    orders = _orders(spark, sf_dir, with_calendar=False, with_customers=False)
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    return joined.select(*_lines(), *_FROM_ORDERS)
 
 
 def fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The decoded fact, restricted to `columns` (all sixteen by default)."""
     wanted = list(columns) or FACT_COLUMNS
     need = set(wanted)
-    on_date = bool(need & _FROM_CALENDAR)
-    frame = trades(spark, sf_dir, with_orders=on_date or bool(need & (_FROM_ORDERS | _FROM_CUSTOMER)))
-    if on_date:
-        frame = frame.join(F.broadcast(calendar(spark)), "date", "left")
-    if need & _FROM_CUSTOMER:
-        who = customers(spark, sf_dir).withColumnRenamed("account_type", "customer_account_type")
-        frame = frame.join(who, "customer_id", "left")
+    frame = read(spark, sf_dir, "lineitem")
+    ordered: list[str] = []
+    if need & {*_FROM_ORDERS, *_FROM_CALENDAR, *_FROM_CUSTOMER}:
+        orders = _orders(spark, sf_dir, bool(need & _FROM_CALENDAR), bool(need & _FROM_CUSTOMER))
+        frame = frame.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        ordered = [c for c in orders.columns if c != "o_orderkey"]
+    hung: list[str] = []
     if need & _FROM_STOCK:
-        what = stocks(spark, sf_dir).withColumnsRenamed(
+        # On the numeric key, which is shorter to shuffle than the ticker made from it.
+        parts = _parts(spark, sf_dir).withColumnsRenamed(
             {
                 "liquidity_tier": "stock_liquidity_tier",
                 "sector": "stock_sector",
                 "industry": "stock_industry",
             }
         )
-        frame = frame.join(what, "stock_ticker", "left")
+        frame = frame.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        hung = sorted(_FROM_STOCK)
+    frame = frame.select(*_lines(), *ordered, *hung)
     return frame.select(*wanted)
 
 
@@ -177,16 +200,5 @@ def price_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def brand_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades at the level of the price panel: the ticker is the brand."""
-    base = trades(spark, sf_dir).select(
-        "transaction_id",
-        "timestamp",
-        "date",
-        "customer_id",
-        "transaction_type",
-        "quantity",
-        F.col("stock_ticker").alias("part_ticker"),
-    )
-    parts = stocks(spark, sf_dir).select(
-        F.col("stock_ticker").alias("part_ticker"), F.col("industry").alias("stock_ticker")
-    )
-    return base.join(parts, "part_ticker", "left").drop("part_ticker")
+    columns = ["transaction_id", "timestamp", "date", "customer_id", "transaction_type", "quantity"]
+    return fact(spark, sf_dir, *columns, "stock_industry").withColumnRenamed("stock_industry", "stock_ticker")
