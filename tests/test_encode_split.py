@@ -66,6 +66,13 @@ def test_split_sizes(spark, n):
     assert not a & b and len(a | b) == n
 
 
+def test_written_split_is_the_same(spark, fresh):
+    frame = spark.range(300).select(F.col("id").cast("string").alias("transaction_id"))
+    rows = lambda f: {r[0] for r in f.collect()}
+    lazy, written = split.split_for_streaming(frame), split.write_split(frame, fresh("split"))
+    assert [rows(f) for f in lazy] == [rows(f) for f in written]
+
+
 def test_split_is_reproducible_and_seeded(spark):
     frame = spark.range(500).select(F.col("id").cast("string").alias("transaction_id"))
     pick = lambda f, seed: {r[0] for r in split.split_for_streaming(f, seed=seed)[1].collect()}

@@ -69,5 +69,23 @@ def split_for_streaming(
     )
 
 
+def write_split(
+    frame: DataFrame,
+    path: str,
+    key: str = "transaction_id",
+    share: float = 0.05,
+    seed: int = 42,
+    keys: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(main, stream) as tables: one pass writes both, each is read back on its own."""
+    marked = mark_stream(frame, key, share, seed, keys)
+    marked.write.partitionBy("is_stream").parquet(path)
+    both = frame.sparkSession.read.schema(marked.schema).parquet(path)
+    return (
+        both.filter(~F.col("is_stream")).drop("is_stream"),
+        both.filter("is_stream").drop("is_stream"),
+    )
+
+
 def main_size(rows: int, share: float = 0.05) -> int:
     return math.floor(rows * (1 - share))

@@ -622,8 +622,7 @@ def dq_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """The main part, the stream part and what their append holds."""
-    main, stream = split.split_for_streaming(_trade_keys(spark, sf))
-    main, stream = scratch.materialize(main, "main"), scratch.materialize(stream, "stream")
+    main, stream = split.write_split(_trade_keys(spark, sf), scratch.fresh_path(spark, "split"))
     return quality.reconcile(main, stream, scratch.materialize(sinks.append(main, stream), "all"))
 
 
@@ -718,8 +717,9 @@ _STREAMED = ["transaction_id", "timestamp", "customer_id", "quantity", "stock_pr
 
 
 def _stream_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Main part (lazy) and stream part (as messages on storage) of the fact."""
-    return split.split_for_streaming(star.fact(spark, sf, *_STREAMED), keys=_trade_keys(spark, sf))
+    """Main part and stream part of the fact, as tables."""
+    path = scratch.fresh_path(spark, "split")
+    return split.write_split(star.fact(spark, sf, *_STREAMED), path, keys=_trade_keys(spark, sf))
 
 
 def st_produce(spark: SparkSession, sf: str) -> DataFrame:
