@@ -767,7 +767,7 @@ def st_source(spark: SparkSession, sf: str) -> DataFrame:
     topic = messages.publish_files(stream, scratch.fresh_path(spark, "topic"))
     parsed = messages.parse(messages.subscribe_files(spark, topic), stream.schema)
     table = scratch.fresh_path(spark, "received")
-    jobs.finish([jobs._drain(parsed.select("broken", "record.*"), table, scratch.fresh_path(spark, "progress"), "parquet")])
+    jobs.finish([jobs.drain(parsed.select("broken", "record.*"), table, scratch.fresh_path(spark, "progress"), "parquet")])
     return spark.read.parquet(table).select("broken", "transaction_id", "customer_id", "quantity", "stock_ticker", "is_weekend")
 
 
@@ -780,7 +780,7 @@ def st_eos(spark: SparkSession, sf: str) -> DataFrame:
     star.read(spark, sf, "events").select(text.alias("value")).write.text(topic)
     table = scratch.fresh_path(spark, "received")
     received = messages.without_end(messages.subscribe_files(spark, topic))
-    jobs.finish([jobs._drain(received, table, scratch.fresh_path(spark, "progress"), "parquet")])
+    jobs.finish([jobs.drain(received, table, scratch.fresh_path(spark, "progress"), "parquet")])
     return spark.read.parquet(table).groupBy(
         F.get_json_object("value", "$.event_type").alias("event_type")
     ).agg(F.count("*").alias("messages"))

@@ -40,13 +40,14 @@ def append_encoded(
     stop when the source is drained.
     """
     records, broken = encode_messages(messages, lookups, schema)
-    queries = [_drain(records, table_path, f"{checkpoint}/records", "parquet")]
+    queries = [drain(records, table_path, f"{checkpoint}/records", "parquet")]
     if quarantine_path is not None:
-        queries.append(_drain(broken, quarantine_path, f"{checkpoint}/quarantine", "text"))
+        queries.append(drain(broken, quarantine_path, f"{checkpoint}/quarantine", "text"))
     return queries
 
 
-def _drain(stream: DataFrame, path: str, checkpoint: str, format: str) -> StreamingQuery:
+def drain(stream: DataFrame, path: str, checkpoint: str, format: str) -> StreamingQuery:
+    """Append what the source holds to files, then stop."""
     return (
         stream.writeStream.format(format)
         .outputMode("append")
