@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from tradeloom.llm.language import op2_language_id
 from tradeloom.llm.mixing import op5_mix_sources
+from tradeloom.llm.quality import op1_quality
+from tradeloom.llm.tokens import op4_token_counts
 from tradeloom.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_language_id": op2_language_id,
+    "op4_token_counts": op4_token_counts,
     "op5_mix_sources": op5_mix_sources,
     "op10_toxicity": op10_toxicity,
 }

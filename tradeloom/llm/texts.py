@@ -14,6 +14,7 @@ import pyarrow as pa
 
 # Bytes of text handled at once; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 1 << 10
 # Words are separated by these: space, and tab to carriage return.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -67,7 +68,7 @@ class Words:
 
 
 def slices(column: pa.Array) -> Iterator[Texts]:
-    """The texts of a column in slices of about SLICE_BYTES; null counts as empty."""
+    """The texts of a column in slices of at most SLICE_ROWS and about SLICE_BYTES; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -80,6 +81,7 @@ def slices(column: pa.Array) -> Iterator[Texts]:
     i = 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, side="right")) - 1)
+        j = min(j, i + SLICE_ROWS)
         yield Texts(i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         i = j
 
