@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from tradeloom.llm.decontaminate import op3_decontaminate
 from tradeloom.llm.language import op2_language_id
 from tradeloom.llm.mixing import op5_mix_sources
+from tradeloom.llm.pii import op8_pii
 from tradeloom.llm.quality import op1_quality
 from tradeloom.llm.tokens import op4_token_counts
 from tradeloom.llm.toxicity import op10_toxicity
@@ -11,8 +13,10 @@ from tradeloom.llm.toxicity import op10_toxicity
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_language_id": op2_language_id,
+    "op3_decontaminate": op3_decontaminate,
     "op4_token_counts": op4_token_counts,
     "op5_mix_sources": op5_mix_sources,
+    "op8_pii": op8_pii,
     "op10_toxicity": op10_toxicity,
 }
 
