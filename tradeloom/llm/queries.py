@@ -5,10 +5,12 @@ from __future__ import annotations
 from tradeloom.llm.decontaminate import op3_decontaminate
 from tradeloom.llm.language import op2_language_id
 from tradeloom.llm.mixing import op5_mix_sources
+from tradeloom.llm.parity import op9_ngram_jaccard
 from tradeloom.llm.pii import op8_pii
 from tradeloom.llm.quality import op1_quality
 from tradeloom.llm.tokens import op4_token_counts
 from tradeloom.llm.toxicity import op10_toxicity
+from tradeloom.llm.vectors import op6_embedding_dedup
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -16,7 +18,9 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_token_counts": op4_token_counts,
     "op5_mix_sources": op5_mix_sources,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op8_pii": op8_pii,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_toxicity": op10_toxicity,
 }
 

@@ -132,29 +132,36 @@ def sums(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc, weights=values, minlength=n)
 
 
+# Bits of a shingle's hash; the rest of 64 holds the text's number in its slice.
+SHINGLE_BITS = 54
+
+
 def shingles(found: Words, n: int, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the distinct `size`-word shingles of each of n texts, ordered by text and hash.
 
     A text of fewer words has its whole sequence as one shingle; without words it has none.
-    Returns texts and hashes.
+    Returns texts and hashes of SHINGLE_BITS bits.
     """
     counts = np.bincount(found.doc, minlength=n)
-    firsts = np.concatenate([[0], np.cumsum(counts)])[:-1]
+    firsts = np.cumsum(counts) - counts
     total = len(found.hash)
     if not total:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     steps = powers(size)
     padded = np.concatenate([found.hash, np.zeros(size, np.uint64)])
     value = np.zeros(total, np.uint64)
-    place = np.arange(total) - firsts[found.doc]
-    left = counts[found.doc] - place  # words from here to the end of the text
+    left = (firsts + counts)[found.doc] - np.arange(total)  # words from here to the end of the text
+    short = left < size
     for k in range(size):
-        value += np.where(k < left, padded[k : k + total], np.uint64(0)) * steps[k]
-    whole = np.minimum(left, size).astype(np.uint64)
-    keep = (left >= size) | (place == 0)
-    doc, value = found.doc[keep], mix(value[keep] + whole[keep])
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-    return doc[new], value[new]
+        value += padded[k : k + total] * steps[k]
+    keep = ~short
+    for i in np.flatnonzero(short & (counts[found.doc] == left)):  # texts of fewer words
+        value[i] = (found.hash[i : i + left[i]] * steps[: left[i]]).sum(dtype=np.uint64) + np.uint64(left[i])
+        keep[i] = True
+    shift = np.uint64(SHINGLE_BITS)
+    key = (found.doc[keep].astype(np.uint64) << shift) | (mix(value[keep]) >> (np.uint64(64) - shift))
+    key.sort()
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    key = key[new]
+    return (key >> shift).astype(np.int64), key & ((np.uint64(1) << shift) - np.uint64(1))
