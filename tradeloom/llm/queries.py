@@ -8,6 +8,7 @@ from tradeloom.llm.mixing import op5_mix_sources
 from tradeloom.llm.parity import op9_ngram_jaccard
 from tradeloom.llm.pii import op8_pii
 from tradeloom.llm.quality import op1_quality
+from tradeloom.llm.substrings import op7_suffix_dedup
 from tradeloom.llm.tokens import op4_token_counts
 from tradeloom.llm.toxicity import op10_toxicity
 from tradeloom.llm.vectors import op6_embedding_dedup
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_mix_sources": op5_mix_sources,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_pii": op8_pii,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_toxicity": op10_toxicity,
