@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
@@ -398,5 +398,24 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of `docs` with one of each class: the smallest id, and of rows that share it the
+    first by text. Rows with a null id, and texts without words, stay."""
+    classes = materialize(near_duplicates(docs, doc_id, text), "parity-classes")
+    gone, again, place = (free_name(docs, n) for n in ("gone_id", "repeated_id", "place"))
+    removed = classes.where("component_id != doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    kept = docs.join(removed, col(doc_id) == col(gone), "left_anti")
+    repeated = classes.where("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias(again)).agg(
+        F.count("*").alias("rows")
+    ).where("rows > 1").select(again)
+    if repeated.isEmpty():
+        return kept
+    first = Window.partitionBy(col(doc_id)).orderBy(F.col(text).asc_nulls_last())
+    return kept.join(repeated, col(doc_id) == col(again), "left_anti").union(
+        kept.join(repeated, col(doc_id) == col(again), "left_semi")
+        .withColumn(place, F.row_number().over(first)).where(col(place) == 1).drop(place)
+    )
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
