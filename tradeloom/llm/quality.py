@@ -58,41 +58,39 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     start, end, doc = runs(texts, ~SPACE[data])
     count = np.bincount(doc, minlength=n)
     many = np.maximum(count, 1)
-    size = np.maximum(np.diff(texts.offsets), 1)
-    key = run_hashes(LOWER[data], start, end)
+    sizes = np.diff(texts.offsets)
+    size = np.maximum(sizes, 1)
+    cell = np.repeat(np.arange(n, dtype=np.int32) << 8, sizes)
+    cell |= data
+    byte_counts = np.bincount(cell, minlength=n << 8).reshape(n, 256)
 
     def per_word(flags: np.ndarray) -> np.ndarray:
         return np.bincount(doc, weights=flags, minlength=n) / many
 
-    def per_byte(flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags)])[texts.offsets]
-        return np.diff(total) / size
-
     def inside(flags: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(flags)])
-        return total[end] - total[start]
+        """Sums from each word to the next; what stands between words has none of the flags."""
+        return np.add.reduceat(flags.astype(np.int32)[data], start) if len(start) else np.zeros(0, np.int32)
 
+    key = run_hashes(LOWER[data], start, end)
     same = np.zeros(len(start), bool)
     same[1:] = (key[1:] == key[:-1]) & (doc[1:] == doc[:-1])
-    order = np.lexsort((key, doc))
-    first = np.ones(len(start), bool)
-    first[1:] = (key[order][1:] != key[order][:-1]) | (doc[order][1:] != doc[order][:-1])
-    run = np.diff(np.append(np.flatnonzero(first), len(start)))
+    shift = np.uint64(54)  # a slice has fewer than 2**10 + 1 texts
+    word = (doc.astype(np.uint64) << shift) | (key >> np.uint64(10))
+    word.sort()
+    first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else np.zeros(0, np.int64)
+    owner = (word[first] >> shift).astype(np.int64)
+    distinct = np.bincount(owner, minlength=n)
     most = np.zeros(n)
-    np.maximum.at(most, doc[order][first], run)
-    letters, upper, lower = inside(LETTER[data]), inside(UPPER[data]), inside(CAPITAL_OR_NOT[data])
+    np.maximum.at(most, owner, np.diff(np.append(first, len(word))))
+    letters, upper, lower = inside(LETTER), inside(UPPER), inside(CAPITAL_OR_NOT)
     length = end - start
-    lead = np.zeros(n, np.int64)
-    lead[doc[::-1]] = np.arange(len(start))[::-1]
-    line = per_byte(data == 0x0A)
     columns = [
-        np.log1p(count), 1.0 / np.sqrt(many), np.bincount(doc[order][first], minlength=n) / many,
-        np.log(np.bincount(doc[order][first], minlength=n) + 1.0) / np.log(many + 1.0),
+        np.log1p(count), 1.0 / np.sqrt(many), distinct / many, np.log(distinct + 1.0) / np.log(many + 1.0),
         per_word(same), most / many, per_word(letters == 0), per_word((upper >= 2) & (lower == 0)),
-        per_word(letters < length), per_word(length), per_word(length > 20), per_byte(LETTER[data]),
-        per_byte(DIGIT[data]), line * 10,
+        per_word(letters < length), per_word(length), per_word(length > 20), byte_counts[:, LETTER].sum(axis=1) / size,
+        byte_counts[:, DIGIT].sum(axis=1) / size, byte_counts[:, 0x0A] * 10 / size,
     ]
-    columns += [np.sqrt(np.diff(np.concatenate([[0], np.cumsum(data == ord(c))])[texts.offsets]) / many) for c in MARKS]
+    columns += [np.sqrt(byte_counts[:, ord(c)] / many) for c in MARKS]
     return np.stack(columns, axis=1), count
 
 
