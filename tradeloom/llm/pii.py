@@ -45,6 +45,7 @@ WRITTEN = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:[\[({]\x20?at\x20?[\])}]|\x20at\x20|@)\x20?"
     r"[A-Za-z0-9-]{1,63}(?:\x20?(?:[\[({]\x20?dot\x20?[\])}]|\x20dot\x20|\.)\x20?[A-Za-z0-9-]{2,63}){1,4}"
 )
+SIGNS = ("@", "dot", "at)", "at]", "at}", "at )", "at ]", "at }")  # one is in any written address
 CONTEXT = {
     "email": re.compile(r"e-?mail|contact|write|mailto", re.I),
     "ip": re.compile(r"\bip\b|addr|host|server|ping", re.I),
@@ -103,7 +104,7 @@ def proposals(text: str) -> list[Span]:
     found = [m.span() for m in NUMBERS.finditer(text) if m.end() - m.start() >= 7]
     if text.count(":") >= 3:
         found += [m.span() for m in HEX_GROUPS.finditer(text)]
-    if "@" in text or "dot" in text:
+    if any(sign in text for sign in SIGNS):
         found += [m.span() for m in WRITTEN.finditer(text)]
     return [(likely_kind(text[a:b]), a, b) for a, b in dict.fromkeys(found)]
 
@@ -246,6 +247,7 @@ def finder(model: Model):
     @F.arrow_udf(FOUND)
     def find(column: pa.Array) -> pa.Array:
         base, added, digests, shown = [], [], [], []
+        signs = [sign.encode() for sign in SIGNS]
         for part in slices(column):
             digit = np.concatenate([[0], np.cumsum((part.data >= 0x30) & (part.data <= 0x39))])
             some = np.diff(digit[part.offsets]) > 0
@@ -253,7 +255,7 @@ def finder(model: Model):
                 raw = part.text(i)
                 mine: list[Span] = []
                 more: list[Span] = []
-                if some[i] or b"@" in raw or b"dot" in raw or raw.count(b":") >= 3:
+                if some[i] or any(sign in raw for sign in signs) or raw.count(b":") >= 3:
                     text = raw.decode("utf-8", "replace")
                     mine = base_spans(text)
                     more = added_spans(text, mine, model)
