@@ -37,7 +37,7 @@ stocks AS (
 """
 
 PANEL = f"""
-brands AS (SELECT 'Brand#' || i AS stock_ticker FROM range(1, 26) r(i)),
+brands AS (SELECT DISTINCT p_brand AS stock_ticker FROM part WHERE p_brand IS NOT NULL),
 cells AS (
   SELECT CAST(o_orderdate AS DATE) AS date, p_brand AS stock_ticker,
          CAST(sum({TICKS}) AS BIGINT) AS total, count(*) AS n
@@ -209,7 +209,7 @@ judged AS (
   SELECT *, outlier_count / row_count AS outlier_share, outlier_count / row_count >= {threshold} AS flagged
   FROM outliers),
 moments AS (
-  SELECT column_name, {mean('value')} AS mean, stddev_samp(value) AS std_samp, stddev_pop(value) AS std_pop,
+  SELECT column_name, avg(value) AS mean, stddev_samp(value) AS std_samp, stddev_pop(value) AS std_pop,
          min(value) AS low
   FROM long GROUP BY 1)
 """
@@ -304,17 +304,22 @@ def oracle_sql() -> dict[str, str]:
         "src_fallback": over_star("SELECT transaction_id, stock_ticker, quantity FROM trades"),
         "src_json_logs": f"SELECT * FROM ({_LOG_ROWS}) ORDER BY \"timestamp\" DESC, user_query LIMIT 10",
         "agg_querylog_metrics": f"""SELECT count(*) AS total_queries, count(*) FILTER (WHERE status = 'success') AS successful_queries,
-            count(*) FILTER (WHERE status <> 'success') AS failed_queries, {mean('execution_time_ms')} AS avg_execution_time,
+            count(*) FILTER (WHERE status <> 'success') AS failed_queries, round(avg(execution_time_ms), 6) AS avg_execution_time,
             max("timestamp") AS last_updated FROM ({_LOG_ROWS})""",
         "src_lookup": over_star(f"SELECT * FROM ({label_rows('stocks', ['stock_sector'])})"),
         "src_table_info": """SELECT CAST(unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10]) AS INT) AS position,
             unnest(['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber', 'l_quantity', 'l_extendedprice',
                     'l_discount', 'l_tax', 'l_returnflag', 'l_linestatus', 'l_shipdate']) AS column_name,
-            (SELECT count(*) FROM lineitem) AS row_count""",
+            unnest(['bigint', 'bigint', 'bigint', 'int', 'double', 'double', 'double', 'double', 'string', 'string',
+                    'timestamp_ntz']) AS data_type,
+            TRUE AS nullable, (SELECT count(*) FROM lineitem) AS row_count""",
         "snk_file_csv": volume_rank,
         "snk_file_parquet": volume_rank,
         "snk_file_json": volume_rank,
-        "snk_result": by("stock_sector", f"{mean('stock_price')} AS average_price"),
+        "snk_result": over_star(
+            f"""SELECT stock_sector, {mean('stock_price')} AS average_price, place
+                FROM stocks CROSS JOIN (VALUES ('files'), ('table')) p(place) GROUP BY stock_sector, place"""
+        ),
         "snk_csv_sample": over_star(
             "SELECT transaction_id, customer_id, quantity, total_trade_amount FROM trades ORDER BY transaction_id LIMIT 10"
         ),
@@ -652,7 +657,11 @@ def oracle_sql() -> dict[str, str]:
                  CASE WHEN transaction_type = 'SELL' THEN stock_price END AS stock_price FROM trades"""
         ),
         "set_split": over_star("SELECT transaction_id, is_stream FROM ranked", SPLIT),
-        "set_duplicates": "SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)",
+        "set_duplicates": """SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM (
+            SELECT count(*) AS n FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_returnflag = 'R'
+                                       UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)
+            GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+                     l_returnflag, l_linestatus, l_shipdate)""",
         "set_distinct": over_star("SELECT DISTINCT stock_sector, transaction_type FROM stocks"),
         # scalar functions
         "fn_math": over_star(
@@ -684,7 +693,7 @@ def oracle_sql() -> dict[str, str]:
             bounds(0.01),
         ),
         "dq_describe": over_star(
-            f"""SELECT column_name, count(value) AS count, {mean('value')} AS mean, round(stddev_samp(value), 4) AS std,
+            f"""SELECT column_name, count(value) AS count, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std,
                  min(value) AS min, max(value) AS max, round(quantile_cont(value, 0.25), 8) AS q25,
                  round(quantile_cont(value, 0.5), 8) AS q50, round(quantile_cont(value, 0.75), 8) AS q75
                FROM long GROUP BY 1""",
@@ -746,7 +755,8 @@ def oracle_sql() -> dict[str, str]:
             f"codes AS ({label_rows('main', LABELS)})",
         ),
         "st_bad_record": """SELECT CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN NULL WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE -1 END AS code,
-            count(*) AS records FROM events GROUP BY 1""",
+            count(*) AS records FROM events GROUP BY 1
+            UNION ALL SELECT -100, count(*) FROM events WHERE event_type = 'view'""",
         "st_append": over_star(
             f"""SELECT stock_ticker, transaction_type, count(*) AS trades, {volume()} AS quantity
                 FROM (SELECT quantity, {encoded('stocks', 'codes', '-1')}) GROUP BY 1, 2""",

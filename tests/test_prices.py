@@ -91,16 +91,26 @@ def replay(rows):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10**6, 0, 60])
-def test_positions_equal_replay(spark, hot_rows):
-    """Whole keys, every key hot, and only the large ones hot give the same."""
+@pytest.mark.parametrize("slices", [1, 4, 40])
+def test_positions_equal_replay(spark, slices):
+    """Rows in one slice, some, and many slices of a customer, of one day even."""
+    spark.conf.set("spark.sql.shuffle.partitions", str(slices))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        _positions_equal_replay(spark)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _positions_equal_replay(spark):
     rows = random_trades(1)
     trades = spark.createDataFrame(rows, TRADE_TYPE)
     want = replay(rows)
-    position = portfolio.running_position(trades, hot_rows).collect()
+    position = portfolio.running_position(trades).collect()
     assert len(position) == len(rows)
     assert all(r.holding == want[r.transaction_id].get(r.stock_ticker, 0) for r in position)
-    maps = portfolio.portfolio_map(trades, TICKERS, hot_rows).collect()
+    maps = portfolio.portfolio_map(trades, TICKERS).collect()
     assert {r.transaction_id: r.holdings for r in maps} == want
 
 
@@ -116,11 +126,14 @@ def test_position_edges(spark):
         ("7", at(6), None, "A", "BUY", 4),  # unknown customer
     ]
     trades = spark.createDataFrame(rows, TRADE_TYPE)
-    for hot_rows in (10**6, 0):
-        got = portfolio.running_position(trades, hot_rows).collect()
-        assert {r.transaction_id: r.holding for r in got} == {
-            "1": 0, "2": 5, "3": 0, "4": 2, "5": 0, "6": 3, "7": 4
-        }
+    got = portfolio.running_position(trades).collect()
+    assert {r.transaction_id: r.holding for r in got} == {"1": 0, "2": 5, "3": 0, "4": 2, "5": 0, "6": 3, "7": 4}
+
+
+def test_a_ticker_outside_the_panel_is_an_error(spark):
+    trades = spark.createDataFrame([("1", dt.datetime(2024, 1, 1), 1, "Z", "BUY", 7)], TRADE_TYPE)
+    with pytest.raises(Exception, match="without a price column"):
+        portfolio.portfolio_map(trades, ["A"]).collect()
 
 
 def scan(rows, values, table):
@@ -140,8 +153,7 @@ def scan(rows, values, table):
 
 
 @pytest.mark.parametrize("seed", [3, 4, 5, 6])
-@pytest.mark.parametrize("hot_rows", [10**6, 0])
-def test_inference_equals_scan(spark, seed, hot_rows):
+def test_inference_equals_scan(spark, seed):
     """Holes decided at once, after another hole, never, out of bounds, without a day.
 
     The portfolio values are not consistent with any prices, so the first deciding
@@ -160,7 +172,7 @@ def test_inference_equals_scan(spark, seed, hot_rows):
     wide = spark.createDataFrame(
         [(d, *[observed[d][t] for t in TICKERS]) for d in days], "date date, " + ", ".join(f"{t} double" for t in TICKERS)
     )
-    got = {r.date: {t: r[t] for t in TICKERS} for r in portfolio.infer_prices(trades, wide, TICKERS, hot_rows).collect()}
+    got = {r.date: {t: r[t] for t in TICKERS} for r in portfolio.infer_prices(trades, wide, TICKERS).collect()}
     assert got.keys() == want.keys()
     for d in days:
         for t in TICKERS:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 import check
-from tradeloom.functions.columns import exact_sum, holiday_label, holiday_label_or_null
+from tradeloom.functions.columns import exact_sum, exact_sum_sql, holiday_label, holiday_label_or_null
 from tradeloom.operators import filters, integrate
 from tradeloom.plans import catalogue, questions, rollups, star, templates
-from tradeloom.sources import files, jdbc, kafka, sinks
+from tradeloom.sources import files, jdbc, kafka, scratch, sinks
 
 
 def tiny(spark):
@@ -67,6 +67,22 @@ def test_exact_sum_of_large_and_negative(spark):
     assert frame.filter("x is null").agg(exact_sum("x")).first()[0] is None
 
 
+@pytest.mark.parametrize("wrong", [0.00001, 1e15, float("nan"), float("inf"), -9e11])
+def test_what_is_no_amount_is_an_error(spark, wrong):
+    frame = spark.createDataFrame([(1.0,), (wrong,), (None,)], "x double")
+    for measure in (exact_sum("x"), F.expr(exact_sum_sql("x"))):
+        with pytest.raises(Exception, match="no amount of money"):
+            frame.agg(measure).collect()
+
+
+def test_amounts_are_summed_exactly(spark):
+    rows = [(0.1,)] * 30 + [(123456789.0123,), (-5.5,), (89999999999.99,), (None,)]
+    frame = spark.createDataFrame(rows, "x double")
+    want = 3.0 + 123456789.0123 - 5.5 + 89999999999.99
+    for measure in (exact_sum("x"), F.expr(exact_sum_sql("x"))):
+        assert frame.agg(measure).first()[0] == pytest.approx(want, abs=1e-4)
+
+
 def test_minmax_needs_three_sectors_and_accepts_equal_ones(spark):
     rows = [(s, 2.0, 1, 5.0) for s in "abc"]
     schema = "stock_sector string, stock_price double, quantity bigint, total_trade_amount double"
@@ -158,10 +174,60 @@ def test_append_fills_missing_columns(spark):
     assert sinks.append(None, new).columns == ["id", "x"]
 
 
-def test_user_sql_is_capped(spark):
+def test_user_sql_keeps_all_rows(spark):
     spark.range(5000).createOrReplaceTempView("many")
-    assert templates.run_sql(spark, "select * from many").count() == 1000
-    assert templates.run_sql(spark, "select * from many", limit=None).count() == 5000
+    assert templates.run_sql(spark, "select * from many").count() == 5000
+    assert templates.preview_sql(spark, "select * from many", 7).count() == 7
+
+
+def test_scratch_folder_is_demanded_and_shared(spark):
+    assert scratch.checked_folder("file:/x/", "local[4]") == "file:/x"
+    assert scratch.checked_folder("s3a://b/x", "spark://m:7077") == "s3a://b/x"
+    for folder, default in (("file:/x", "hdfs://n/"), ("/x", "file:///")):
+        with pytest.raises(RuntimeError, match="do not share"):
+            scratch.checked_folder(folder, "spark://m:7077", default)
+
+    class Unset:
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="set spark.checkpoint.dir"):
+        scratch.shared_folder(Unset)
+
+
+def test_scratch_tables_are_released(spark):
+    table = scratch.materialize(spark.range(3), "gone")
+    assert table.count() == 3
+    scratch.release(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(scratch.fresh_path(spark, "x").rpartition("/")[0]).count()
+
+
+def test_new_values_are_not_lost(spark, tmp_path):
+    """A further brand, sector, day and a key of 13 digits, through panel, heat map and calendar."""
+    day = lambda *d: dt.datetime(*d)
+    tables = {
+        "lineitem": ([(1, 1234567890123, 1, 1, 2.0, 20.0, 0.0, 0.0, "N", "O", day(2031, 2, 2)),
+                      (2, 1234567890129, 1, 1, 2.0, 30.0, 0.0, 0.0, "N", "O", day(2031, 2, 2))],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "orders": ([(1, 1, "O", 9.0, day(2031, 2, 1), "p"), (2, 1, "O", 9.0, day(1970, 7, 4), "p")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "part": ([(1234567890123, "n", "Brand#99", "NEWSECTOR", 1, 1.0), (1234567890129, "n", "Brand#1", "SMALL", 1, 1.0)],
+                 "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "customer": ([(1, "c", 1, 0.0, "BUILDING")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    sf = str(tmp_path)
+    all_queries = entry_point.queries()
+    assert {c for c in all_queries["fn_pivot"](spark, sf).columns} == {"date", "Brand_1", "Brand_99"}
+    heat = {r.day_name: r for r in all_queries["agg_heatmap"](spark, sf).collect()}
+    assert sum(r.NEWSECTOR for r in heat.values()) == 1 == sum(r.SMALL for r in heat.values())
+    fact = star.fact(spark, sf, "stock_ticker", "day_name", "is_weekend", "is_holiday").collect()
+    assert {r.stock_ticker for r in fact} == {"STK1234567890123", "STK1234567890129"}
+    assert {(r.day_name, r.is_weekend, r.is_holiday) for r in fact} == {("Saturday", True, False), ("Saturday", True, True)}
+    with pytest.raises(ValueError, match="more than 1 values"):
+        star.few_values(star.read(spark, sf, "part"), "p_brand", most=1)
 
 
 def test_jdbc_options():
@@ -179,6 +245,26 @@ def test_jdbc_options():
         jdbc.check_written(3, 2, "t")
 
 
+def test_jdbc_counts_while_it_writes(spark, monkeypatch):
+    """The plan runs once; the rows found afterwards must match the rows written."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    kept = {}
+    monkeypatch.setattr(jdbc, "save", lambda frame, options, mode: kept.update(n=len(frame.collect())))
+    monkeypatch.setattr(jdbc, "read", lambda spark, warehouse, **what: spark.range(kept["n"]))
+    frame = spark.range(7).mapInArrow(count, "id long")
+    jdbc.write(frame, jdbc.Warehouse("jdbc:x", "u", "p"), "t")
+    assert runs.value == 7
+    monkeypatch.setattr(jdbc, "read", lambda spark, warehouse, **what: spark.range(6))
+    with pytest.raises(RuntimeError, match="wrote 7 rows but found 6"):
+        jdbc.write(frame, jdbc.Warehouse("jdbc:x", "u", "p"), "t")
+
+
 def test_kafka_options():
     source = kafka.source_options("broker:9092", "trades", max_offsets=100)
     assert source["startingOffsets"] == "earliest" and source["maxOffsetsPerTrigger"] == "100"

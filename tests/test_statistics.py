@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tradeloom.operators import quality, transforms
+from tradeloom.operators import quality, quantiles, transforms
 from tradeloom.operators.quantiles import exact_quantiles
 from tradeloom.plans import rollups
 
@@ -120,17 +120,32 @@ def test_small_checks(spark):
     assert quality.reconcile(frame, frame.limit(1), frame).first().matches is False
 
 
-def test_medians_of_hot_tickers(spark):
-    """All tickers ordinary, all hot, and a mix agree."""
+def test_medians_of_hot_tickers(spark, monkeypatch):
+    """Groups counted whole and bracketed by a sketch agree, and with numpy."""
     rng = random.Random(2)
-    rows = [("hot" if i % 3 else f"t{i % 9}", rng.uniform(1, 9), rng.randrange(1, 50), rng.uniform(1, 900)) for i in range(600)]
+    cents = lambda a, b: round(rng.uniform(a, b), 2)
+    rows = [("hot" if i % 3 else f"t{i % 9}", cents(1, 9), rng.randrange(1, 50), cents(1, 900)) for i in range(600)]
     fact = spark.createDataFrame(
         rows, "stock_ticker string, stock_price double, quantity bigint, total_trade_amount double"
     )
-    tables = []
-    for hot_rows in (10**6, 0, 100):
-        stats = rollups.stock_stats(fact, hot_rows)
-        tables.append(sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in stats.collect()))
-    assert tables[0] == tables[1] == tables[2]
-    prices = [r[1] for r in rows if r[0] == "hot"]
-    assert [t for t in tables[0] if t[0] == "hot"][0][2] == pytest.approx(np.median(prices))
+    for accuracy in (10_000, 200, 40):
+        monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+        got = {r.stock_ticker: r for r in rollups.stock_stats(fact).collect()}
+        for t in {r[0] for r in rows}:
+            assert got[t].stock_price_median == pytest.approx(np.median([r[1] for r in rows if r[0] == t]))
+            assert got[t].quantity_median == pytest.approx(np.median([r[2] for r in rows if r[0] == t]))
+
+
+@pytest.mark.parametrize("accuracy", [20, 100, 1000])
+def test_bracketed_quantiles_equal_numpy(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    rng = random.Random(accuracy)
+    rows = [(None if i % 7 == 0 else "k", float(rng.choice([rng.randrange(50), rng.gauss(0, 1)]))) for i in range(4000)]
+    frame = spark.createDataFrame(rows, "k string, v double")
+    probs = {"low": 0.0, "a": 0.01, "b": 0.37, "c": 0.5, "d": 0.99, "top": 1.0}
+    got = {r.k: r for r in exact_quantiles(frame, ["k"], ["v"], probs).collect()}
+    assert set(got) == {None, "k"}
+    for k, row in got.items():
+        values = [v for key, v in rows if key == k]
+        for name, p in probs.items():
+            assert row[name] == pytest.approx(np.percentile(values, 100 * p), abs=1e-12)

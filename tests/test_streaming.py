@@ -27,10 +27,9 @@ def schema(spark):
     return star.fact(spark, SMALL, *COLUMNS).schema
 
 
-def run(spark, lookups, schema, topic, table, progress, bad):
-    jobs.finish(
-        jobs.append_encoded(messages.subscribe_files(spark, topic), lookups, schema, table, progress, bad)
-    )
+def run(spark, lookups, schema, topic, table, progress, bad, unseen=None):
+    source = messages.subscribe_files(spark, topic)
+    jobs.finish([jobs.append_encoded(source, lookups, schema, table, progress, bad, unseen)])
 
 
 def test_messages_marks_broken_and_restart(spark, fresh, lookups, schema):
@@ -38,7 +37,9 @@ def test_messages_marks_broken_and_restart(spark, fresh, lookups, schema):
         "transaction_id": "1", "timestamp": "1997-05-01 00:00:00", "quantity": 3,
         "stock_sector": "PROMO", "transaction_type": "BUY", "is_holiday": True,
     }
-    topic, table, progress, bad = fresh("topic"), fresh("table"), fresh("progress"), fresh("bad")
+    topic, table, progress, bad, unseen = (fresh(n) for n in ("topic", "table", "progress", "bad", "unseen"))
+    before = encode.encode(spark.createDataFrame([("0",)], "transaction_id string"), lookups)
+    before.write.parquet(f"{table}/batch=-1")
     text(spark, topic, [
         json.dumps(record),
         json.dumps(record | {"transaction_id": "2", "stock_sector": "Space", "is_holiday": None}),
@@ -47,28 +48,29 @@ def test_messages_marks_broken_and_restart(spark, fresh, lookups, schema):
         '"EOS"',
         '{"message": "EOS"}',
     ])
-    run(spark, lookups, schema, topic, table, progress, bad)
-    read = lambda: {r.transaction_id: r for r in spark.read.parquet(table).collect()}
-    got = read()
-    assert set(got) == {"1", "2", "3"}
+    run(spark, lookups, schema, topic, table, progress, bad, unseen)
+    whole = lambda: jobs.read_appended(spark.newSession(), table)
+    got = {r.transaction_id: r for r in spark.read.option("mergeSchema", True).parquet(table).collect()}
+    assert set(got) == {"0", "1", "2", "3"}
+    assert {r.column_name: r.unseen for r in spark.read.json(unseen).collect()} == {"stock_sector": 1, "transaction_type": 1}
     assert (got["1"].stock_sector, got["1"].transaction_type, got["1"].is_holiday) == (3, 0, 1)
     assert (got["2"].stock_sector, got["2"].is_holiday, got["3"].transaction_type) == (-1, -1, -1)
     assert str(got["1"].timestamp) == "1997-05-01 00:00:00"
     assert [r.value for r in spark.read.text(bad).collect()] == ['{"transaction_id": "4", ']
 
     run(spark, lookups, schema, topic, table, progress, bad)
-    assert spark.read.parquet(table).count() == 3
+    assert whole().count() == 4
     text(spark, topic, [json.dumps(record | {"transaction_id": "5"})])
     run(spark, lookups, schema, topic, table, progress, bad)
-    assert spark.read.parquet(table).count() == 4 and spark.read.text(bad).count() == 1
+    assert whole().count() == 5 and spark.read.text(bad).count() == 1
 
 
 def test_stream_equals_batch(spark, fresh, lookups, schema):
     rows = star.fact(spark, SMALL, *COLUMNS)
     topic = messages.publish_files(rows, fresh("topic"))
     table = fresh("table")
-    run(spark, lookups, schema, topic, table, fresh("progress"), None)
-    streamed = spark.read.parquet(table).select(COLUMNS)
+    run(spark, lookups, schema, topic, table, fresh("progress"), fresh("bad"))
+    streamed = jobs.read_appended(spark, table).select(COLUMNS)
     batch = encode.encode(rows, lookups, null_code=encode.UNSEEN).select(COLUMNS)
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
@@ -82,7 +84,7 @@ def test_messages_hold_null_and_text_times(spark):
     assert json.loads(value) == {"x": None, "s": None, "t": "2024-01-02 03:04:05"}
 
 
-def test_hourly_counts_over_two_runs(spark, fresh):
+def test_hourly_counts_out_of_order(spark, fresh):
     path, progress, folder = fresh("hours"), fresh("progress"), fresh("events")
     schema = "ts timestamp, kind string"
 
@@ -92,9 +94,11 @@ def test_hourly_counts_over_two_runs(spark, fresh):
             F.col("ts").cast("timestamp").alias("ts"), "kind"
         ).coalesce(1).write.mode("append").parquet(folder)
         source = spark.readStream.schema(schema).parquet(folder)
-        jobs.finish([jobs.keep_latest(jobs.hourly_counts(source), path, progress)])
-        counts = jobs.latest_counts(spark, path).orderBy("hour").collect()
+        jobs.finish([jobs.count_hours(source, path, progress)])
+        counts = jobs.all_counts(spark, path).orderBy("hour").collect()
         return [r.trades for r in counts]
 
     assert arrive("2024-01-01 10:10:00", "2024-01-01 10:50:00", "2024-01-01 11:05:00") == [2, 1]
     assert arrive("2024-01-01 11:15:00", "2024-01-01 12:00:00") == [2, 2, 1]
+    assert arrive("2023-12-31 10:30:00") == [1, 2, 2, 1]  # a day late
+    assert arrive("2024-01-01 10:00:00", "2024-02-01 00:00:00") == [1, 3, 2, 1, 1]

@@ -3,7 +3,9 @@
 Sums of money are sums of whole 1/10 000 units, so that a result does not depend on
 the order in which partitions are merged; a double sum changes from run to run and
 loses cents once it passes 2**53. The units are added up as two BIGINT halves, which
-is as fast as a double sum and leaves room for 10**12 rows of any amount below 10**11.
+is as fast as a double sum and leaves room for 10**12 rows. A value that is no amount
+of money - not a number, finer than a unit, or beyond MOST - is an error, never a
+wrong sum; other measures are averaged by `avg`.
 """
 
 from __future__ import annotations
@@ -17,14 +19,28 @@ from pyspark.sql import functions as F
 # Units per whole, and the size of the lower half of a unit count in bits.
 UNITS = 10000
 LOW_BITS = 20
+# Amounts from here on are not exact to a unit in a double.
+MOST = 9e11
 
 # Fixed order of the weekdays.
 WEEK = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
+def _units_sql(x: str) -> str:
+    """`x` in whole units, NULL for NULL, an error for what is no amount."""
+    near = f"floor(({x}) * {UNITS} + 0.5D)"
+    # A double holds an amount to some 1e-15 of its size.
+    fits = f"abs(({x}) * {UNITS} - {near}) <= 0.001D + abs({x}) * 1e-11D and abs({x}) < {MOST}"
+    return f"case when ({x}) is null then null when {fits} then {near} else raise_error('no amount of money: ' || ({x})) end"
+
+
 def exact_sum(column: str | Column) -> Column:
-    """Order-independent sum to 1/10 000, NULL for a group without values."""
-    units = F.floor(_col(column).cast("double") * UNITS + 0.5)
+    """Order-independent sum of amounts of money, NULL for a group without values."""
+    x = _col(column).cast("double")
+    near = F.floor(x * UNITS + 0.5)
+    fits = (F.abs(x * UNITS - near) <= 0.001 + F.abs(x) * 1e-11) & (F.abs(x) < MOST)
+    wrong = F.raise_error(F.concat(F.lit("no amount of money: "), x.cast("string"))).cast("bigint")
+    units = F.when(x.isNull(), None).when(fits, near).otherwise(wrong)
     high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
     low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
     return (high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low).cast("double") / UNITS
@@ -32,7 +48,7 @@ def exact_sum(column: str | Column) -> Column:
 
 def exact_sum_sql(expression: str) -> str:
     """exact_sum as SQL text."""
-    units = f"floor(({expression}) * {UNITS} + 0.5D)"
+    units = _units_sql(f"cast({expression} as double)")
     return (
         f"cast(cast(sum(shiftright({units}, {LOW_BITS})) as decimal(20, 0)) * {1 << LOW_BITS}"
         f" + cast(sum({units} & {(1 << LOW_BITS) - 1}) as decimal(20, 0)) as double) / {UNITS}"
@@ -40,7 +56,7 @@ def exact_sum_sql(expression: str) -> str:
 
 
 def exact_avg(column: str | Column) -> Column:
-    """Order-independent mean, NULL for a group without values."""
+    """Order-independent mean of amounts of money, NULL for a group without values."""
     c = _col(column)
     return F.try_divide(exact_sum(c), F.count(c))
 

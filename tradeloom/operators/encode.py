@@ -54,13 +54,16 @@ def encode(
     works on streams as well.
     """
     out = fact
-    for c in [c for c in columns if c in fact.columns and c in lookups.columns]:
+    for c in [c for c in columns if c in fact.columns]:
+        missing = F.when(F.col(c).isNull(), F.lit(null_code).cast("bigint"))
+        if c not in lookups.columns:
+            # Nothing was known when the lookups were fitted, so every value is unseen.
+            out = out.withColumn(c, missing.otherwise(F.lit(UNSEEN).cast("bigint")))
+            continue
         table = lookups.of(c).select(
             F.col("original_value").alias("_value"), F.col("encoded_value").alias("_code")
         )
-        code = F.when(F.col(c).isNull(), F.lit(null_code).cast("bigint")).otherwise(
-            F.coalesce("_code", F.lit(UNSEEN).cast("bigint"))
-        )
+        code = missing.otherwise(F.coalesce("_code", F.lit(UNSEEN).cast("bigint")))
         out = out.join(table, F.col(c) == F.col("_value"), "left").withColumn(c, code).drop("_value", "_code")
     return out.withColumns({c: _flag_code(c, null_code) for c in FLAG_COLUMNS if c in fact.columns})
 
@@ -95,10 +98,6 @@ def unseen_counts(encoded: DataFrame, columns: Sequence[str] = LABEL_COLUMNS) ->
     return [F.count_if(F.col(c) == UNSEEN).alias(c) for c in columns if c in encoded.columns]
 
 
-def read_lookups(spark: SparkSession, path: str) -> Lookups:
-    return Lookups(spark, path)
-
-
 def _entry(name: str, value: Column) -> Column:
     return F.struct(F.lit(name).alias("column_name"), value.cast("string").alias("original_value"))
 

@@ -9,12 +9,6 @@ from pyspark.sql import functions as F
 
 from tradeloom.sources.scratch import materialize
 
-# A key is hot from this many rows on, or from this share of all rows.
-HOT_ROWS = 1_000_000
-# At most this many keys can hold more than 1/HOT_SHARE of all rows each, which
-# bounds the list of hot keys however large the data is.
-HOT_SHARE = 100_000
-
 
 def running_count(
     frame: DataFrame, keys: Sequence[str], order: str, weight: str, out: str, total: str = "total"
@@ -45,79 +39,52 @@ def running_count(
             F.sum("_part").over(Window.partitionBy(*keys)).alias(total),
         )
     )
+    before = before.withColumnsRenamed({c: f"_c_{c}" for c in [*keys, "_slice"]})
+    match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in [*keys, "_slice"]]
     return (
         sliced.withColumn("_inside", F.sum(weight).over(inside))
-        .join(before, [*keys, "_slice"])
+        .join(before, match)
         .withColumn(out, F.col("_before") + F.col("_inside"))
-        .drop("_slice", "_inside", "_before")
+        .select(*frame.columns, total, out)
     )
 
 
-def hot_keys(frame: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with too many rows for one task, as a written table of `_hot_<key>` columns.
-
-    Rows are counted per key before they are shuffled. Fewer than HOT_SHARE keys
-    can pass the filter, so the table may be broadcast.
-    """
-    sizes = frame.groupBy(*keys).count()
-    total = sizes.agg(F.sum("count")).scalar()
-    enough = F.greatest(F.lit(hot_rows), F.floor(total / HOT_SHARE))
-    hot = sizes.filter(F.col("count") > enough).select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    return materialize(hot, "hot-keys")
-
-
 def floored_running_sums(
-    frame: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    deltas: Mapping[str, Column],
-    block: Column,
-    hot_rows: int = HOT_ROWS,
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], deltas: Mapping[str, Column]
 ) -> DataFrame:
     """Running sums that never fall below zero, one output column per delta.
 
     A sum floored at zero after each step equals S - min(0, lowest S so far) with
     S the plain running sum, so two running window functions replace the loop.
 
-    Ordinary keys are windows of their own. A hot key is cut into the blocks given
-    by `block`, an expression that grows with `order`; each block takes over S and
-    its lowest value from the earlier blocks of the key. `frame` is read more than
-    once and should be a table.
+    The rows are range-partitioned along keys and order and written with the number
+    of their slice, as in running_count; a slice takes over S and its lowest value
+    from the key's earlier slices. Keys of any size are spread over tasks alike.
     """
-    plain = {n: F.col(f"_s_{n}") - F.least(F.lit(0), F.col(f"_m_{n}")) for n in deltas}
-    hot = hot_keys(frame, keys, hot_rows)
-    if hot.isEmpty():
-        return _running(frame, keys, order, deltas).select(*frame.columns, *_named(plain))
-
-    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    ordinary = _running(frame.join(F.broadcast(hot), same, "left_anti"), keys, order, deltas)
-    busy = frame.join(F.broadcast(hot), same, "left_semi").withColumn("_block", block)
-    busy = _carried(_running(busy, [*keys, "_block"], order, deltas), keys, list(deltas))
-    # least skips NULLs, so the first block has no earlier floor to regard.
-    taken_over = {
-        n: F.col(f"_o_{n}")
-        + F.col(f"_s_{n}")
-        - F.least(F.lit(0), F.col(f"_o_{n}") + F.col(f"_m_{n}"), F.col(f"_f_{n}"))
-        for n in deltas
-    }
-    return ordinary.select(*frame.columns, *_named(plain)).unionByName(
-        busy.select(*frame.columns, *_named(taken_over))
+    sliced = (
+        frame.withColumns({f"_d_{n}": delta for n, delta in deltas.items()})
+        .repartitionByRange(*keys, *order)
+        .withColumn("_block", F.spark_partition_id())
     )
+    sliced = _running(materialize(sliced, "slices"), [*keys, "_block"], order, list(deltas))
+    carried = _carried(sliced, keys, list(deltas))
+    # least skips NULLs, so the first slice has no earlier floor to regard.
+    taken_over = [
+        (
+            F.col(f"_o_{n}")
+            + F.col(f"_s_{n}")
+            - F.least(F.lit(0), F.col(f"_o_{n}") + F.col(f"_m_{n}"), F.col(f"_f_{n}"))
+        ).alias(n)
+        for n in deltas
+    ]
+    return carried.select(*frame.columns, *taken_over)
 
 
-def _named(columns: Mapping[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
-
-
-def _running(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[str], deltas: Mapping[str, Column]
-) -> DataFrame:
+def _running(frame: DataFrame, keys: Sequence[str], order: Sequence[str], names: Sequence[str]) -> DataFrame:
     """Adds the running sum _s and the lowest running sum so far _m of each delta _d."""
     along = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        frame.withColumns({f"_d_{n}": delta for n, delta in deltas.items()})
-        .withColumns({f"_s_{n}": F.sum(f"_d_{n}").over(along) for n in deltas})
-        .withColumns({f"_m_{n}": F.min(f"_s_{n}").over(along) for n in deltas})
+    return frame.withColumns({f"_s_{n}": F.sum(f"_d_{n}").over(along) for n in names}).withColumns(
+        {f"_m_{n}": F.min(f"_s_{n}").over(along) for n in names}
     )
 
 
@@ -127,7 +94,7 @@ def _carried(blocks: DataFrame, keys: Sequence[str], names: Sequence[str]) -> Da
         *[F.sum(f"_d_{n}").alias(f"_t_{n}") for n in names],
         *[F.min(f"_s_{n}").alias(f"_l_{n}") for n in names],
     )
-    # One row per hot key and block.
+    # One row per key and slice: at most #keys + #slices in all.
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     sums = per_block.withColumns(
         {f"_o_{n}": F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)) for n in names}

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradeloom.functions.columns import exact_avg
 from tradeloom.operators.quantiles import exact_quantiles
 
 
@@ -117,8 +116,8 @@ def describe(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
         .groupBy("column_name")
         .agg(
             F.count(value).alias("count"),
-            exact_avg(value).alias("mean"),
-            F.round(F.stddev_samp(value), 4).alias("std"),
+            F.avg(value).alias("mean"),
+            F.stddev_samp(value).alias("std"),
             F.min(value).alias("min"),
             F.max(value).alias("max"),
         )

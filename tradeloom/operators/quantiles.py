@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.operators.ordered import running_count
+from tradeloom.sources.scratch import materialize
+
+# A sketch of ACCURACY misplaces a rank by n / ACCURACY at most; brackets are MARGIN times
+# as wide, so a bracket of n >= ACCURACY / MARGIN rows also holds the neighbouring ranks.
+ACCURACY, MARGIN = 10_000, 4
 
 
 def exact_quantiles(
@@ -15,23 +21,37 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per key and column: keys, column_name, n and one column per prob.
 
-    Equal values are counted before anything is shuffled, so a value held by a
-    third of the rows is one row afterwards; the distinct values are ranked along
-    a range partitioning. NULLs are left out.
+    A first scan brackets each quantile by a sketch of bounded size. A second one
+    counts the values inside the brackets one by one and those between them together;
+    these few counts are ranked along a range partitioning. Groups smaller than the
+    sketch are counted whole. NULL values are left out, NULL keys are a group.
     """
-    long = frame.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ),
-    ).filter(F.col("value").isNotNull())
     group = [*keys, "column_name"]
-    counts = long.groupBy(*group, "value").agg(F.count("*").alias("n"))
+    pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
+    long = frame.select(*keys, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    reach = MARGIN / ACCURACY
+    ends = [min(max(p + side * reach, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+    brackets = long.groupBy(*group).agg(
+        F.count("*").alias("_n"), F.percentile_approx("value", ends, ACCURACY).alias("_ends")
+    )
+    brackets = materialize(brackets, "brackets").withColumnsRenamed({c: f"_b_{c}" for c in group})
+    if not keys:
+        # One row per column.
+        brackets = F.broadcast(brackets)
+    match = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in group]
+    value, bounds = F.col("value"), F.col("_ends")
+    inside = reduce(
+        lambda a, b: a | b,
+        [value.between(bounds[2 * i], bounds[2 * i + 1]) for i in range(len(probs))],
+        F.col("_n") < ACCURACY / MARGIN,
+    )
+    between = F.size(F.filter(bounds, lambda end: end < value))
+    counts = (
+        long.join(brackets, match)
+        .groupBy(*group, F.when(inside, value).alias("_value"), F.when(~inside, between).alias("_between"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("value"))
+        .drop("_value", "_between")
+    )
     ranked = running_count(counts, group, "value", "n", "upto", total="size")
 
     def at(rank: Column) -> Column:
@@ -42,13 +62,13 @@ def exact_quantiles(
     for name, p in probs.items():
         position = F.lit(float(p)) * (F.col("size") - 1)
         picks += [at(F.floor(position)).alias(f"_{name}_low"), at(F.ceil(position)).alias(f"_{name}_high")]
-    ends = ranked.groupBy(*group, "size").agg(*picks)
+    ends_of = ranked.groupBy(*group, "size").agg(*picks)
 
-    def between(name: str, p: float) -> Column:
+    def interpolated(name: str, p: float) -> Column:
         position = F.lit(float(p)) * (F.col("size") - 1)
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
         return low + (high - low) * (position - F.floor(position))
 
-    return ends.select(
-        *group, F.col("size").alias("n"), *[between(n, p).alias(n) for n, p in probs.items()]
+    return ends_of.select(
+        *group, F.col("size").alias("n"), *[interpolated(n, p).alias(n) for n, p in probs.items()]
     )

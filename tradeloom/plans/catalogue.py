@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from tradeloom.streaming import jobs, messages
 Query = Callable[[SparkSession, str], DataFrame]
 
 NUMBERS = ["quantity", "stock_price", "total_trade_amount", "average_trade_size"]
-BRANDS = star.BRANDS
 
 
 def _over_fact(query: Callable[..., DataFrame], **options) -> Query:
@@ -50,7 +50,7 @@ def src_star(spark: SparkSession, sf: str) -> DataFrame:
     spark_trades = star.fact(spark, sf, *_CSV_COLUMNS).withColumn(
         "cumulative_portfolio_value", F.lit(None).cast("double")
     )
-    days = star.calendar(spark)
+    days = star.calendar(spark, sf)
     tables = {
         "trades": spark_trades,
         "dim_customer": star.customers(spark, sf).select(
@@ -85,7 +85,7 @@ def src_star(spark: SparkSession, sf: str) -> DataFrame:
     }
     for name, table in tables.items():
         sinks.save(table, f"{folder}/{name}.csv", "csv")
-    loaded = files.load_star(spark, folder, BRANDS)
+    loaded = files.load_star(spark, folder, star.brands(spark, sf))
     keys = {
         "trades": F.col("customer_id"),
         "dim_customer": F.col("customer_id"),
@@ -169,14 +169,14 @@ def src_json_logs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def agg_querylog_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return rollups.query_log_metrics(_query_logs(spark, sf))
+    return _rounded(rollups.query_log_metrics(_query_logs(spark, sf)), "avg_execution_time", digits=6)
 
 
 def _saved(format: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         path = scratch.fresh_path(spark, f"saved-{format}")
         result = questions.volume_by_ticker(star.fact(spark, sf, "stock_ticker", "quantity"))
-        sinks.save(result, path, format, single_file=True)
+        sinks.save(result, path, format)
         reader = spark.read.schema(result.schema)
         return (reader.option("header", True) if format == "csv" else reader).format(format).load(path)
 
@@ -184,14 +184,16 @@ def _saved(format: str) -> Query:
 
 
 def snk_result(spark: SparkSession, sf: str) -> DataFrame:
-    """A result written to files, here read back next to an empty one that keeps its columns."""
-    fact = star.fact(spark, sf, "stock_sector", "stock_price")
-    result = questions.price_by_sector(fact)
-    path, empty = scratch.fresh_path(spark, "result"), scratch.fresh_path(spark, "result-empty")
-    sinks.save_result(result, path)
-    sinks.save_result(result.filter("stock_sector = 'no such sector'"), empty)
-    read = lambda p: spark.read.schema(result.schema).option("header", True).csv(p)
-    return read(path).unionByName(read(empty))
+    """A result written to files and to a table, and an empty one that keeps its columns, read back."""
+    result = questions.price_by_sector(star.fact(spark, sf, "stock_sector", "stock_price"))
+    parts = []
+    for label, frame in (("whole", result), ("empty", result.filter("stock_sector = 'no such sector'"))):
+        path = scratch.fresh_path(spark, f"result-{label}")
+        table = path.rpartition("/")[2].replace("-", "_")
+        sinks.save_result(frame, path, table)
+        files_read = spark.read.schema(result.schema).option("header", True).csv(path)
+        parts += [files_read.withColumn("place", F.lit("files")), spark.table(table).withColumn("place", F.lit("table"))]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def snk_csv_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,7 +219,7 @@ def snk_lookup(spark: SparkSession, sf: str) -> DataFrame:
 def src_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """One column of written lookups."""
     written = encode.fit_lookups(star.fact(spark, sf, "stock_sector", "transaction_type"))
-    return encode.read_lookups(spark, written.path).of("stock_sector")
+    return Lookups(spark, written.path).of("stock_sector")
 
 
 def snk_summary_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -236,7 +238,7 @@ def snk_query_result(spark: SparkSession, sf: str) -> DataFrame:
 
 def src_table_info(spark: SparkSession, sf: str) -> DataFrame:
     files.register(star.read(spark, sf, "lineitem"), "lineitem_info")
-    return files.table_info(spark, "lineitem_info").select("position", "column_name", "row_count")
+    return files.table_info(spark, "lineitem_info")
 
 
 # --- projections and filters ---------------------------------------------------
@@ -346,12 +348,12 @@ def flt_distinct_values(spark: SparkSession, sf: str) -> DataFrame:
 def _filled_panel(spark: SparkSession, sf: str, method: str = "ffill") -> DataFrame:
     """The filled long panel as a table; it has a row per day and brand."""
     return scratch.materialize(
-        prices.fill_prices(prices.melt(star.price_panel(spark, sf), BRANDS), method), "prices"
+        prices.fill_prices(prices.melt(star.price_panel(spark, sf)), method), "prices"
     )
 
 
 def jn_price(spark: SparkSession, sf: str) -> DataFrame:
-    quotes = scratch.materialize(prices.melt(star.price_panel(spark, sf), BRANDS), "prices")
+    quotes = scratch.materialize(prices.melt(star.price_panel(spark, sf)), "prices")
     trades = star.fact(spark, sf, "transaction_id", "timestamp", "stock_industry")
     return integrate.with_prices(trades, quotes, "stock_industry")
 
@@ -363,7 +365,7 @@ def jn_customer(spark: SparkSession, sf: str) -> DataFrame:
 
 def jn_date(spark: SparkSession, sf: str) -> DataFrame:
     trades = star.fact(spark, sf, "transaction_id", "timestamp")
-    return integrate.with_calendar(trades, star.calendar(spark))
+    return integrate.with_calendar(trades, star.calendar(spark, sf))
 
 
 def jn_stock(spark: SparkSession, sf: str) -> DataFrame:
@@ -376,7 +378,7 @@ def jn_integrate(spark: SparkSession, sf: str) -> DataFrame:
         star.trades(spark, sf),
         _filled_panel(spark, sf),
         star.customers(spark, sf),
-        star.calendar(spark),
+        star.calendar(spark, sf),
         star.stocks(spark, sf),
         price_ticker="stock_industry",
     )
@@ -402,7 +404,7 @@ def jn_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 def q2b_avg_price_onehot(spark: SparkSession, sf: str) -> DataFrame:
     fact = star.fact(spark, sf, "stock_sector", "stock_price")
-    flags = [(F.col("stock_sector") == s).cast("int").alias(f"sector_{s}") for s in star.SECTORS]
+    flags = [(F.col("stock_sector") == s).cast("int").alias(f"sector_{s}") for s in star.sectors(spark, sf)]
     onehot = fact.select(F.log1p("stock_price").alias("stock_price"), *flags)
     out = questions.price_by_onehot(onehot)
     return out.select(
@@ -414,11 +416,22 @@ def q2b_avg_price_onehot(spark: SparkSession, sf: str) -> DataFrame:
 
 def agg_stock_stats(spark: SparkSession, sf: str) -> DataFrame:
     stats = rollups.stock_stats(star.fact(spark, sf, *rollups.stock_stats.reads))
+    stats = _rounded(stats, "stock_price_std", digits=4)
     return _rounded(stats, "stock_price_median", "quantity_median", "total_trade_amount_median")
 
 
+def an_stock_perf(spark: SparkSession, sf: str) -> DataFrame:
+    found = questions.stock_performance(star.fact(spark, sf, *questions.stock_performance.reads))
+    return _rounded(found, "price_volatility", digits=4)
+
+
+def agg_sector_price_stats(spark: SparkSession, sf: str) -> DataFrame:
+    found = rollups.sector_price_stats(star.fact(spark, sf, *rollups.sector_price_stats.reads))
+    return _rounded(found, "std_price", digits=4)
+
+
 def agg_heatmap(spark: SparkSession, sf: str) -> DataFrame:
-    return rollups.day_sector_heatmap(star.fact(spark, sf, "day_name", "stock_sector"), star.SECTORS)
+    return rollups.day_sector_heatmap(star.fact(spark, sf, "day_name", "stock_sector"), star.sectors(spark, sf))
 
 
 def _weekdays_only(query: Callable[..., DataFrame]) -> Query:
@@ -440,7 +453,7 @@ def adhoc_sql(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fill(method: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return prices.fill_prices(prices.melt(star.price_panel(spark, sf), BRANDS), method)
+        return prices.fill_prices(prices.melt(star.price_panel(spark, sf)), method)
 
     return run
 
@@ -457,25 +470,26 @@ def win_position(spark: SparkSession, sf: str) -> DataFrame:
 
 def win_portfolio_map(spark: SparkSession, sf: str) -> DataFrame:
     """The holdings map, as text so that it compares."""
-    held = portfolio.portfolio_map(_written_trades(spark, sf), BRANDS)
+    held = portfolio.portfolio_map(_written_trades(spark, sf), star.brands(spark, sf))
     entries = F.transform(
         F.array_sort(F.map_entries("holdings")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
     )
     return held.select("transaction_id", F.array_join(entries, ",").alias("holdings"))
 
 
-def _valued_positions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """(positions with the value of each portfolio at filled prices, panel with its holes)."""
-    panel = scratch.materialize(star.price_panel(spark, sf), "panel")
-    filled = prices.widen(prices.fill_prices(prices.melt(panel, BRANDS)), BRANDS)
-    positions = portfolio.all_positions(_written_trades(spark, sf), BRANDS)
+def _valued_positions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Positions with the value of each portfolio at filled prices, panel with its holes, tickers."""
+    brands = star.brands(spark, sf)
+    panel = scratch.materialize(star.price_panel(spark, sf, brands), "panel")
+    filled = prices.widen(prices.fill_prices(prices.melt(panel, brands)), brands)
+    positions = portfolio.all_positions(_written_trades(spark, sf), brands)
     filled = scratch.materialize(filled, "filled")
-    return portfolio.portfolio_value(positions, filled, BRANDS), panel
+    return portfolio.portfolio_value(positions, filled, brands), panel, brands
 
 
 def jn_holdings_prices(spark: SparkSession, sf: str) -> DataFrame:
-    positions, panel = _valued_positions(spark, sf)
-    checked = portfolio.holdings_against_prices(positions, panel, BRANDS)
+    positions, panel, brands = _valued_positions(spark, sf)
+    checked = portfolio.holdings_against_prices(positions, panel, brands)
     return checked.select(
         "transaction_id",
         "date",
@@ -489,8 +503,8 @@ def jn_holdings_prices(spark: SparkSession, sf: str) -> DataFrame:
 def price_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """What the observed prices alone decide: one price per day and ticker, from the
     first deciding trade."""
-    positions, panel = _valued_positions(spark, sf)
-    found = portfolio.price_candidates(portfolio.holdings_against_prices(positions, panel, BRANDS))
+    positions, panel, brands = _valued_positions(spark, sf)
+    found = portfolio.price_candidates(portfolio.holdings_against_prices(positions, panel, brands))
     first = F.struct("customer_id", "timestamp", "transaction_id")
     return found.groupBy("date", F.col("missing_ticker").alias("stock_ticker")).agg(
         F.round(F.min_by("inferred_price", first), 4).alias("inferred_price"),
@@ -500,9 +514,9 @@ def price_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 def win_price_inference(spark: SparkSession, sf: str) -> DataFrame:
     """Prices inferred for holes of the panel: (date, stock_ticker, stock_price)."""
-    positions, panel = _valued_positions(spark, sf)
-    inferred = prices.melt(portfolio.infer_from_positions(positions, panel, BRANDS), BRANDS)
-    known = prices.melt(panel, BRANDS).filter("stock_price is not null").select("date", "stock_ticker")
+    positions, panel, brands = _valued_positions(spark, sf)
+    inferred = prices.melt(portfolio.infer_from_positions(positions, panel, brands), brands)
+    known = prices.melt(panel, brands).filter("stock_price is not null").select("date", "stock_ticker")
     new = inferred.filter("stock_price is not null").join(known, ["date", "stock_ticker"], "left_anti")
     return new.withColumn("stock_price", F.round("stock_price", 4))
 
@@ -526,8 +540,10 @@ def set_append(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def set_duplicates(spark: SparkSession, sf: str) -> DataFrame:
-    """Repeated (order, line) pairs; these tables do repeat them."""
-    return quality.duplicate_rows(star.read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"))
+    """Fully repeated line items: the table with its sales and its first lines once more."""
+    lines = star.read(spark, sf, "lineitem")
+    copies = lines.filter("l_returnflag = 'R'").unionAll(lines.filter("l_linenumber = 1"))
+    return quality.duplicate_rows(lines.unionAll(copies))
 
 
 def set_distinct(spark: SparkSession, sf: str) -> DataFrame:
@@ -578,12 +594,13 @@ def fn_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fn_melt(spark: SparkSession, sf: str) -> DataFrame:
-    return prices.melt(star.price_panel(spark, sf), BRANDS)
+    return prices.melt(star.price_panel(spark, sf))
 
 
 def fn_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    wide = prices.widen(prices.melt(star.price_panel(spark, sf), BRANDS), BRANDS)
-    return wide.withColumnsRenamed({b: b.replace("#", "_") for b in BRANDS})
+    brands = star.brands(spark, sf)
+    wide = prices.widen(prices.melt(star.price_panel(spark, sf, brands), brands), brands)
+    return wide.withColumnsRenamed({b: b.replace("#", "_") for b in brands})
 
 
 # --- data quality and transforms -----------------------------------------------
@@ -591,7 +608,8 @@ def fn_pivot(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_nulls(spark: SparkSession, sf: str) -> DataFrame:
     """Holes of the price panel, per ticker."""
-    return quality.null_counts(star.price_panel(spark, sf), BRANDS)
+    brands = star.brands(spark, sf)
+    return quality.null_counts(star.price_panel(spark, sf, brands), brands)
 
 
 def _number_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -608,7 +626,8 @@ def dq_outliers_z(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_describe(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(quality.describe(_number_fact(spark, sf), NUMBERS), "q25", "q50", "q75")
+    found = _rounded(quality.describe(_number_fact(spark, sf), NUMBERS), "mean", "std", digits=4)
+    return _rounded(found, "q25", "q50", "q75")
 
 
 def dq_value_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -642,9 +661,10 @@ def _treated(method: str, digits: int, threshold: float = 0.01) -> Query:
 
 def tf_outlier_interpolate(spark: SparkSession, sf: str) -> DataFrame:
     """Outliers of the panel replaced along the dates, where a ticker has enough of them."""
-    panel = scratch.materialize(star.price_panel(spark, sf), "panel")
-    params = transforms.fit_outliers(panel, BRANDS, "interpolate", threshold=0.02)
-    return prices.melt(transforms.apply_outliers(panel, params, BRANDS, "interpolate"), BRANDS)
+    brands = star.brands(spark, sf)
+    panel = scratch.materialize(star.price_panel(spark, sf, brands), "panel")
+    params = transforms.fit_outliers(panel, brands, "interpolate", threshold=0.02)
+    return prices.melt(transforms.apply_outliers(panel, params, brands, "interpolate"), brands)
 
 
 def tf_inverse(spark: SparkSession, sf: str) -> DataFrame:
@@ -658,9 +678,10 @@ def tf_inverse(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tf_imputation_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    panel = scratch.materialize(star.price_panel(spark, sf), "panel")
-    filled = prices.widen(prices.fill_prices(prices.melt(panel, BRANDS)), BRANDS)
-    return transforms.imputation_lookup(panel, filled, BRANDS, "ffill")
+    brands = star.brands(spark, sf)
+    panel = scratch.materialize(star.price_panel(spark, sf, brands), "panel")
+    filled = prices.widen(prices.fill_prices(prices.melt(panel, brands)), brands)
+    return transforms.imputation_lookup(panel, filled, brands, "ffill")
 
 
 _ENCODED = ["transaction_id", *schemas.LABEL_COLUMNS, *schemas.FLAG_COLUMNS]
@@ -684,13 +705,14 @@ def tf_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 def _pipeline(order: Callable[[pipelines.Star], DataFrame], with_portfolio: bool = False) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        panel = scratch.materialize(star.price_panel(spark, sf), "panel")
+        brands = star.brands(spark, sf)
+        panel = scratch.materialize(star.price_panel(spark, sf, brands), "panel")
         valued = None
         if with_portfolio:
-            filled = prices.widen(prices.fill_prices(prices.melt(panel, BRANDS)), BRANDS)
+            filled = prices.widen(prices.fill_prices(prices.melt(panel, brands)), brands)
             written = _written_trades(spark, sf)
-            positions = portfolio.all_positions(written, BRANDS)
-            valued = portfolio.portfolio_value(positions, scratch.materialize(filled, "filled"), BRANDS).select(
+            positions = portfolio.all_positions(written, brands)
+            valued = portfolio.portfolio_value(positions, scratch.materialize(filled, "filled"), brands).select(
                 *written.columns, "cumulative_portfolio_value"
             )
             valued = scratch.materialize(valued, "valued")
@@ -699,9 +721,9 @@ def _pipeline(order: Callable[[pipelines.Star], DataFrame], with_portfolio: bool
                 trades=star.trades(spark, sf),
                 prices=panel,
                 customers=star.customers(spark, sf),
-                calendar=star.calendar(spark),
+                calendar=star.calendar(spark, sf),
                 stocks=star.stocks(spark, sf),
-                tickers=BRANDS,
+                tickers=brands,
                 price_ticker="stock_industry",
                 portfolio_trades=valued,
             )
@@ -716,15 +738,14 @@ def _pipeline(order: Callable[[pipelines.Star], DataFrame], with_portfolio: bool
 _STREAMED = ["transaction_id", "timestamp", "customer_id", "quantity", "stock_price", *schemas.LABEL_COLUMNS, *schemas.FLAG_COLUMNS]
 
 
-def _stream_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Main part and stream part of the fact, as tables."""
-    path = scratch.fresh_path(spark, "split")
-    return split.write_split(star.fact(spark, sf, *_STREAMED), path, keys=_trade_keys(spark, sf))
+def _stream_parts(spark: SparkSession, sf: str, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """Main part and stream part of the fact. The cut between them is located once, on the keys."""
+    return split.split_for_streaming(star.fact(spark, sf, *(columns or _STREAMED)), keys=_trade_keys(spark, sf))
 
 
 def st_produce(spark: SparkSession, sf: str) -> DataFrame:
     """The messages as published, end-of-stream included, parsed back by path."""
-    _, stream = _stream_parts(spark, sf)
+    _, stream = _stream_parts(spark, sf, "transaction_id", "timestamp", "quantity")
     path = messages.publish_files(stream, scratch.fresh_path(spark, "topic"))
     text = spark.read.text(path)
     end = F.col("value").isin(messages.END_OF_STREAM)
@@ -736,34 +757,32 @@ def st_produce(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _streamed(spark: SparkSession, sf: str, main: DataFrame, stream: DataFrame, table: str) -> str:
-    """Publish `stream`, encode it by lookups of `main`, append to `table`; returns the quarantine."""
-    lookups = encode.fit_lookups(main.select(*schemas.LABEL_COLUMNS, *schemas.FLAG_COLUMNS))
+def _streamed(spark: SparkSession, stream: DataFrame, lookups: Lookups, table: str) -> tuple[str, str]:
+    """Publish `stream` and append it, encoded, to `table`; returns quarantine and unseen counts."""
     topic = messages.publish_files(stream, scratch.fresh_path(spark, "topic"))
-    quarantine = scratch.fresh_path(spark, "quarantine")
+    quarantine, unseen = scratch.fresh_path(spark, "quarantine"), scratch.fresh_path(spark, "unseen")
     source = messages.subscribe_files(spark, topic)
-    jobs.finish(
-        jobs.append_encoded(
-            source, lookups, stream.schema, table, scratch.fresh_path(spark, "progress"), quarantine
-        )
-    )
-    return quarantine
+    progress = scratch.fresh_path(spark, "progress")
+    jobs.finish([jobs.append_encoded(source, lookups, stream.schema, table, progress, quarantine, unseen)])
+    return quarantine, unseen
+
+
+def _main_lookups(main: DataFrame) -> Lookups:
+    return encode.fit_lookups(main.select(*schemas.LABEL_COLUMNS, *schemas.FLAG_COLUMNS))
 
 
 def st_encode(spark: SparkSession, sf: str) -> DataFrame:
     main, stream = _stream_parts(spark, sf)
     table = scratch.fresh_path(spark, "stream-encoded")
-    _streamed(spark, sf, main, stream, table)
-    return _read_stream_table(spark, table)
-
-
-def _read_stream_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table).select("transaction_id", "quantity", "stock_price", *schemas.LABEL_COLUMNS, *schemas.FLAG_COLUMNS)
+    _streamed(spark, stream, _main_lookups(main), table)
+    return jobs.read_appended(spark, table).select(
+        "transaction_id", "quantity", "stock_price", *schemas.LABEL_COLUMNS, *schemas.FLAG_COLUMNS
+    )
 
 
 def st_source(spark: SparkSession, sf: str) -> DataFrame:
     """The stream part through source, end-of-stream filter and parser, uncoded."""
-    _, stream = _stream_parts(spark, sf)
+    _, stream = _stream_parts(spark, sf, "transaction_id", "customer_id", "quantity", "stock_ticker", "is_weekend")
     topic = messages.publish_files(stream, scratch.fresh_path(spark, "topic"))
     parsed = messages.parse(messages.subscribe_files(spark, topic), stream.schema)
     table = scratch.fresh_path(spark, "received")
@@ -801,52 +820,51 @@ def st_bad_record(spark: SparkSession, sf: str) -> DataFrame:
     lookups = encode.fit_lookups(events.filter("transaction_type <> 'view'").select("transaction_type"))
     table, quarantine = scratch.fresh_path(spark, "good"), scratch.fresh_path(spark, "bad")
     source = messages.subscribe_files(spark, topic)
-    jobs.finish(
-        jobs.append_encoded(source, lookups, events.schema, table, scratch.fresh_path(spark, "progress"), quarantine)
-    )
+    progress, unseen = scratch.fresh_path(spark, "progress"), scratch.fresh_path(spark, "unseen")
+    jobs.finish([jobs.append_encoded(source, lookups, events.schema, table, progress, quarantine, unseen)])
     good = spark.read.parquet(table).groupBy(F.col("transaction_type").alias("code")).agg(F.count("*").alias("records"))
     bad = spark.read.text(quarantine).agg(F.count("*").alias("records")).withColumn("code", F.lit(None).cast("bigint"))
-    return good.unionByName(bad)
+    # The counter kept beside the stream, as a code of its own.
+    warned = spark.read.json(unseen).agg(F.sum("unseen").alias("records")).withColumn("code", F.lit(-100).cast("bigint"))
+    return good.unionByName(bad).unionByName(warned)
 
 
-def st_append(spark: SparkSession, sf: str) -> DataFrame:
-    """The encoded main part with the encoded stream part appended, by ticker code."""
+def st_append(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """The table of the encoded main part, to which the stream part is appended, and its path."""
     main, stream = _stream_parts(spark, sf)
     table = scratch.fresh_path(spark, "full")
-    lookups = encode.fit_lookups(main.select(*schemas.LABEL_COLUMNS, *schemas.FLAG_COLUMNS))
-    coded = encode.encode(main, lookups)
-    topic = messages.publish_files(stream, scratch.fresh_path(spark, "topic"))
-    arrived = scratch.fresh_path(spark, "arrived")
-    jobs.finish(
-        jobs.append_encoded(
-            messages.subscribe_files(spark, topic), lookups, stream.schema, arrived, scratch.fresh_path(spark, "progress")
-        )
-    )
-    sinks.save(sinks.append(coded, spark.read.schema(coded.schema).parquet(arrived)), table, "parquet")
-    return spark.read.parquet(table)
+    lookups = _main_lookups(main)
+    sinks.save(encode.encode(main, lookups), f"{table}/batch=-1", "parquet")
+    _streamed(spark, stream, lookups, table)
+    return jobs.read_appended(spark, table), table
 
 
 def st_append_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return st_append(spark, sf).groupBy("stock_ticker", "transaction_type").agg(
+    appended, _ = st_append(spark, sf)
+    return appended.groupBy("stock_ticker", "transaction_type").agg(
         F.count("*").alias("trades"), F.sum("quantity").alias("quantity")
     )
 
 
 def st_final_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The appended table published under its name and read through the catalog."""
-    files.register(st_append(spark, sf), "final_stock_trades")
+    """The appended files as a table of the catalog under its name, read through it."""
+    _, path = st_append(spark, sf)
+    # A table of its own over the files the stream has appended to.
+    spark.sql("drop table if exists final_stock_trades")
+    spark.catalog.createTable("final_stock_trades", path=path, source="parquet")
+    spark.catalog.recoverPartitions("final_stock_trades")
     return spark.table("final_stock_trades").select("transaction_id", "transaction_type", "stock_sector", "quantity")
 
 
 def st_monitor(spark: SparkSession, sf: str) -> DataFrame:
-    """Events per hour and type, counted as a stream."""
-    schema = star.read(spark, sf, "events").schema
-    source = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
-    source = source.withColumn("ts", F.col("ts").cast("timestamp"))
+    """Events per hour and type, counted as a stream of several batches whose times overlap."""
+    events = star.read(spark, sf, "events")
+    topic = scratch.fresh_path(spark, "events")
+    events.repartition(4, F.hash("event_id")).write.parquet(topic)
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(topic)
     path = scratch.fresh_path(spark, "hours")
-    counts = jobs.hourly_counts(source, "ts", "1 hour", "event_type")
-    jobs.finish([jobs.keep_latest(counts, path, scratch.fresh_path(spark, "progress"))])
-    hours = jobs.latest_counts(spark, path, "event_type")
+    jobs.finish([jobs.count_hours(source, path, scratch.fresh_path(spark, "progress"), "ts", "event_type")])
+    hours = jobs.all_counts(spark, path, "event_type")
     return hours.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
@@ -927,7 +945,7 @@ def queries() -> dict[str, Query]:
         "sql_q5b_liquidity_pivot": _over_fact(q.sql_liquidity_buy_sell),
         "sql_q5c_liquidity_pivot_full": _over_fact(q.sql_liquidity_overview),
         "types_distinct": _over_fact(q.transaction_types),
-        "an_stock_perf": _over_fact(q.stock_performance),
+        "an_stock_perf": an_stock_perf,
         "an_sector": _over_fact(q.sector_analysis),
         "an_customer_type": _over_fact(q.customer_type_analysis),
         "an_temporal": _over_fact(q.temporal_analysis),
@@ -951,7 +969,7 @@ def queries() -> dict[str, Query]:
         "agg_kpi": _over_fact(r.kpis),
         "agg_volume_top_bottom5": _over_fact(r.volume_top_bottom),
         "agg_price_trend": _over_fact(r.price_trend),
-        "agg_sector_price_stats": _over_fact(r.sector_price_stats),
+        "agg_sector_price_stats": agg_sector_price_stats,
         "agg_type_counts": _over_fact(r.type_counts),
         "agg_customer_hist": _over_fact(r.customer_histogram),
         "agg_recent_hourly": _over_fact(r.recent_hourly),

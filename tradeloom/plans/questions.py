@@ -274,7 +274,7 @@ def stock_performance(stocks: DataFrame) -> DataFrame:
         exact_avg("stock_price").alias("avg_price"),
         F.max("stock_price").alias("max_price"),
         F.min("stock_price").alias("min_price"),
-        F.round(F.stddev_samp("stock_price"), 4).alias("price_volatility"),
+        F.stddev_samp("stock_price").alias("price_volatility"),
         exact_sum("total_trade_amount").alias("total_value"),
     )
     return _ranked(per_ticker, "total_value", "stock_ticker")

@@ -20,7 +20,6 @@ from tradeloom.functions.columns import (
     weekday_position,
     year_month,
 )
-from tradeloom.operators.ordered import HOT_ROWS, hot_keys
 from tradeloom.operators.quantiles import exact_quantiles
 from tradeloom.plans.reads import reads
 
@@ -284,7 +283,7 @@ def sector_price_stats(fact: DataFrame) -> DataFrame:
         avg_price=exact_avg("stock_price"),
         min_price=F.min("stock_price"),
         max_price=F.max("stock_price"),
-        std_price=F.round(F.stddev_samp("stock_price"), 4),
+        std_price=F.stddev_samp("stock_price"),
     )
 
 
@@ -348,36 +347,22 @@ def monthly_price(fact: DataFrame) -> DataFrame:
 
 
 @reads("stock_ticker", "stock_price", *MEASURES)
-def stock_stats(fact: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Mean, exact median and deviation per ticker.
-
-    An ordinary ticker's median is an aggregate like the others. The values of a hot
-    ticker would not fit one task; they are ranked across tasks instead.
-    """
+def stock_stats(fact: DataFrame) -> DataFrame:
+    """Mean, exact median and deviation per ticker. Medians are ranked across tasks."""
     known = fact.dropna(subset=["stock_ticker"])
     measured = ["stock_price", "quantity", "total_trade_amount"]
     moments = {
         "stock_price_mean": exact_avg("stock_price"),
-        "stock_price_std": F.round(F.stddev_samp("stock_price"), 4),
+        "stock_price_std": F.stddev_samp("stock_price"),
         "quantity_mean": exact_avg("quantity"),
         "total_trade_amount_mean": exact_avg("total_trade_amount"),
     }
-    medians = {f"{c}_median": F.median(c) for c in measured}
-    shown = ["stock_ticker", *[f"{c}_{m}" for c in measured for m in ("mean", "median")], "stock_price_std"]
-    hot = hot_keys(known, ["stock_ticker"], hot_rows)
-    if hot.isEmpty():
-        return _by(known, "stock_ticker", **moments, **medians).select(*shown)
-
-    same = F.col("stock_ticker") == F.col("_hot_stock_ticker")
-    ordinary = _by(known.join(F.broadcast(hot), same, "left_anti"), "stock_ticker", **moments, **medians)
-    busy = known.join(F.broadcast(hot), same, "left_semi")
-    halves = exact_quantiles(busy, ["stock_ticker"], measured, {"median": 0.5})
-    ranked = halves.groupBy("stock_ticker").agg(
+    halves = exact_quantiles(known, ["stock_ticker"], measured, {"median": 0.5})
+    medians = halves.groupBy("stock_ticker").agg(
         *[F.max(F.when(F.col("column_name") == c, F.col("median"))).alias(f"{c}_median") for c in measured]
     )
-    return ordinary.select(*shown).unionByName(
-        _by(busy, "stock_ticker", **moments).join(ranked, "stock_ticker", "left").select(*shown)
-    )
+    shown = ["stock_ticker", *[f"{c}_{m}" for c in measured for m in ("mean", "median")], "stock_price_std"]
+    return _by(known, "stock_ticker", **moments).join(medians, "stock_ticker", "left").select(*shown)
 
 
 def query_log_metrics(log: DataFrame) -> DataFrame:
@@ -386,7 +371,7 @@ def query_log_metrics(log: DataFrame) -> DataFrame:
         F.count("*").alias("total_queries"),
         F.count_if(F.col("status") == "success").alias("successful_queries"),
         F.count_if(F.col("status") != "success").alias("failed_queries"),
-        exact_avg("execution_time_ms").alias("avg_execution_time"),
+        F.avg("execution_time_ms").alias("avg_execution_time"),
         F.max("timestamp").alias("last_updated"),
     )
 

@@ -23,13 +23,8 @@ from tradeloom.schemas import FACT_COLUMNS
 
 # Fixed month-days that count as holidays.
 HOLIDAYS = ["01-01", "05-01", "07-04", "12-25"]
-# Fixed span of the calendar: 41 years, so 14 975 rows whatever the data size.
-CALENDAR_FIRST, CALENDAR_DAYS = "1990-01-01", 14975
-
-# Tickers of the price panel, one column each.
-BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-# Values of the stock sector.
-SECTORS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# Most days of a calendar and most columns of a panel; more are refused.
+MOST_DAYS, MOST_COLUMNS = 400_000, 2000
 
 _FROM_ORDERS = ["timestamp", "date", "customer_id", "average_trade_size"]
 _FROM_CALENDAR = {"day_name", "is_weekend", "is_holiday"}
@@ -44,7 +39,26 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def ticker(part_key: str) -> Column:
-    return F.concat(F.lit("STK"), F.lpad(F.col(part_key).cast("string"), 12, "0"))
+    """STK and the key with leading zeros to 12 digits; longer keys stay whole."""
+    key = F.col(part_key).cast("string")
+    return F.concat(F.lit("STK"), F.when(F.length(key) < 12, F.lpad(key, 12, "0")).otherwise(key))
+
+
+def few_values(frame: DataFrame, column: str, most: int = MOST_COLUMNS) -> list[str]:
+    """The known values of a column that become columns, in order; too many are an error."""
+    rows = frame.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return [r[0] for r in rows]
+
+
+def brands(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Tickers of the price panel, one column each."""
+    return few_values(read(spark, sf_dir, "part"), "p_brand")
+
+
+def sectors(spark: SparkSession, sf_dir: str) -> list[str]:
+    return few_values(read(spark, sf_dir, "part"), "p_type")
 
 
 def price_ticks() -> Column:
@@ -69,10 +83,19 @@ def transaction_id() -> Column:
     )
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    """One row per day. Its size is fixed by the span, so it is safe to broadcast."""
-    date = F.date_add(F.lit(CALENDAR_FIRST).cast("date"), F.col("id").cast("int"))
-    days = spark.range(0, CALENDAR_DAYS, numPartitions=1).select(date.alias("date"))
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per day from the first order to the last.
+
+    The span is read first and checked, so the calendar has MOST_DAYS rows at most and
+    may be broadcast.
+    """
+    order = F.to_date("o_orderdate")
+    span = read(spark, sf_dir, "orders").agg(F.min(order).alias("first"), F.max(order).alias("last")).first()
+    n = (span["last"] - span["first"]).days + 1 if span["first"] else 0
+    if n > MOST_DAYS:
+        raise ValueError(f"orders span {n} days, more than {MOST_DAYS}")
+    date = F.date_add(F.lit(span["first"]).cast("date"), F.col("id").cast("int"))
+    days = spark.range(0, n, numPartitions=1).select(date.alias("date"))
     return days.select(
         "date",
         day_name("date").alias("day_name"),
@@ -116,7 +139,7 @@ def _orders(spark: SparkSession, sf_dir: str, with_calendar: bool, with_customer
         F.col("o_totalprice").alias("average_trade_size"),
     )
     if with_calendar:
-        orders = orders.join(F.broadcast(calendar(spark)), "date", "left")
+        orders = orders.join(F.broadcast(calendar(spark, sf_dir)), "date", "left")
     if with_customers:
         who = customers(spark, sf_dir).withColumnRenamed("account_type", "customer_account_type")
         orders = orders.join(who, "customer_id", "left")
@@ -188,12 +211,12 @@ def observed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def price_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def price_panel(spark: SparkSession, sf_dir: str, tickers: list[str] | None = None) -> DataFrame:
     """Wide panel: `date` and one column per brand, NULL where a brand did not trade."""
     return (
         observed_prices(spark, sf_dir)
         .groupBy("date")
-        .pivot("stock_ticker", BRANDS)
+        .pivot("stock_ticker", brands(spark, sf_dir) if tickers is None else tickers)
         .agg(F.first("stock_price"))
     )
 

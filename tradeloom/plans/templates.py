@@ -118,7 +118,11 @@ def run_template(name: str, stocks: DataFrame, **values: str) -> DataFrame:
     return stocks.sparkSession.sql(TEMPLATES[name], args=values, stocks=stocks)
 
 
-def run_sql(spark: SparkSession, text: str, limit: int | None = 1000) -> DataFrame:
-    """A user's SELECT over the registered views, capped for display by default."""
-    result = spark.sql(text)
-    return result if limit is None else result.limit(limit)
+def run_sql(spark: SparkSession, text: str) -> DataFrame:
+    """A user's SELECT over the registered views, with all its rows."""
+    return spark.sql(text)
+
+
+def preview_sql(spark: SparkSession, text: str, rows: int = 1000) -> DataFrame:
+    """Some rows of a SELECT for display: the first ones if it is ordered, else any."""
+    return spark.sql(text).limit(rows)

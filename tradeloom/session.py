@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Runtime settings, safe to apply to a session somebody else created. Sizes of
@@ -23,13 +25,17 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", partitions: int = 8, name: str = "tradeloom") -> SparkSession:
-    """A local session for tests and the benchmark; clusters bring their own."""
+    """A local session for tests and the benchmark; clusters bring their own.
+
+    Its scratch folder is on this machine, as are all its executors.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tradeloom-"))
         .config("spark.sql.shuffle.partitions", str(partitions))
         .getOrCreate()
     )

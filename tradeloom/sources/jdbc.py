@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed meaning of the write modes.
 MODES = {"replace": "overwrite", "append": "append", "fail": "error"}
@@ -64,15 +65,24 @@ def read(spark: SparkSession, warehouse: Warehouse, **what) -> DataFrame:
 
 
 def write(frame: DataFrame, warehouse: Warehouse, table: str, if_exists: str = "replace") -> None:
-    """Write, then compare the number of rows read back with the number written."""
+    """Write, then compare the number of rows read back with the number written.
+
+    The rows are counted while they are written, so the plan behind `frame` runs once.
+    """
     mode = write_mode(if_exists)
     spark = frame.sparkSession
     before = 0
     if if_exists == "append":
         before = read(spark, warehouse, table=table).count()
-    frame.write.format("jdbc").options(**warehouse.options(), dbtable=table).mode(mode).save()
-    written = read(spark, warehouse, table=table).count() - before
-    check_written(frame.count(), written, table)
+    seen = Observation()
+    counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
+    save(counted, warehouse.options() | {"dbtable": table}, mode)
+    found = read(spark, warehouse, table=table).count() - before
+    check_written(seen.get["rows"], found, table)
+
+
+def save(frame: DataFrame, options: dict[str, str], mode: str) -> None:
+    frame.write.format("jdbc").options(**options).mode(mode).save()
 
 
 def write_mode(if_exists: str) -> str:

@@ -2,33 +2,44 @@
 
 A written table survives the loss of executors, cuts the lineage and gives
 Catalyst true file sizes, so that it picks broadcast or shuffle joins from facts
-instead of guesses.
+instead of guesses. `release` removes what an application has written there.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; a local session may do without one."""
+    """Folder named by spark.checkpoint.dir, which must be set.
+
+    A path on one machine serves a session whose executors all run there; on a
+    cluster it is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tradeloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    master = spark.conf.get("spark.master", "")
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+    return checked_folder(folder, master, default)
+
+
+def checked_folder(folder: str, master: str, default: str = "file:///") -> str:
+    scheme = folder.partition(":")[0] if ":" in folder else default.partition(":")[0]
+    if scheme == "file" and not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir is {folder}, which the executors of {master} do not share")
+    return folder.rstrip("/")
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tradeloom/{spark.conf.get('spark.app.id', 'app')}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path nobody else uses, grouped by application for easy cleaning."""
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{shared_folder(spark)}/tradeloom/{app}/{label}-{uuid.uuid4().hex}"
+    """A path nobody else uses, below the application's folder."""
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(frame: DataFrame, label: str) -> DataFrame:
@@ -37,3 +48,9 @@ def materialize(frame: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove this application's tables; results that read them must have been used before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

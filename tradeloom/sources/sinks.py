@@ -9,12 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 FORMATS = ("csv", "parquet", "json")
 
 
-def save(frame: DataFrame, path: str, format: str = "csv", single_file: bool = False) -> str:
-    """Overwrite `path`. `single_file` is meant for aggregated results only."""
+def save(frame: DataFrame, path: str, format: str = "csv") -> str:
+    """Overwrite `path`; every task writes its own file."""
     if format not in FORMATS:
         raise ValueError(f"unknown format {format!r}, expected one of {FORMATS}")
-    out = frame.coalesce(1) if single_file else frame
-    writer = out.write.mode("overwrite").format(format)
+    writer = frame.write.mode("overwrite").format(format)
     if format == "csv":
         writer = writer.option("header", True)
     writer.save(path)
@@ -28,18 +27,24 @@ def save_result(frame: DataFrame, path: str, table: str | None = None, format: s
     run twice. An empty result keeps its columns in both places.
     """
     spark = frame.sparkSession
-    save(frame, path, format, single_file=True)
+    save(frame, path, format)
     if table is not None:
         reader = spark.read.schema(frame.schema)
         if format == "csv":
             reader = reader.option("header", True)
-        reader.format(format).load(path).write.mode("overwrite").format("parquet").saveAsTable(table)
+        save_table(reader.format(format).load(path), table, f"{path}-table")
     return path
 
 
+def save_table(frame: DataFrame, table: str, path: str) -> DataFrame:
+    """Overwrite a table of the catalog whose files are at `path`; returns the table."""
+    frame.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(table)
+    return frame.sparkSession.table(table)
+
+
 def save_sample(frame: DataFrame, path: str, key: str, n: int = 10) -> str:
     """The first n rows by `key` as CSV."""
-    return save(frame.orderBy(key).limit(n), path, "csv", single_file=True)
+    return save(frame.orderBy(key).limit(n), path, "csv")
 
 
 def save_summary(summary: DataFrame, path: str) -> str:

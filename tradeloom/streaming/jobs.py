@@ -2,48 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tradeloom.operators.encode import UNSEEN, encode
+from tradeloom.operators.encode import UNSEEN, encode, unseen_counts
 from tradeloom.sources.lookups import Lookups
 from tradeloom.streaming.messages import parse
 
 
-def encode_messages(
-    messages: DataFrame, lookups: Lookups, schema: T.StructType
-) -> tuple[DataFrame, DataFrame]:
-    """(encoded records, broken messages) of a stream or batch of JSON messages.
-
-    Unseen and missing categories become -1.
-    """
-    parsed = parse(messages, schema)
-    good = parsed.filter(~F.col("broken")).select("record.*")
-    bad = parsed.filter("broken").select("value")
-    return encode(good, lookups, null_code=UNSEEN), bad
-
-
 def append_encoded(
     messages: DataFrame,
     lookups: Lookups,
     schema: T.StructType,
     table_path: str,
     checkpoint: str,
-    quarantine_path: str | None = None,
-) -> list[StreamingQuery]:
-    """Start appending encoded records to `table_path`, broken ones to the quarantine.
-
-    Each sink is a file sink with its own checkpoint: its log names the files of
-    every finished batch, so a batch that is run again adds nothing. The queries
-    stop when the source is drained.
+    quarantine_path: str,
+    unseen_path: str | None = None,
+) -> StreamingQuery:
+    """Start appending encoded records to `table_path`, broken messages to the quarantine.
+
+    Messages are parsed once. Every batch is a directory of its own in the table and in
+    the quarantine, named by the batch's number, so a batch that is run again replaces
+    itself and records written otherwise stay. Unseen and missing categories become -1;
+    how many there were is counted while a batch is written and, if `unseen_path` is
+    given, kept there by batch. The query stops when the source is drained.
     """
-    records, broken = encode_messages(messages, lookups, schema)
-    queries = [drain(records, table_path, f"{checkpoint}/records", "parquet")]
-    if quarantine_path is not None:
-        queries.append(drain(broken, quarantine_path, f"{checkpoint}/quarantine", "text"))
-    return queries
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            good = encode(batch.filter(~F.col("broken")).select("record.*"), lookups, null_code=UNSEEN)
+            seen = Observation()
+            counts = unseen_counts(good)
+            watched = good.observe(seen, *counts) if counts else good
+            watched.write.mode("overwrite").parquet(f"{table_path}/batch={number}")
+            batch.filter("broken").select("value").write.mode("overwrite").text(f"{quarantine_path}/batch={number}")
+            if counts and unseen_path:
+                rows = [(c, int(n or 0)) for c, n in seen.get.items()]
+                found = batch.sparkSession.createDataFrame(rows, "column_name string, unseen bigint")
+                found.write.mode("overwrite").json(f"{unseen_path}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    return (
+        parse(messages, schema)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+    )
+
+
+def read_appended(spark: SparkSession, table_path: str) -> DataFrame:
+    """The records of a table filled batch by batch."""
+    return spark.read.parquet(table_path).drop("batch")
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str, format: str) -> StreamingQuery:
@@ -63,36 +77,29 @@ def finish(queries: list[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def hourly_counts(stream: DataFrame, time: str = "ts", late: str = "1 hour", *keys: str) -> DataFrame:
-    """Rows per hour (and per key); the watermark lets finished hours leave the state."""
-    return (
-        stream.withWatermark(time, late)
-        .groupBy(F.window(time, "1 hour").alias("hour"), *keys)
-        .agg(F.count("*").alias("trades"))
-        .select(F.col("hour.start").alias("hour"), *keys, "trades")
-    )
+def hourly_counts(frame: DataFrame, time: str = "ts", *keys: str) -> DataFrame:
+    """Rows per hour and per key."""
+    return frame.groupBy(F.date_trunc("hour", time).alias("hour"), *keys).agg(F.count("*").alias("trades"))
 
 
-def keep_latest(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write the hours each batch changed, under the batch's number.
+def count_hours(stream: DataFrame, path: str, checkpoint: str, time: str = "ts", *keys: str) -> StreamingQuery:
+    """Write the counts of each batch under the batch's number.
 
-    Writing a batch twice overwrites its own directory. Readers take the row of the
-    highest batch for every hour, see latest_counts.
+    Writing a batch twice overwrites its own directory. Counts of batches are added up
+    when they are read, so a row counts however late it comes and no state is kept.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        hourly_counts(batch, time, *keys).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return (
-        counts.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()
     )
 
 
-def latest_counts(spark: SparkSession, path: str, *keys: str) -> DataFrame:
-    """The current count of every hour written by keep_latest."""
-    changes = spark.read.parquet(path)
-    return changes.groupBy("hour", *keys).agg(F.max_by("trades", "batch").alias("trades"))
+def all_counts(spark: SparkSession, path: str, *keys: str) -> DataFrame:
+    """The count of every hour over all batches written by count_hours."""
+    return spark.read.parquet(path).groupBy("hour", *keys).agg(F.sum("trades").alias("trades"))
