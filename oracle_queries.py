@@ -229,19 +229,78 @@ def treated(change: str, digits: int) -> str:
     )
 
 
-def panel_log_pipeline() -> str:
-    """The fact with forward-filled prices; log and z-score are undone again."""
+_FACT_OF_PIPELINE = """transaction_id, "timestamp", customer_id, s.stock_ticker, transaction_type, quantity,
+  round({size}, 4) AS average_trade_size, round({price}, 4) AS stock_price,
+  round({price} * quantity, 4) AS total_trade_amount, customer_account_type, day_name,
+  is_weekend, is_holiday, stock_liquidity_tier, stock_sector, stock_industry"""
+
+
+def log_pipeline(panel: str, logged: str) -> str:
+    """The fact with treated prices and sizes beside the restored ones.
+
+    panel: prices of which the outliers are counted; logged: the prices that are used, logged
+    where a ticker has enough outliers.
+    """
+    restored = "CASE WHEN f.flagged THEN exp(f.stock_price) - 1 ELSE f.stock_price END"
     return over_star(
-        """SELECT transaction_id, "timestamp", customer_id, s.stock_ticker, transaction_type, quantity,
-                  round(average_trade_size, 4) AS average_trade_size, round(f.stock_price, 4) AS stock_price,
-                  round(f.stock_price * quantity, 4) AS total_trade_amount, customer_account_type, day_name,
-                  is_weekend, is_holiday, stock_liquidity_tier, stock_sector, stock_industry
-           FROM stocks s LEFT JOIN filled f ON f.date = s.date AND f.stock_ticker = s.stock_industry""",
+        f"""SELECT {_FACT_OF_PIPELINE.format(size="average_trade_size", price=f"({restored})")},
+                  round(f.stock_price, 4) AS treated_price,
+                  round((average_trade_size - z.mean) / z.deviation, 4) + 0 AS treated_size
+           FROM stocks s
+           LEFT JOIN (SELECT l.*, flagged FROM {logged} l JOIN judged ON column_name = l.stock_ticker) f
+             ON f.date = s.date AND f.stock_ticker = s.stock_industry
+           CROSS JOIN (SELECT avg(average_trade_size) AS mean, stddev_samp(average_trade_size) AS deviation FROM trades) z""",
         PANEL,
         FILLED,
+        f"long AS (SELECT stock_ticker AS column_name, stock_price AS value FROM {panel})",
+        bounds(0.02),
+        f"""logs AS (SELECT date, stock_ticker, CASE WHEN flagged THEN ln(1 + stock_price) ELSE stock_price END AS stock_price
+            FROM {panel} JOIN judged ON column_name = stock_ticker)""",
+        f"filled_logs AS ({_fill('logs')})",
     )
 
 
+def inference(body: str, *more: str, rounds: int = 25) -> str:
+    """Prices inferred from portfolios as `inferred` (date, stock_ticker, stock_price).
+
+    In a round, every day's first trade behind the day's last deciding one that holds exactly
+    one unpriced ticker decides its price. A day without such a trade is done, and a round
+    decides one ticker per day, so there are as many rounds as tickers.
+    """
+    steps = [
+        """positions AS MATERIALIZED (
+          SELECT p.pos, h.date, h.stock_ticker, h.quantity
+          FROM held h JOIN (SELECT transaction_id, row_number() OVER (ORDER BY customer_id, "timestamp", transaction_id) AS pos
+                            FROM brand_trades) p ON p.transaction_id = h.transaction_id
+          WHERE h.quantity > 0 AND h.date IN (SELECT date FROM panel WHERE stock_price IS NULL))""",
+        """worth AS MATERIALIZED (
+          SELECT pos, sum(f.stock_price * quantity) AS portfolio_value
+          FROM positions p JOIN filled f ON f.date = p.date AND f.stock_ticker = p.stock_ticker GROUP BY pos)""",
+        "state0 AS MATERIALIZED (SELECT date, stock_ticker, stock_price FROM panel)",
+        "reach0 AS MATERIALIZED (SELECT DISTINCT date, CAST(0 AS BIGINT) AS pos FROM state0 WHERE stock_price IS NULL)",
+    ]
+    for r in range(rounds):
+        steps += [
+            f"""look{r} AS MATERIALIZED (
+              SELECT p.pos, p.date, count(*) FILTER (WHERE s.stock_price IS NULL) AS missing,
+                     coalesce(sum(s.stock_price * quantity), 0) AS known,
+                     min(CASE WHEN s.stock_price IS NULL THEN p.stock_ticker END) AS ticker,
+                     min(CASE WHEN s.stock_price IS NULL THEN quantity END) AS amount
+              FROM positions p JOIN reach{r} r ON r.date = p.date AND p.pos > r.pos
+              JOIN state{r} s ON s.date = p.date AND s.stock_ticker = p.stock_ticker GROUP BY p.pos, p.date)""",
+            f"""hit{r} AS MATERIALIZED (
+              SELECT date, min(pos) AS pos, arg_min(ticker, pos) AS ticker, arg_min(price, pos) AS price
+              FROM (SELECT l.date, l.pos, ticker, (portfolio_value - known) / amount AS price
+                    FROM look{r} l JOIN worth w ON w.pos = l.pos WHERE missing = 1)
+              WHERE price > 0 AND price < 10000 GROUP BY date)""",
+            f"""state{r + 1} AS MATERIALIZED (
+              SELECT s.date, s.stock_ticker, coalesce(s.stock_price, CASE WHEN h.ticker = s.stock_ticker THEN h.price END) AS stock_price
+              FROM state{r} s LEFT JOIN hit{r} h ON h.date = s.date)""",
+            f"reach{r + 1} AS MATERIALIZED (SELECT date, pos FROM hit{r})",
+        ]
+    return over_portfolio(body, *steps, f"inferred AS (SELECT * FROM state{rounds})", *more)
+
+
 def profile() -> str:
     columns = {
         "customer_id": "number", "stock_ticker": "text", "transaction_type": "text", "quantity": "number",
@@ -298,7 +357,9 @@ def oracle_sql() -> dict[str, str]:
                  FROM (SELECT DISTINCT date AS d FROM trades)"""
         ),
         "src_csv_infer": over_star("SELECT transaction_id, customer_id, quantity, stock_price, transaction_type FROM trades"),
-        "src_frame_to_spark": over_star("SELECT transaction_id, transaction_type, stock_sector, is_holiday FROM stocks"),
+        "src_frame_to_spark": over_star(
+            "SELECT transaction_id, transaction_type, stock_sector, is_holiday, dense_rank() OVER (ORDER BY stock_sector) - 1 AS sector_code FROM stocks"
+        ),
         "src_view": by("stock_sector", f"{volume()} AS volume, count(*) AS n"),
         "src_preview": over_star(f"SELECT {fact} FROM stocks ORDER BY transaction_id LIMIT 10"),
         "src_fallback": over_star("SELECT transaction_id, stock_ticker, quantity FROM trades"),
@@ -650,6 +711,11 @@ def oracle_sql() -> dict[str, str]:
                FROM ({candidates}) WHERE inferred_price > 0 AND inferred_price < 10000 GROUP BY 1, 2""",
             CHECKED,
         ),
+        "win_price_inference": inference(
+            """SELECT i.date, i.stock_ticker, round(i.stock_price, 4) AS stock_price
+               FROM inferred i JOIN panel p ON p.date = i.date AND p.stock_ticker = i.stock_ticker
+               WHERE p.stock_price IS NULL AND i.stock_price IS NOT NULL"""
+        ),
         "win_label_codes": over_star(f"SELECT * FROM ({label_rows('stocks', LABELS)})"),
         # sets
         "set_append": over_star(
@@ -708,7 +774,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "tf_cap": treated("greatest(least({x}, {p}.upper), {p}.lower)", 8),
         "tf_log": treated("ln(1 + {x})", 6),
-        "tf_log_offset": treated("ln({x} + CASE WHEN {p}.low <= 0 THEN 1 - {p}.low ELSE 0 END)", 6),
+        "tf_log_offset": """SELECT c_custkey, round(ln(c_acctbal + CASE WHEN low <= 0 THEN 1 - low ELSE 0 END), 6) + 0 AS c_acctbal
+            FROM customer CROSS JOIN (SELECT min(c_acctbal) AS low FROM customer)""",
         "tf_zscore": treated("({x} - {p}.mean) / {p}.std_samp", 4),
         "tf_zscore_pop": treated("({x} - {p}.mean) / {p}.std_pop", 4),
         "tf_outlier_interpolate": over_panel(
@@ -722,7 +789,12 @@ def oracle_sql() -> dict[str, str]:
                FROM panel JOIN judged j ON j.column_name = stock_ticker)""",
             f"interpolated AS ({_interpolate('masked')})",
         ),
-        "tf_inverse": over_star("SELECT transaction_id, stock_price, total_trade_amount FROM trades"),
+        "tf_inverse": over_star(
+            """SELECT transaction_id, stock_price, total_trade_amount, round(ln(1 + stock_price), 4) AS stock_price_log,
+                 round((total_trade_amount - mean) / deviation, 4) + 0 AS total_trade_amount_zscore
+               FROM trades CROSS JOIN (SELECT avg(total_trade_amount) AS mean, stddev_samp(total_trade_amount) AS deviation
+                                       FROM trades)"""
+        ),
         "tf_imputation_lookup": over_panel(
             """SELECT stock_ticker AS column_name, 'NaN' AS original_value, 'ffill' AS imputed_value,
                  count(f.stock_price) - count(p.stock_price) AS filled_cells
@@ -735,10 +807,19 @@ def oracle_sql() -> dict[str, str]:
         ),
         "tf_decode": over_star(
             f"""SELECT transaction_id, {', '.join(LABELS + FLAGS)}, "timestamp", date, CAST(year(date) AS INT) AS year,
-                CAST(month(date) AS INT) AS month, monthname(date) AS month_name FROM stocks"""
+                CAST(month(date) AS INT) AS month, monthname(date) AS month_name, dense_rank() OVER (ORDER BY stock_sector) - 1 AS sector_code
+                FROM stocks"""
+        ),
+        "pipe_app": log_pipeline("panel", "filled_logs"),
+        "pipe_dag": log_pipeline("filled", "logs"),
+        "pipe_m1": inference(
+            f"""SELECT {_FACT_OF_PIPELINE.format(size="greatest(least(average_trade_size, upper), lower)", price="f.stock_price")}
+               FROM stocks s LEFT JOIN interpolated f ON f.date = s.date AND f.stock_ticker = s.stock_industry CROSS JOIN caps""",
+            f"interpolated AS ({_interpolate('inferred')})",
+            """caps AS (SELECT q1 - 0.3 * (q3 - q1) AS lower, q3 + 0.3 * (q3 - q1) AS upper
+                        FROM (SELECT quantile_cont(average_trade_size, 0.25) AS q1, quantile_cont(average_trade_size, 0.75) AS q3
+                              FROM trades))""",
         ),
-        "pipe_app": panel_log_pipeline(),
-        "pipe_dag": panel_log_pipeline(),
         # streaming
         "st_produce": over_star(
             """SELECT FALSE AS is_end, transaction_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", quantity FROM arriving

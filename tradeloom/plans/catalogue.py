@@ -115,13 +115,14 @@ def src_csv_infer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def src_frame_to_spark(spark: SparkSession, sf: str) -> DataFrame:
-    """The encoded file straight into Spark and decoded there."""
+    """The encoded file straight into Spark and decoded there, the code beside the value."""
     path = scratch.fresh_path(spark, "encoded") + ".csv"
     fact = star.fact(spark, sf, "transaction_id", "transaction_type", "stock_sector", "is_holiday")
     lookups = encode.fit_lookups(fact)
     sinks.save(encode.encode(fact, lookups), path, "csv")
     schema = "transaction_id string, transaction_type bigint, stock_sector bigint, is_holiday int"
-    return encode.decode(files.read_csv(spark, path, schema), lookups)
+    loaded = files.read_csv(spark, path, schema).withColumn("sector_code", F.col("stock_sector"))
+    return encode.decode(loaded, lookups)
 
 
 def src_view(spark: SparkSession, sf: str) -> DataFrame:
@@ -668,13 +669,23 @@ def tf_outlier_interpolate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tf_inverse(spark: SparkSession, sf: str) -> DataFrame:
-    """Log of prices and z-score of amounts, both undone."""
+    """Log of prices and z-score of amounts, as treated and undone again."""
     fact = star.fact(spark, sf, "transaction_id", "stock_price", "total_trade_amount")
-    out = fact
+    out, treated = fact, []
     for column, method in (("stock_price", "log"), ("total_trade_amount", "zscore")):
         params = transforms.fit_outliers(fact, [column], method, 0.0)
-        out = transforms.undo(transforms.apply_outliers(out, params, [column], method), params, [column], method)
-    return _rounded(out, "stock_price", "total_trade_amount", digits=4)
+        between = transforms.apply_outliers(out, params, [column], method).withColumn(f"{column}_{method}", F.col(column))
+        out = transforms.undo(between, params, [column], method)
+        treated.append(f"{column}_{method}")
+    return _rounded(out, "stock_price", "total_trade_amount", *treated, digits=4)
+
+
+def tf_log_offset(spark: SparkSession, sf: str) -> DataFrame:
+    """Logs of account balances, some of which are negative and so moved to 1 and above."""
+    balances = star.read(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    params = transforms.fit_outliers(balances, ["c_acctbal"], "log_offset", 0.0)
+    logged = transforms.apply_outliers(balances, params, ["c_acctbal"], "log_offset")
+    return _rounded(logged, "c_acctbal", digits=6)
 
 
 def tf_imputation_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -697,13 +708,16 @@ def tf_encode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tf_decode(spark: SparkSession, sf: str) -> DataFrame:
-    """Encoded, decoded and with date parts: the input again."""
+    """Encoded, decoded and with date parts: the input again, with the sector's code beside it."""
     fact = star.fact(spark, sf, *_ENCODED, "timestamp")
     lookups = encode.fit_lookups(fact.drop("transaction_id", "timestamp"))
-    return encode.with_date_parts(encode.decode(encode.encode(fact, lookups), lookups))
+    coded = encode.encode(fact, lookups).withColumn("sector_code", F.col("stock_sector"))
+    return encode.with_date_parts(encode.decode(coded, lookups))
 
 
 def _pipeline(order: Callable[[pipelines.Star], DataFrame], with_portfolio: bool = False) -> Query:
+    """A cleaning order with gates that these tables pass: without outliers nothing is treated."""
+
     def run(spark: SparkSession, sf: str) -> DataFrame:
         brands = star.brands(spark, sf)
         panel = scratch.materialize(star.price_panel(spark, sf, brands), "panel")
@@ -726,9 +740,13 @@ def _pipeline(order: Callable[[pipelines.Star], DataFrame], with_portfolio: bool
                 tickers=brands,
                 price_ticker="stock_industry",
                 portfolio_trades=valued,
+                panel_gate=0.02,
+                trade_gate=0.0,
+                reach=0.3 if with_portfolio else 1.5,
             )
         )
-        return _rounded(out, "average_trade_size", "stock_price", "total_trade_amount", digits=4)
+        treated = [c for c in pipelines.TREATED if c in out.columns]
+        return _rounded(out, "average_trade_size", "stock_price", "total_trade_amount", *treated, digits=4)
 
     return run
 
@@ -1031,7 +1049,7 @@ def queries() -> dict[str, Query]:
         "dq_reconcile": dq_reconcile,
         "tf_cap": _treated("cap", 8),
         "tf_log": _treated("log", 6),
-        "tf_log_offset": _treated("log_offset", 6),
+        "tf_log_offset": tf_log_offset,
         "tf_zscore": _treated("zscore", 4),
         "tf_zscore_pop": _treated("zscore_pop", 4),
         "tf_outlier_interpolate": tf_outlier_interpolate,
