@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm import decontaminate, mixing, parity, pii, quality
-from tradeloom.llm.frames import col, free_name
+from tradeloom.llm.frames import col, free_name, prepare
 from tradeloom.sources.scratch import materialize
 
 
@@ -42,12 +42,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.emit(docs)
 
 
+def _prepared(stage):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality", reject_low_quality),
-    ("near_copies", drop_near_copies),
-    ("decontamination", drop_contaminated),
-    ("personal_data", redact_personal_data),
-    ("mix", mix_sources),
+    ("quality", _prepared(reject_low_quality)),
+    ("near_copies", _prepared(drop_near_copies)),
+    ("decontamination", _prepared(drop_contaminated)),
+    ("personal_data", _prepared(redact_personal_data)),
+    ("mix", _prepared(mix_sources)),
 ]
 # The models and the joins of near copies have no counterpart in SQL; tests compare the stages
 # with brute force.

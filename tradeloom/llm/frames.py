@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,3 +35,22 @@ def unit_hash(seed: int, *columns: Column) -> Column:
     """
     text = F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in columns])
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+
+
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession, batch: str = "16m") -> None:
+    """Let a session run the operators: send the package to its Python workers, once, and
+    bound what is passed to a worker at once, which arrays multiply there."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", batch)
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tradeloom-")) / "tradeloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)

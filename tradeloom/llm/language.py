@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.frames import col, held_out
 from tradeloom.llm.sampling import per_class_sample
-from tradeloom.llm.texts import LOWER, Texts, slices
+from tradeloom.llm.texts import LOWER, PIECE, Texts, slices
 
 BITS = 12  # n-grams are hashed to 2**BITS features
 MAX_TRAIN = 400  # rows of each language that are used for fitting
@@ -69,22 +69,23 @@ def codewords(k: int, seed: int = 2) -> np.ndarray:
 def ngrams(texts: Texts) -> np.ndarray:
     """Shares of the hashed 2- and 3-grams of each text (half of the features each)."""
     n, size = len(texts), 1 << (BITS - 1)
-    seen = SEEN[texts.data].astype(np.uint32)
     counts = np.zeros((n, 2 * size), np.float32)
-    if len(seen) < 2:
-        return counts
-    doc = np.repeat(np.arange(n, dtype=np.int64), np.diff(texts.offsets))
-    value = (seen[:-1] << 8) | seen[1:]
-    for part in range(2):
-        if part:
-            value = (value[:-1] << 8) | seen[2:]
-        if not len(value):
+    for a in range(0, len(texts.data), PIECE):
+        # n-grams that start in this piece
+        seen = SEEN[texts.data[a : a + PIECE + 2]].astype(np.uint32)
+        if len(seen) < 2:
             break
-        feature = (value * np.uint32(0x9E3779B1)) >> np.uint32(33 - BITS)
-        last = part + 1
-        inside = (doc[last:] == doc[:-last]) & (value != (0x202020 if part else 0x2020))
-        found = np.bincount(doc[last:][inside] * size + feature[inside], minlength=n * size)
-        counts[:, part * size : (part + 1) * size] = found.reshape(n, size)
+        doc = np.repeat(np.arange(n), np.diff(np.clip(texts.offsets, a, a + len(seen))))
+        value = (seen[:-1] << 8) | seen[1:]
+        for part in range(2):
+            if part:
+                value = (value[:-1] << 8) | seen[2:]
+            starts = slice(0, min(len(value), PIECE))
+            here, last = value[starts], doc[part + 1 :][starts]
+            inside = (last == doc[starts]) & (here != (0x202020 if part else 0x2020))
+            feature = (here * np.uint32(0x9E3779B1)) >> np.uint32(33 - BITS)
+            found = np.bincount(last[inside] * size + feature[inside], minlength=n * size)
+            counts[:, part * size : (part + 1) * size] += found.reshape(n, size)
     counts = np.sqrt(counts)
     length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
     return counts / np.maximum(length, 1e-9)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+
 from tradeloom.llm.decontaminate import op3_decontaminate
+from tradeloom.llm.frames import prepare
 from tradeloom.llm.language import op2_language_id
 from tradeloom.llm.mixing import op5_mix_sources
 from tradeloom.llm.parity import op9_ngram_jaccard
@@ -13,18 +16,28 @@ from tradeloom.llm.tokens import op4_token_counts
 from tradeloom.llm.toxicity import op10_toxicity
 from tradeloom.llm.vectors import op6_embedding_dedup
 
-QUERIES = {
-    "op1_quality": op1_quality,
-    "op2_language_id": op2_language_id,
-    "op3_decontaminate": op3_decontaminate,
-    "op4_token_counts": op4_token_counts,
-    "op5_mix_sources": op5_mix_sources,
-    "op6_embedding_dedup": op6_embedding_dedup,
-    "op7_suffix_dedup": op7_suffix_dedup,
-    "op8_pii": op8_pii,
-    "op9_ngram_jaccard": op9_ngram_jaccard,
-    "op10_toxicity": op10_toxicity,
-}
+
+def _prepared(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+OPERATORS = (
+    op1_quality,
+    op2_language_id,
+    op3_decontaminate,
+    op4_token_counts,
+    op5_mix_sources,
+    op6_embedding_dedup,
+    op7_suffix_dedup,
+    op8_pii,
+    op9_ngram_jaccard,
+    op10_toxicity,
+)
+QUERIES = {query.__name__: _prepared(query) for query in OPERATORS}
 
 MIX_SQL = r"""
 WITH sized AS (
@@ -61,4 +74,53 @@ SELECT doc_id, size, source_size, target,
 FROM rated
 """
 
-ORACLE_SQL = {"op5_mix_sources": MIX_SQL}
+VECTOR_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+    SELECT vec_id AS x, vec_id AS y FROM v
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), least AS (
+    SELECT x, min(y) AS component_id FROM reach GROUP BY x
+), counted AS (
+    SELECT x, count(*) AS n FROM links GROUP BY x
+)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN least ON least.x = v.vec_id LEFT JOIN counted ON counted.x = v.vec_id
+"""
+
+NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, md5(array_to_string(words[i:i + 4], ' ')) AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM w WHERE len(words) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY 1, 2
+), links AS (
+    SELECT x, y FROM common c JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * c.n >= 75 * (p.n + q.n - c.n)
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM w
+    UNION
+    SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM w JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x = w.doc_id
+LEFT JOIN sizes ON sizes.doc_id = w.doc_id
+"""
+
+ORACLE_SQL = {
+    "op5_mix_sources": MIX_SQL,
+    "op6_embedding_dedup": VECTOR_SQL,
+    "op9_ngram_jaccard": NEAR_SQL,
+}

@@ -13,8 +13,10 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 SLICE_ROWS = 1 << 10
+# Bytes for which 64-bit values are made at once.
+PIECE = 1 << 20
 # Words are separated by these: space, and tab to carriage return.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -119,8 +121,15 @@ def prefix_values(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Calla
 
 
 def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each run."""
-    return mix(prefix_values(data, start, end)(end - start))
+    """A 64-bit hash of the bytes of each run; about PIECE bytes of runs are in work at once."""
+    length = end - start
+    upto = np.cumsum(length)
+    cuts = np.searchsorted(upto, np.arange(PIECE, upto[-1], PIECE)) if len(upto) else np.zeros(0, np.int64)
+    bounds = np.unique(np.concatenate([[0], cuts, [len(start)]]))
+    out = np.empty(len(start), np.uint64)
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        out[a:b] = prefix_values(data, start[a:b], end[a:b])(length[a:b])
+    return mix(out)
 
 
 def words(texts: Texts) -> Words:
