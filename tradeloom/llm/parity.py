@@ -10,14 +10,18 @@ difference changes one lane, so the lanes in which two sketches differ are at mo
 difference, and with more lanes than that one lane is equal: documents that share a lane are
 candidates (pigeonhole). A document is sketched in its own band and, if it is small enough to
 have partners there, in the band below. Lanes are numerous enough that an equal lane is not
-just an empty one; the few documents with too many empty lanes also emit these.
+just an empty one; the few documents with too many empty lanes also emit these. The same count
+says how many lanes a document must share at least: documents that share fewer are left out
+before any pair is made.
 
-Sieve. A parity sketch of about one bit per shingle (each shingle flips a bit) bounds the
+Sieve. A parity sketch of four bits or more per shingle (each shingle flips a bit) bounds the
 difference from below by its Hamming distance. Candidates that pass are compared exactly.
 
-Groups that share a lane are not expanded into pairs: in a group of more than SMALL documents
-all are compared with its smallest; then only documents that are still in different classes
-are compared, block by block, by their sketches first.
+Groups that share a lane are not expanded into pairs. In a group of more than SMALL documents
+all are compared with its smallest. Then those outside a group's largest class are compared
+with the one of PROBES others that is nearest by the sketches, some rounds long. What is then
+still in different classes is compared by the sketches, block by block, and what passes
+exactly.
 
 Equal sets are one set throughout. Texts without words link with nothing, with fewer than
 five words they are one shingle. Null ids link with nothing new; rows that share an id are
@@ -28,18 +32,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
 from tradeloom.llm.frames import col, free_name
-from tradeloom.llm.texts import SHINGLE_BITS, mix, shingles, slices, words
+from tradeloom.llm.texts import SHINGLE_BITS, mix, shingles, slices, trim, words
 from tradeloom.sources.scratch import materialize
 
 PERCENT = 75
 SMALL = 8  # documents of a group that is compared pair by pair at once
 BLOCK = 512  # documents of a block of a larger group
-FLUSH = 1 << 21  # lanes a task gathers before it passes them on
+PROBES = 64  # documents of other classes that one is compared with in a round
+ROUNDS = 2  # rounds of these comparisons at most
+WIDTH = 2  # a parity sketch has 2**WIDTH bits or more for each shingle, one for ranking has one
+FLUSH = 1 << 20  # lanes a task gathers before it passes them on
+TASK = 1 << 21  # lanes of a bucket, about
 BITMAP = 1 << 20  # slots of the bitmap of documents whose sets are wanted
 
 
@@ -82,17 +91,23 @@ def set_keys(doc: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np
     return size, keys[0], keys[1]
 
 
-def lanes(doc: np.ndarray, value: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and signatures of their lanes, in all bands they are sketched in."""
-    out_doc, out_sig = [], []
+def lanes(doc: np.ndarray, value: np.ndarray, size: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Documents, bands and signatures of lanes, in all bands a document is sketched in; and
+    documents, bands and the least number of lanes they share there with a document they link
+    with: what remains of the lanes after the largest difference and the document's empty ones.
+    """
+    out: list[list[np.ndarray]] = [[], [], []]
+    needs: list[list[np.ndarray]] = [[], [], []]
     own = np.searchsorted(FIRST, size, side="right") - 1
     top = mix(value + np.uint64(0x2545F4914F6CDD1D))
     high = value >> np.uint64(SHINGLE_BITS - 32)
     for below in (0, 1):
         band = own - below
+        first_of_own = FIRST[np.maximum(own, 0)]
         # In the band below, partners have at least three quarters of the size.
-        there = (own >= 0) if not below else (band >= 0) & (3 * size <= 4 * (FIRST[np.maximum(own, 0)] - 1))
+        there = (own >= 0) if not below else (band >= 0) & (3 * size <= 4 * (first_of_own - 1))
         many = LANES[np.maximum(band, 0)]
+        most = difference(size, np.where(below, first_of_own - 1, 4 * size // 3))
         keep = there[doc]
         d, h = doc[keep], high[keep]
         if not len(d):
@@ -102,115 +117,228 @@ def lanes(doc: np.ndarray, value: np.ndarray, size: np.ndarray) -> tuple[np.ndar
         new[1:] = (d[1:] != d[:-1]) | (lane[1:] != lane[:-1])
         first = np.flatnonzero(new)
         name = (band[d[first]].astype(np.uint64) << np.uint64(40)) | lane[first]
-        out_doc.append(d[first])
-        out_sig.append(mix(np.bitwise_xor.reduceat(top[keep], first) ^ mix(name)))
         filled = np.bincount(d[first], minlength=len(size))
-        thin = there & (many - filled > many - (size + 4 * size // 3) // 7 - 1)
-        for i in np.flatnonzero(thin):
+        need = many - most - (many - filled)
+        here = np.flatnonzero(there)
+        for column, x in zip(needs, (here, band[here], np.maximum(need[here], 1))):
+            column.append(x)
+        for column, x in zip(out, (d[first], band[d[first]], mix(np.bitwise_xor.reduceat(top[keep], first) ^ mix(name)))):
+            column.append(x)
+        for i in np.flatnonzero(there & (need < 1)):
             mine = lane[first[d[first] == i]].astype(np.int64)
             empty = np.setdiff1d(np.arange(many[i]), mine).astype(np.uint64)
-            out_doc.append(np.full(len(empty), i))
-            out_sig.append(mix(mix((band[i].astype(np.uint64) << np.uint64(40)) | empty) + np.uint64(1)))
-    if not out_doc:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(out_doc), np.concatenate(out_sig)
+            sig = mix(mix((band[i].astype(np.uint64) << np.uint64(40)) | empty) + np.uint64(1))
+            for column, x in zip(out, (np.full(len(empty), i), np.full(len(empty), band[i]), sig)):
+                column.append(x)
+    if not needs[0]:
+        return [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)] * 3
+    return [np.concatenate(c) for c in out], [np.concatenate(c) for c in needs]
 
 
 def bits(value: np.ndarray, size: int) -> bytes:
-    """Parity sketch of a set with the next power of two of bits, 64 at least."""
-    wide = max(6, int(size - 1).bit_length())
+    """Parity sketch of a set; its bits are a power of two, 64 at least."""
+    wide = max(6, int(size - 1).bit_length() + WIDTH)
     place = (value >> np.uint64(7)) & np.uint64((1 << wide) - 1)
     return np.packbits((np.bincount(place.astype(np.int64), minlength=1 << wide) & 1).astype(np.uint8)).tobytes()
 
 
+def folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """A sketch of `size` bytes or more as one of `size` bytes: halves flip each other's bits."""
+    while len(sketch) > size:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
+
+
+def rough(sketch: bytes) -> bytes:
+    """A sketch of about one bit per shingle, 64 at least."""
+    return folded(np.frombuffer(sketch, np.uint8), max(8, len(sketch) >> WIDTH)).tobytes()
+
+
 def distance(a: bytes, b: bytes) -> int:
     """Hamming distance of two parity sketches; the wider one is folded first."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
+    size = min(len(a), len(b))
+    x, y = folded(np.frombuffer(a, np.uint8), size), folded(np.frombuffer(b, np.uint8), size)
+    return int(np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)).sum())
+
+
+SUMS = "doc_id long, n long, key long, check long, need long, need_below long"
 
 
 def summaries(batches):
-    """Rows of documents to their sets' sizes and keys."""
+    """Rows of documents to their sets' sizes, keys and needs (0 where a band has no lanes of it)."""
     for batch in batches:
         for part in slices(batch.column("text")):
             doc, value = shingles(words(part), len(part))
             size, key, check = set_keys(doc, value, len(part))
+            _, (d, band, need) = lanes(doc, value, size)
+            both = np.zeros((2, len(part)), np.int64)
+            below = (np.searchsorted(FIRST, size[d], side="right") - 1 != band).astype(np.int64)
+            both[below, d] = need
             yield pa.record_batch(
                 {"doc_id": batch.column("doc_id").slice(part.first, len(part)), "n": pa.array(size, pa.int64()),
-                 "key": pa.array(key.view(np.int64)), "check": pa.array(check.view(np.int64))}
+                 "key": pa.array(key.view(np.int64)), "check": pa.array(check.view(np.int64)),
+                 "need": pa.array(both[0]), "need_below": pa.array(both[1])}
             )
 
 
-PACKED = "bucket int, sigs binary, keys binary, counts binary"
+def packed(bucket: np.ndarray, columns: list[np.ndarray], kind: int) -> pa.RecordBatch:
+    """A row per bucket with the bytes of its part of each column."""
+    order = np.argsort(bucket, kind="stable")
+    some, first = np.unique(bucket[order], return_index=True)
+    bounds = np.append(first, len(bucket))
+    cut = [c[order] for c in columns]
+    return pa.record_batch(
+        [pa.array(some, pa.int32()), pa.array(np.full(len(some), kind, np.int32))]
+        + [pa.array([c[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])], pa.binary()) for c in cut],
+        names=["bucket", "kind", *[f"c{i}" for i in range(len(cut))]],
+    )
+
+
+def unpacked(table, kinds: list, kind: int) -> list[np.ndarray]:
+    """Columns of the rows of one kind of packed rows."""
+    mine = table.filter(pc.equal(table.column("kind"), kind))
+    return [
+        np.concatenate([np.zeros(0, k), *[np.frombuffer(x, k) for x in mine.column(f"c{i}").to_pylist()]])
+        for i, k in enumerate(kinds)
+    ]
+
+
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+
+
+# Packed rows: kind 0 holds lanes (32 and 8 bits of the signature; in runs: key, band, length),
+# kind 1 holds needs (key, band, lanes).
+LANE_ROWS = "bucket int, kind int, c0 binary, c1 binary, c2 binary, c3 binary, c4 binary"
+SHARED_ROWS = "bucket int, kind int, c0 binary, c1 binary, c2 binary, c3 binary"
+PAIR_ROWS = "bucket int, kind int, c0 binary, c1 binary"
+LONGEST = 0xFFFF  # lanes of a run
 
 
 def packed_lanes(buckets: int):
-    """Rows of texts to their lanes, packed: a row holds many lanes of one bucket of signatures."""
-
-    def pack(sigs: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
-        sig, key = np.concatenate(sigs), np.concatenate(keys)
-        bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        order = np.argsort(bucket.astype(np.uint32), kind="stable")
-        sig, key, bucket = sig[order], key[order], bucket[order].astype(np.int64)
-        some = np.unique(bucket)
-        bounds = np.append(np.searchsorted(bucket, some), len(bucket))
-        columns: list[list] = [[], [], []]
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            mine = key[a:b]
-            first = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
-            columns[0].append(sig[a:b].tobytes())
-            columns[1].append(mine[first].tobytes())
-            columns[2].append(np.diff(np.append(first, b - a)).astype(np.uint32).tobytes())
+    """Rows of texts to their lanes by bucket of signatures and their needs by bucket of keys."""
+
+    def pack(sig, key, band) -> pa.RecordBatch:
+        bucket = bucket_of(sig, buckets)
+        order = np.argsort(bucket, kind="stable")
+        sig, key, band, bucket = sig[order], key[order], band[order], bucket[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (band[1:] != band[:-1]) | (bucket[1:] != bucket[:-1]))
+        place = np.arange(len(sig))
+        since = place - np.maximum.accumulate(np.where(new, place, 0))
+        first = np.flatnonzero(since % LONGEST == 0)
+        length = np.diff(np.append(first, len(sig))).astype(np.uint16)
+        some, at = np.unique(bucket, return_index=True)
+        lanes_at, runs_at = np.append(at, len(sig)), np.append(np.searchsorted(first, at), len(first))
+        # The bucket keeps the signature's first bits; these 40 tell it from others there.
+        low, rest = sig.astype(np.uint32), (sig >> np.uint64(32)).astype(np.uint8)
+        parts = [(low, lanes_at), (rest, lanes_at), (key[first], runs_at), (band[first].astype(np.uint8), runs_at), (length, runs_at)]
         return pa.record_batch(
-            [pa.array(some, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]],
-            names=["bucket", "sigs", "keys", "counts"],
+            [pa.array(some, pa.int32()), pa.array(np.zeros(len(some), np.int32))]
+            + [pa.array([c[a:b].tobytes() for a, b in zip(x[:-1], x[1:])], pa.binary()) for c, x in parts],
+            names=["bucket", "kind", *[f"c{i}" for i in range(5)]],
         )
 
     def emit(batches):
-        sigs, keys, held = [], [], 0
+        held: list[tuple] = []
         for batch in batches:
             for part in slices(batch.column("text")):
                 doc, value = shingles(words(part), len(part))
                 size, key, _ = set_keys(doc, value, len(part))
-                d, sig = lanes(doc, value, size)
+                (d, band, sig), (_, _, _) = lanes(doc, value, size)
                 if len(sig):
-                    sigs.append(sig)
-                    keys.append(key[d])
-                    held += len(sig)
-                if held >= FLUSH:
-                    yield pack(sigs, keys)
-                    sigs, keys, held = [], [], 0
+                    held.append((sig, key[d], band))
+                if sum(len(x[0]) for x in held) >= FLUSH:
+                    yield pack(*[np.concatenate(x) for x in zip(*held)])
+                    held = []
         if held:
-            yield pack(sigs, keys)
+            yield pack(*[np.concatenate(x) for x in zip(*held)])
+
+    return emit
+
+
+def in_groups(sig: np.ndarray, keys: np.ndarray, *more: np.ndarray) -> list[np.ndarray]:
+    """Distinct (signature, key) pairs, sorted, of signatures that have two keys at least."""
+    order = np.argsort(sig)
+    same = sig[order][1:] == sig[order][:-1]
+    some = order[np.append(False, same) | np.append(same, False)]
+    some = some[np.lexsort((keys[some], sig[some]))]
+    sig, keys = sig[some], keys[some]
+    new = np.append(True, (sig[1:] != sig[:-1]) | (keys[1:] != keys[:-1])) if len(sig) else np.zeros(0, bool)
+    sig, keys, some = sig[new], keys[new], some[new]
+    same = sig[1:] == sig[:-1]
+    good = np.append(False, same) | np.append(same, False) if len(sig) else np.zeros(0, bool)
+    return [sig[good], keys[good], *[m[some[good]] for m in more]]
+
+
+def shared_lanes(buckets: int):
+    """Lanes of a bucket that two sets share, by bucket of keys: key, band, signature, sets."""
+
+    def share(key, table):
+        trim()
+        low, rest = unpacked(table, [np.uint32, np.uint8], 0)
+        number = np.uint64(table.column("bucket")[0].as_py())
+        sig = low.astype(np.uint64) | (rest.astype(np.uint64) << np.uint64(32)) | (number << np.uint64(40))
+        mine = table.column("c4").to_pylist()
+        length = np.concatenate([np.frombuffer(x, np.uint16) for x in mine])
+        keys = np.repeat(np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("c2").to_pylist()]), length)
+        band = np.repeat(np.concatenate([np.frombuffer(x, np.uint8) for x in table.column("c3").to_pylist()]), length)
+        sig, keys, band = in_groups(sig, keys, band)
+        _, counts = np.unique(sig, return_counts=True)
+        sharing = np.repeat(counts, counts).astype(np.uint32)
+        return pa.Table.from_batches([packed(bucket_of(mix(keys), buckets), [keys, band, sig, sharing], 0)])
+
+    return share
+
+
+def packed_needs(buckets: int):
+    """Sets to the lanes they must share, by bucket of keys: key, band, number."""
+
+    def emit(batches):
+        for batch in batches:
+            key = batch.column("key").to_numpy().view(np.uint64)
+            band = np.searchsorted(FIRST, batch.column("n").to_numpy(), side="right") - 1
+            need = [batch.column(c).to_numpy() for c in ("need", "need_below")]
+            rows = [(key[x > 0], band[x > 0] - below, x[x > 0]) for below, x in enumerate(need)]
+            key, band, x = (np.concatenate(c) for c in zip(*rows))
+            if len(key):
+                none = np.zeros(len(key), np.uint8)
+                yield packed(bucket_of(mix(key), buckets), [key, band.astype(np.uint8), x.astype(np.uint64), none], 1)
 
     return emit
 
 
-def shared_lanes(key, table):
+def enough_lanes(buckets: int):
+    """Lanes of the sets that share as many as a link takes, by bucket of signatures.
+
+    A set that shares s lanes and must share n of them with a partner keeps s - n + 1, those
+    that the fewest sets share: in this common order a partner's part meets its own.
+    """
+
+    def enough(key, table):
+        trim()
+        keys, band, sig, sharing = unpacked(table, [np.uint64, np.uint8, np.uint64, np.uint32], 0)
+        known, known_band, need = unpacked(table, [np.uint64, np.uint8, np.uint64], 1)
+        name, wanted = mix(keys ^ mix(band.astype(np.uint64))), mix(known ^ mix(known_band.astype(np.uint64)))
+        order = np.lexsort((sig, sharing, name))
+        name, sig, keys = name[order], sig[order], keys[order]
+        first = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
+        counts = np.diff(np.append(first, len(name)))
+        by = np.argsort(wanted)
+        needed = need[by][np.searchsorted(wanted[by], name[first])].astype(np.int64)
+        keep = np.arange(len(name)) - np.repeat(first, counts) < np.repeat(counts - needed + 1, counts)
+        return pa.Table.from_batches([packed(bucket_of(mix(sig[keep]), buckets), [sig[keep], keys[keep]], 0)])
+
+    return enough
+
+
+def candidates(key, table):
     """Pairs of sets that share a lane of a bucket.
 
     kind 0: a pair to compare; kind 1: (signature, member) of a group of more than SMALL sets,
     of which only pairs with the first member are listed.
     """
-    sig = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("sigs").to_pylist()])
-    keys = np.concatenate([
-        np.repeat(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint32))
-        for k, c in zip(table.column("keys").to_pylist(), table.column("counts").to_pylist())
-    ])
-    order = np.argsort(sig)
-    sig, keys = sig[order], keys[order]
-    same = sig[1:] == sig[:-1]
-    some = np.append(False, same) | np.append(same, False)
-    sig, keys = sig[some], keys[some]
-    order = np.lexsort((keys, sig))
-    sig, keys = sig[order], keys[order]
-    new = np.ones(len(sig), dtype=bool)
-    new[1:] = (sig[1:] != sig[:-1]) | (keys[1:] != keys[:-1])
-    sig, keys = sig[new], keys[new]
+    trim()
+    sig, keys = in_groups(*unpacked(table, [np.uint64, np.uint64], 0))
     first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1])) if len(sig) else np.zeros(0, np.int64)
     many = np.diff(np.append(first, len(sig)))
     a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
@@ -247,10 +375,12 @@ def wanted_sets(bitmap: np.ndarray):
                 size, key, _ = set_keys(doc, value, len(part))
                 bounds = np.searchsorted(doc, np.arange(len(part) + 1))
                 sets = [value[x:y] for x, y in zip(bounds[:-1], bounds[1:])]
+                sketches = [bits(s, len(s)) for s in sets]
                 yield pa.record_batch(
                     {"doc_id": batch.column("doc_id").slice(part.first, len(part)), "key": pa.array(key.view(np.int64)),
                      "n": pa.array(size, pa.int64()),
-                     "sketch": pa.array([bits(s, len(s)) for s in sets], pa.binary()),
+                     "sketch": pa.array(sketches, pa.binary()),
+                     "rough": pa.array([rough(x) for x in sketches], pa.binary()),
                      "hashes": pa.array([s.tobytes() for s in sets], pa.binary())}
                 )
 
@@ -297,28 +427,73 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def cross_pairs(key, table):
-    """Pairs of a block of groups whose classes differ and whose sketches allow a link."""
+def groups_of(table):
+    """The groups of a task: rows of the left and the right side, sketches as words, the rest."""
     sig = table.column("sig").to_numpy()
     side = table.column("side").to_numpy()
     member, kind, n = (table.column(c).to_numpy() for c in ("member", "class", "n"))
     sketch = table.column("sketch").to_pylist()
-    a, b = [], []
     order = np.argsort(sig, kind="stable")
     for group in np.split(order, np.flatnonzero(np.diff(sig[order])) + 1):
-        left, right = group[side[group] != 1], group[side[group] != 0]
-        for i in left:
-            j = right[(kind[right] != kind[i]) & (4 * np.minimum(n[right], n[i]) >= 3 * np.maximum(n[right], n[i]))]
-            j = j[(member[j] > member[i]) | (side[j] == 1)]
-            for k in j.tolist():
-                if distance(sketch[i], sketch[k]) <= difference(n[i], n[k]):
-                    a.append(min(member[i], member[k]))
-                    b.append(max(member[i], member[k]))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def open_pairs(members: DataFrame, classes: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
-    """Candidate pairs of large groups between documents that are not in one class yet."""
+        size = min(len(sketch[i]) for i in group.tolist())
+        words = np.stack([folded(np.frombuffer(sketch[i], np.uint8), size).view(np.uint64) for i in group.tolist()])
+        yield member[group], kind[group], n[group], words, np.flatnonzero(side[group] != 1), np.flatnonzero(side[group] != 0)
+
+
+def near(i: int, others: np.ndarray, kind, n, words) -> tuple[np.ndarray, np.ndarray]:
+    """Those of `others` in another class than i that may link with it, and their distances."""
+    others = others[(kind[others] != kind[i]) & (4 * np.minimum(n[others], n[i]) >= 3 * np.maximum(n[others], n[i]))]
+    apart = np.bitwise_count(words[others] ^ words[i]).sum(axis=1, dtype=np.int64)
+    good = apart <= difference(n[others], n[i])
+    return others[good], apart[good]
+
+
+def cross_pairs(key, table):
+    """Pairs of a block of groups whose classes differ and whose sketches allow a link."""
+    trim()
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for member, kind, n, words, left, right in groups_of(table):
+        both = np.array_equal(left, right)
+        for at, i in enumerate(left.tolist()):
+            found, _ = near(i, right[at + 1 :] if both else right, kind, n, words)
+            a.append(np.minimum(member[found], member[i]))
+            b.append(np.maximum(member[found], member[i]))
+    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def nearest_pairs(turn: int):
+    """For members of a block outside the largest class: the nearest of some others, if it may link."""
+
+    def nearest(key, table):
+        trim()
+        best: dict[int, tuple[int, int]] = {}
+        for member, kind, n, words, left, right in groups_of(table):
+            classes, counts = np.unique(kind, return_counts=True)
+            largest = classes[counts.argmax()]
+            for i in left[kind[left] != largest].tolist():
+                others = right[kind[right] != kind[i]]
+                if len(others) > PROBES:
+                    step = (i * 7919 + turn * 104729 + np.arange(PROBES) * (len(others) // PROBES)) % len(others)
+                    others = others[step]
+                found, apart = near(i, others, kind, n, words)
+                if len(found):
+                    k = int(apart.argmin())
+                    best[int(member[i])] = min(best.get(int(member[i]), (1 << 62, 0)), (int(apart[k]), int(member[found[k]])))
+        return pa.table({
+            "member": pa.array(list(best), pa.int64()), "apart": pa.array([x for x, _ in best.values()], pa.int64()),
+            "other": pa.array([x for _, x in best.values()], pa.int64()),
+        })
+
+    return nearest
+
+
+def mixed_groups(members: DataFrame, classes: DataFrame, sketches: DataFrame, buckets: int) -> DataFrame:
+    """Members of large groups that are not one class yet, dealt out for comparison.
+
+    A group of up to BLOCK members is part of the task `spot`; of a larger one each pair of
+    blocks i <= j is a task. side -1 meets itself, 0 meets 1.
+    """
     placed = members.join(classes.select(F.col("id").alias("member"), "component"), "member", "left").select(
         "sig", "member", F.coalesce("component", "member").alias("class")
     )
@@ -326,34 +501,58 @@ def open_pairs(members: DataFrame, classes: DataFrame, sets: DataFrame, buckets:
         F.min("class").alias("least"), F.max("class").alias("most"), F.count("*").alias("size")
     ).where("least < most").select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     rows = placed.join(mixed, "sig").join(
-        sets.select(F.col("key").alias("member"), "n", "sketch").dropDuplicates(["member"]), "member"
+        sketches.select(F.col("key").alias("member"), "n", "sketch").dropDuplicates(["member"]), "member"
     ).withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
+    columns = ["sig", "member", "class", "n", "sketch"]
     one = rows.where("blocks = 1").select(
-        "sig", "member", "class", "n", "sketch", F.lit(-1).alias("side"),
-        F.pmod(F.xxhash64("sig"), F.lit(buckets)).cast("long").alias("spot"), F.lit(0).alias("i"), F.lit(0).alias("j"),
+        *columns, F.lit(-1).alias("side"), F.pmod(F.xxhash64("sig"), F.lit(8 * buckets)).cast("long").alias("spot"),
+        F.lit(0).alias("i"), F.lit(0).alias("j"),
     )
-    # A pair of blocks i <= j is a task; side -1 meets itself, 0 meets 1.
     split = rows.where("blocks > 1").select(
-        "sig", "member", "class", "n", "sketch", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+        *columns, "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     ).select(
-        "sig", "member", "class", "n", "sketch",
-        F.when(F.col("block") == F.col("other"), -1).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
+        *columns, F.when(F.col("block") == F.col("other"), -1).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
         F.col("sig").alias("spot"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
     )
-    return one.union(split).groupBy("spot", "i", "j").applyInArrow(cross_pairs, "a long, b long")
+    return one.union(split)
+
+
+def further_links(members: DataFrame, links: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
+    """`links` and those that still join classes within large groups."""
+    task = ["spot", "i", "j"]
+    for turn in range(ROUNDS):
+        classes = components(links, label="parity-classes")
+        roughly = sets.select("key", "n", F.col("rough").alias("sketch"))
+        probes = mixed_groups(members, classes, roughly, buckets).groupBy(*task).applyInArrow(
+            nearest_pairs(turn), "member long, apart long, other long"
+        )
+        pairs = probes.groupBy("member").agg(F.min_by("other", F.struct("apart", "other")).alias("other")).select(
+            F.least("member", "other").alias("a"), F.greatest("member", "other").alias("b")
+        )
+        found = materialize(verified(pairs, sets), "parity-probes")
+        if found.isEmpty():
+            break
+        links = links.union(found)
+    classes = components(links, label="parity-classes")
+    rest = mixed_groups(members, classes, sets, buckets).groupBy(*task).applyInArrow(cross_pairs, "a long, b long")
+    return links.union(materialize(verified(rest, sets), "parity-rest"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`doc_id`, `n_shingles`, `component_id`: a row for each row of `docs`."""
     spark = docs.sparkSession
     rows = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).alias("text"))
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sums = materialize(rows.mapInArrow(summaries, "doc_id long, n long, key long, check long"), "parity-sums")
-    reps = sums.where("n > 0").groupBy("key", "check", "n").agg(F.min("doc_id").alias("rep"))
+    sums = materialize(rows.mapInArrow(summaries, SUMS), "parity-sums")
+    reps = sums.where("n > 0").groupBy("key", "check", "n", "need", "need_below").agg(F.min("doc_id").alias("rep"))
+    held = reps.agg(F.sum("n")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(held // TASK) + 1)
 
+    needs = reps.select("key", "n", "need", "need_below").mapInArrow(packed_needs(buckets), SHARED_ROWS)
     found = materialize(
-        rows.select("text").mapInArrow(packed_lanes(buckets), PACKED)
-        .groupBy("bucket").applyInArrow(shared_lanes, "kind int, a long, b long"),
+        rows.select("text").mapInArrow(packed_lanes(buckets), LANE_ROWS)
+        .groupBy("bucket").applyInArrow(shared_lanes(buckets), SHARED_ROWS).union(needs)
+        .groupBy("bucket").applyInArrow(enough_lanes(buckets), PAIR_ROWS)
+        .groupBy("bucket").applyInArrow(candidates, "kind int, a long, b long"),
         "parity-candidates",
     )
     pairs = found.where("kind = 0").select("a", "b").distinct()
@@ -366,7 +565,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     bitmap[[r["slot"] for r in some.where("slot is not null").collect()]] = 1
     sets = materialize(
         rows.select("doc_id", "text", F.coalesce(slot, F.lit(0)).alias("slot")).mapInArrow(
-            wanted_sets(bitmap), "doc_id long, key long, n long, sketch binary, hashes binary"
+            wanted_sets(bitmap), "doc_id long, key long, n long, sketch binary, rough binary, hashes binary"
         ).where("n > 0"),
         "parity-sets",
     ) if bitmap.any() else None
@@ -376,10 +575,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         sets = sets.join(reps.select("key", F.col("rep").alias("doc_id")), ["key", "doc_id"], "left_semi")
         links = materialize(verified(pairs, sets), "parity-links")
         if not members.isEmpty():
-            classes = components(links, label="parity-classes")
-            links = links.union(
-                materialize(verified(open_pairs(members, classes, sets, buckets), sets), "parity-more-links")
-            )
+            links = further_links(members, links, sets, buckets)
     by_key = reps.select("key", "rep").where("rep is not null")
     named = (
         links.join(by_key.select(F.col("key").alias("a"), F.col("rep").alias("x")), "a")
@@ -401,7 +597,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` with one of each class: the smallest id, and of rows that share it the
     first by text. Rows with a null id, and texts without words, stay."""
-    classes = materialize(near_duplicates(docs, doc_id, text), "parity-classes")
+    classes = materialize(near_duplicates(docs, doc_id, text), "parity-result")
     gone, again, place = (free_name(docs, n) for n in ("gone_id", "repeated_id", "place"))
     removed = classes.where("component_id != doc_id").select(F.col("doc_id").alias(gone)).distinct()
     kept = docs.join(removed, col(doc_id) == col(gone), "left_anti")

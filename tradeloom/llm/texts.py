@@ -6,6 +6,7 @@ stay small however many or long the texts are; a single text is never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -25,6 +26,17 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 # Values of bytes in word hashes, and the factor between neighbouring bytes.
 BYTE_VALUE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_C = ctypes.CDLL(None) if hasattr(ctypes.CDLL(None), "malloc_trim") else None
+
+
+def trim() -> None:
+    """Give memory that arrays no longer use back to the system.
+
+    Workers live through many tasks, and several share an executor's memory.
+    """
+    pa.default_memory_pool().release_unused()
+    if _C is not None:
+        _C.malloc_trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,6 +98,7 @@ def slices(column: pa.Array) -> Iterator[Texts]:
         j = min(j, i + SLICE_ROWS)
         yield Texts(i, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         i = j
+    trim()
 
 
 def runs(texts: Texts, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components, local_roots
 from tradeloom.llm.frames import unit_hash
+from tradeloom.llm.texts import trim
 from tradeloom.sources.scratch import materialize
 
 COSINE = 0.98
@@ -106,6 +107,7 @@ def join_block(cosine: float):
     """Links between a block of home vectors (query) and a block of a cell's vectors."""
 
     def join(key, table):
+        trim()
         query = table.column("query").to_numpy(zero_copy_only=False)
         rep, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
         units = np.frombuffer(b"".join(table.column("unit").to_pylist()), np.float64).reshape(len(rep), -1)
