@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import reach
 from pyspark.sql import functions as F
@@ -46,6 +47,31 @@ def test_cells_and_blocks_equal_all_pairs(spark, monkeypatch, cell, block):
     assert got == plain(rows)
 
 
+def test_labels_whose_pivots_begin_alike(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CELL", 40)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    rows = [(i, [0.0] * 4 + v, i % 6) for i, v, _ in clusters(seed=1, dim=3, n=900)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(2, "vec_id")
+    try:
+        spark.conf.set(size, 50)
+        got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert got == plain(rows)
+
+
+def test_cells_follow_the_own_pivots():
+    pivots = {1: [[0.0] * 4 + [1.0, 0.0], [0.0] * 4 + [0.0, 1.0]], 2: [[0.0] * 4 + [0.0, 1.0], [0.0] * 4 + [1.0, 0.0]]}
+
+    def cells(labels):
+        rows = [{"label": x, "dim": 6, "rep": x, "copies": 1, "vector": pivots[1][0], "pivots": sum(pivots[x], [])} for x in labels]
+        found = next(iter(vectors.assign(0.2)([pa.RecordBatch.from_pylist(rows)]))).to_pylist()
+        return [(r["label"], r["cell"]) for r in found if r["home"]]
+
+    assert cells([1, 2]) == cells([1]) + cells([2]) == [(1, 0), (2, 1)]
+
+
 def test_query_equals_all_pairs(spark):
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").collect()]
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in vectors.op6_embedding_dedup(spark, SMALL).collect()}

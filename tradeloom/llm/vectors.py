@@ -69,13 +69,13 @@ def assign(radius: float):
             reps, copies = batch.column("rep").to_numpy(), batch.column("copies").to_numpy()
             vectors, pivots = batch.column("vector").to_pylist(), batch.column("pivots").to_pylist()
             out: dict[str, list] = {k: [] for k in ("row", "cell", "home", "unit")}
-            known: dict[int, np.ndarray] = {}
+            known: dict[tuple, np.ndarray] = {}  # by all pivots: labels may begin alike
             for i, (vector, listed) in enumerate(zip(vectors, pivots)):
                 u = unit(np.array([vector], dtype=np.float64))[0]
                 cell, homes = [0], [True]
                 if listed:
-                    key = hash(tuple(listed[:4]))
-                    if key not in known or len(known[key]) * len(vector) != len(listed):
+                    key = (len(vector), *listed)
+                    if key not in known:
                         known[key] = unit(np.array(listed, dtype=np.float64).reshape(-1, len(vector)))
                     p = known[key]
                     square = np.maximum(2.0 - 2.0 * (p @ u), 0.0)
