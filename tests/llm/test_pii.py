@@ -53,6 +53,41 @@ def test_trees_add_other_spellings_and_leave_numbers(spark):
     assert all(pii.added_spans(t, pii.base_spans(t), model) == [] for t in clean)
 
 
+def mixed(spark, n=400, addresses=1.0):
+    """Documents in which a fifth of the personal data has other spellings, and these."""
+    rng = random.Random(9)
+    rows, other = [], []
+    for i in range(n):
+        odd = i % 5 == 0
+        phone = f"({rng.randint(200, 999)}) {rng.randint(200, 999)}-{rng.randint(1000, 9999)}"
+        phone = phone if odd else f"+1 {phone}"
+        name, host = f"{rng.choice(['ann', 'bob', 'eve'])}{i}", f"{rng.choice(['mail', 'post'])}.example.com"
+        mail = f"{name} (at) {host}" if odd else f"{name}@{host}"
+        ip = ":".join(f"{rng.randint(1, 65535):x}" for _ in range(8)) if odd else ".".join(str(rng.randint(1, 255)) for _ in range(4))
+        ip = f" from host {ip}" if rng.random() < addresses else ""
+        rows.append((i, f"call {phone} or write {mail}{ip} about item {rng.randint(10**6, 10**7 - 1)} on 2024-{rng.randint(10, 12)}-{rng.randint(10, 28)} at 10:{rng.randint(10, 59)}:{rng.randint(10, 59)}:{rng.randint(10, 59)}"))
+        if odd:
+            other.append((i, {("phone", phone), ("email", mail)} | ({("ip", ip.split()[-1])} if ip else set())))
+    return spark.createDataFrame(rows, "doc_id long, text string"), dict(rows), other
+
+
+def test_spellings_that_occur_are_found(spark):
+    docs, texts, other = mixed(spark)
+    model = pii.train(docs)
+    added = {i: {(k, t[a:b]) for k, a, b in pii.added_spans(t, pii.base_spans(t), model)} for i, t in texts.items()}
+    hit = sum(len(want & added[i]) for i, want in other)
+    assert hit >= 0.95 * sum(len(want) for _, want in other), model.threshold
+    wanted = dict(other)
+    assert sum(len(found - wanted.get(i, set())) for i, found in added.items()) <= 0.01 * hit
+
+
+def test_rare_kinds_keep_a_threshold(spark):
+    docs, texts, other = mixed(spark, addresses=0.06)
+    assert 0 < sum(k == "ip" for t in texts.values() for k, _, _ in pii.base_spans(t)) < 40
+    model = pii.train(docs)
+    assert model.threshold["ip"] <= 1 < model.threshold["card"]
+
+
 def test_added_spans_never_touch_base_spans(spark):
     model = pii.train(written(spark))
     model.threshold = dict.fromkeys(pii.KINDS, 0.0)  # everything is accepted

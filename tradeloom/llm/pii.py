@@ -4,9 +4,11 @@ Four patterns with checks (base spans) are always kept. Generators of high recal
 further, overlapping spans: any group of digits with separators, hexadecimal address groups,
 and addresses written with words for the signs. Boosted trees score them by format and
 context. They learn from base spans and written variants of these against proposals that
-fail every check and distorted base spans; each kind's threshold is set for a precision on
-rows left out of the fit. Accepted spans that overlap a base span or a better one are left
-out.
+fail every check and distorted base spans. Proposals in the format of a written variant are
+not counted as failing: they may be what is looked for, and stay out of the fit. Digits
+without separators do not count as such a format. Each kind's threshold is set for a precision
+on rows left out of the fit, with few of a kind by all kinds; a kind without any base span adds
+nothing. Accepted spans that overlap a base span or a better one are left out.
 
 A null text counts as empty; empty texts have no spans. Rows are treated one by one: repeated
 rows get the same spans, whole texts are searched, an empty table gives an empty result.
@@ -32,6 +34,8 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_TRAIN = 4000  # documents with a digit or an at sign that are used for fitting
 PER_DOC = 40  # spans of one of these documents that are used
 PRECISION = 0.995
+LEAST = 20  # left-out spans of a kind from which on it has a threshold of its own
+OPEN = 2  # label of proposals outside base spans
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -96,7 +100,10 @@ def likely_kind(value: str) -> str:
         return "email"
     if ":" in value or re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", value):
         return "ip"
-    return "card" if len(NON_DIGIT.sub("", value)) >= 13 else "phone"
+    digits = len(NON_DIGIT.sub("", value))
+    if value.startswith("00") and 11 <= digits <= 17:
+        return "phone"
+    return "card" if digits >= 13 else "phone"
 
 
 def proposals(text: str) -> list[Span]:
@@ -136,7 +143,11 @@ def variants(kind: str, value: str) -> list[tuple[int, str]]:
         return [(1, f"{name} at {domain.replace('.', ' dot ')}"), (1, f"{name}(at){domain}"),
                 (1, f"{name} [at] {domain.replace('.', ' [dot] ')}"), (0, f"{name} at {domain.split('.')[0]}")]
     if kind == "ip":
-        return [(0, value + ".77"), (0, ".".join(str(int(p[:9]) + 300) for p in value.split("."))),
+        code = sha256(value.encode()).hexdigest()
+        groups = [code[i : i + 4].lstrip("0") or "0" for i in range(0, 28, 4)]
+        return [(1, ":".join(["2001", *groups])), (1, ":".join(["fe80", "0", "0", "0", *groups[:4]]).upper()),
+                (0, ":".join(code[i : i + 2] for i in range(0, 12, 2))), (0, ":".join(groups[:4])),
+                (0, value + ".77"), (0, ".".join(str(int(p[:9]) + 300) for p in value.split("."))),
                 (0, value.rpartition(".")[0])]
     if kind == "card":
         grouped = " ".join(digits[i : i + 4] for i in range(0, len(digits), 4))
@@ -148,19 +159,34 @@ def variants(kind: str, value: str) -> list[tuple[int, str]]:
             (0, digits), (0, digits[:5] + "-" + digits[5:7]), (0, digits[:7])]
 
 
-def examples(text: str) -> list[tuple[int, str, list[float]]]:
-    """Labelled spans of one text for the fit."""
+def form(kind: str, value: str) -> str:
+    """A written variant's format, empty where a value cannot be told from any other number."""
+    if kind == "email":
+        if re.search(r"[\[({]\x20?at\x20?[\])}]", value):
+            return "(at)"
+        return "at dot" if re.search(r"\x20at\x20.*[\x20\[({]dot[\x20\])}]", value) else ""
+    if kind == "ip":
+        return "groups" if value.count(":") == 7 else ""
+    if len(value) > 40 or value.isdigit() or (kind == "card" and not luhn(NON_DIGIT.sub("", value))):
+        return ""
+    lead = 2 if value.startswith("00") else 0
+    return value[:lead] + re.sub("[0-9]", "9", value[lead:])
+
+
+def examples(text: str) -> list[tuple[int, str, str, list[float]]]:
+    """Spans of one text for the fit: label, kind, format, features. Proposals are OPEN."""
     base = base_spans(text)
     out, covered = [], sorted((a, b) for _, a, b in base)
     for kind, a, b in base[:PER_DOC]:
         left, right, value = text[max(0, a - 24) : a], text[b : b + 8], text[a:b]
-        out.append((1, kind, features(kind, value, left, right)))
+        out.append((1, kind, "", features(kind, value, left, right)))
         for label, other in variants(kind, value):
             shown = likely_kind(other) if label == 0 else kind
-            out.append((label, shown, features(shown, other, left, right)))
+            out.append((label, shown, form(kind, other) if label else "", features(shown, other, left, right)))
     for kind, a, b in proposals(text)[:PER_DOC]:
         if not any(a < y and x < b for x, y in covered):
-            out.append((0, kind, features(kind, text[a:b], text[max(0, a - 24) : a], text[b : b + 8])))
+            value = text[a:b]
+            out.append((OPEN, kind, form(kind, value), features(kind, value, text[max(0, a - 24) : a], text[b : b + 8])))
     return out
 
 
@@ -179,10 +205,18 @@ def fit(label: np.ndarray, kind: np.ndarray, x: np.ndarray, seed: int = 8) -> Mo
     rest = np.random.default_rng(seed).random(len(label)) < 0.25
     trees = boost(x[~rest], label[~rest].astype(float))
     score = trees.probability(x[rest])
-    threshold = {
-        k: max(0.9, precise_threshold(score[kind[rest] == k], label[rest][kind[rest] == k], PRECISION)) for k in KINDS
-    }
-    return Model(trees, threshold)
+    known, kind, truth = kind, kind[rest], label[rest]
+    pooled = precise_threshold(score, truth, PRECISION, 1)
+    threshold = {}
+    for k in KINDS:
+        mine, right = score[kind == k], truth[kind == k]
+        if right.sum() >= LEAST:
+            threshold[k] = precise_threshold(mine, right, PRECISION, LEAST)
+        elif label[known == k].any():  # too few for a precision of their own: none that is wrong
+            threshold[k] = max(pooled, float(np.nextafter(mine[right == 0].max(initial=0.0), 2.0)))
+        else:
+            threshold[k] = 1.1
+    return Model(trees, {k: max(0.9, t) for k, t in threshold.items()})
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bound: int = MAX_TRAIN, seed: int = 8) -> Model:
@@ -193,7 +227,8 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bound: in
             rows = [e for t in batch.column(0).to_pylist() for e in examples(t)]
             yield pa.record_batch(
                 {"label": pa.array([r[0] for r in rows], pa.int32()), "kind": pa.array([r[1] for r in rows], pa.string()),
-                 "x": pa.array([r[2] for r in rows], pa.list_(pa.float64()))}
+                 "form": pa.array([r[2] for r in rows], pa.string()),
+                 "x": pa.array([r[3] for r in rows], pa.list_(pa.float64()))}
             )
 
     some = docs.where(col(text).rlike("[0-9@]"))
@@ -201,9 +236,12 @@ def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bound: in
     if not n:
         return fit(np.zeros(0), np.zeros(0), np.zeros((0, 1)))
     sample = some.where(unit_hash(seed, col(doc_id)) < bound / n).select(col(text))
-    rows = sample.mapInArrow(labelled, "label int, kind string, x array<double>").toArrow()
-    x = rows["x"].combine_chunks().flatten().to_numpy()
-    return fit(rows["label"].to_numpy(), np.array(rows["kind"].to_pylist()), x.reshape(rows.num_rows, -1))
+    rows = sample.mapInArrow(labelled, "label int, kind string, form string, x array<double>").toArrow()
+    label, kind, shape = rows["label"].to_numpy(), np.array(rows["kind"].to_pylist()), rows["form"].to_pylist()
+    x = rows["x"].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+    written = {(k, s) for y, k, s in zip(label.tolist(), kind.tolist(), shape) if y == 1 and s}
+    sure = np.array([y != OPEN or (k, s) not in written for y, k, s in zip(label.tolist(), kind.tolist(), shape)], bool)
+    return fit(np.where(label == 1, 1, 0)[sure], kind[sure], x[sure])
 
 
 def added_spans(text: str, base: list[Span], model: Model) -> list[Span]:
