@@ -40,6 +40,17 @@ def test_sure_ends_of_pieces():
     assert not ends_piece(" ", "a") and not ends_piece("'", "s") and not ends_piece("a", "b")
 
 
+@pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.tiktoken", "byte_bpe_50k.json"])
+def test_separators_that_are_no_white_space(whole, vocabulary):
+    assert not any(ends_piece("!", c) for c in "\x1c\x1d\x1e\x1f") and ends_piece("\x1f", " ")
+    encode, rng = encoder(vocabulary), random.Random(6)
+    parts = ["!", "!!", "=", "==", "--", ".", "\x1c", "\x1d", "\x1e", "\x1f"]
+    for size in (300, 1500):
+        for _ in range(10):
+            text = "a " + "".join(rng.choice(parts) for _ in range(size)) + " b"
+            assert count(text, encode, 64, 48) == whole(text), text[:80]
+
+
 def test_query_equals_the_library(spark, whole):
     rows = op4_token_counts(spark, SMALL).collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}

@@ -84,11 +84,16 @@ def encoder(vocabulary: str = VOCABULARY) -> Encode:
     return _encoders[vocabulary]
 
 
+def blank(char: str) -> bool:
+    """Whether a character is white space to the pattern; to Python U+001C to U+001F are too."""
+    return char.isspace() and not "\x1c" <= char <= "\x1f"
+
+
 def ends_piece(before: str, after: str) -> bool:
     """Whether the splitting pattern ends a piece between these characters in any text."""
-    if before.isspace():
+    if blank(before):
         return False
-    if after.isspace():
+    if blank(after):
         return True
     a, b = unicodedata.category(before)[0], unicodedata.category(after)[0]
     return a in "LN" and a != b
