@@ -90,6 +90,19 @@ def test_toxic_sentences_are_located(spark, odd):
     assert docs.select(F.max(toxicity.toxicity(F.col("text"), unlabelled).score)).first()[0] < 1e-9
 
 
+def test_rare_toxic_words_beside_many_common_ones(spark):
+    rng = np.random.default_rng(2)
+    common = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 12)) for _ in range(450)]
+    texts = [" ".join(common[(40 * i + j) % 450] for j in range(40)) for i in range(600)]  # each word 11 features
+    rows = [(i, t, 1) for i, t in enumerate(texts)] + [(1000 + i, "so zorb it", 1) for i in range(24)]
+    rows += [(2000 + i, "so it is", 0) for i in range(624)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int"))
+    probe = spark.createDataFrame([("so zorb it",), ("so it is",)], "text string")
+    rare, plain = [r.s for r in probe.select(toxicity.toxicity(F.col("text"), model).score.alias("s")).collect()]
+    assert rare >= 0.3 > plain
+
+
 def test_quality_of_rows_it_has_not_seen(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "source", "text")
     labels = spark.read.parquet(f"{SF}/labels.parquet")

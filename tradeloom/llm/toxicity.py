@@ -29,7 +29,6 @@ from tradeloom.sources.scratch import materialize
 
 BITS = 20  # features are hashed to 2**BITS weights
 MAX_TRAIN = 6000  # labelled rows of each label that are used for fitting
-MAX_FEATURES = 4000  # features with a weight
 EVIDENCE = 14.0  # least likelihood ratio of a feature that gets a weight
 PREFIXES = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
@@ -147,10 +146,9 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = MAX_TRAIN, seed: int
         sample.mapInArrow(count_features, "feature int, ones long, zeros long")
         .groupBy("feature").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
         .select("feature", ratio.alias("ratio")).where(F.col("ratio") >= EVIDENCE)
-        .orderBy(F.desc("ratio"), "feature").limit(MAX_FEATURES)
-    )
+    )  # 2**BITS at most
     wanted = np.zeros(1 << BITS, dtype=bool)
-    wanted[[r["feature"] for r in chosen.collect()]] = True
+    wanted[chosen.select("feature").toArrow()["feature"].to_numpy()] = True
     packed = np.packbits(wanted)
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
