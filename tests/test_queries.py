@@ -4,7 +4,7 @@ import datetime as dt
 
 import duckdb
 import pytest
-from conftest import SMALL
+from paths import SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point

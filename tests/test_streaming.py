@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import SMALL
+from paths import SMALL
 from pyspark.sql import functions as F
 
 from tradeloom.operators import encode
