@@ -11,6 +11,7 @@ from tradeloom.llm.mixing import op5_mix_sources
 from tradeloom.llm.parity import op9_ngram_jaccard
 from tradeloom.llm.pii import op8_pii
 from tradeloom.llm.quality import op1_quality
+from tradeloom.llm.spelling import op13_spelling_variants
 from tradeloom.llm.substrings import op7_suffix_dedup
 from tradeloom.llm.tokens import op4_token_counts
 from tradeloom.llm.toxicity import op10_toxicity
@@ -36,6 +37,7 @@ OPERATORS = (
     op8_pii,
     op9_ngram_jaccard,
     op10_toxicity,
+    op13_spelling_variants,
 )
 QUERIES = {query.__name__: _prepared(query) for query in OPERATORS}
 
@@ -119,8 +121,58 @@ FROM w JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x =
 LEFT JOIN sizes ON sizes.doc_id = w.doc_id
 """
 
+# The checksum is made bit by bit: a byte is added, then eight steps of division follow.
+SPELLING_SQL = r"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS times FROM (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+        FROM documents)
+    WHERE len(run) >= 5 GROUP BY ALL
+), hex AS (
+    SELECT *, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS digits FROM runs
+), summed AS (
+    SELECT *, xor(4294967295, list_reduce(
+        flatten(list_transform(range(0, len(digits), 2),
+                               lambda i: [CAST('0x' || substr(digits, i + 1, 2) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END,
+        4294967295)) AS h
+    FROM hex
+), spelt AS (
+    SELECT times, CASE WHEN h % 97 = 0
+        THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word
+    FROM summed
+), w AS (
+    SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelt WHERE len(word) >= 5 GROUP BY word HAVING sum(times) >= 3
+), cut AS (
+    SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+    FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM w)
+), pairs AS (
+    SELECT DISTINCT cut.word AS a, w.word AS b FROM cut JOIN w ON w.word = cut.head || cut.tail
+    UNION
+    SELECT p.word, q.word FROM cut p JOIN cut q ON p.head = q.head AND p.tail = q.tail AND p.word < q.word
+), links AS (
+    SELECT a, b FROM pairs UNION SELECT b, a FROM pairs
+), ranked AS (
+    SELECT a, b, w.n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS place
+    FROM links JOIN w ON w.word = b
+), formed AS (
+    SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.n >= 2 * w.n THEN r.b END AS form,
+           CASE WHEN r.n >= 2 * w.n THEN r.n END AS form_n
+    FROM w LEFT JOIN ranked r ON r.a = w.word AND r.place = 1
+), way AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL
+    SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NOT NULL
+), ends AS (
+    SELECT way.word, way.root FROM way JOIN formed ON formed.word = way.root AND formed.form IS NULL
+)
+SELECT formed.word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM formed JOIN ends ON ends.word = formed.word
+"""
+
 ORACLE_SQL = {
     "op5_mix_sources": MIX_SQL,
     "op6_embedding_dedup": VECTOR_SQL,
     "op9_ngram_jaccard": NEAR_SQL,
+    "op13_spelling_variants": SPELLING_SQL,
 }
