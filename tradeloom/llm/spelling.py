@@ -40,8 +40,10 @@ LATIN = 0xC3
 MOST_COUNTED = 1 << 18
 # Runs from this many bytes on have their checksums taken one by one.
 LONG_RUN = 256
-# Words a worker makes keys for at once.
-KEYED_WORDS = 1 << 13
+# Words, and letters of words of one length, a worker makes keys for at once.
+KEYED_WORDS, KEYED_LETTERS = 1 << 13, 1 << 20
+# Words of more letters go under a code: a word that repeats a bigram has a key for each of them.
+LONG_WORD = 64
 
 # The fixed table of the CRC-32 of zlib: what a byte becomes when a zero byte is appended.
 CRC = np.arange(256, dtype=np.uint32)
@@ -229,17 +231,20 @@ def _by_length(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     first = np.cumsum(length) - length
     for n in np.unique(length):
         rows = np.flatnonzero(length == n)
-        yield rows, letters[first[rows][:, None] + np.arange(n)]
+        step = max(1, KEYED_LETTERS // int(n))
+        for i in range(0, len(rows), step):
+            some = rows[i : i + step]
+            yield some, letters[first[some][:, None] + np.arange(n)]
 
 
 def gram_keys(words: DataFrame, held: np.ndarray, pivots: bool, least: int = 5) -> DataFrame:
-    """`key`, `word`, `last` of the words' pivots or else of their prefixes' grams."""
+    """`key`, `name`, `last` of the words' pivots or else of their prefixes' grams."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, len(batch), KEYED_WORDS):
-                column = batch["word"].slice(i, KEYED_WORDS)
-                for places, letters in _by_length(column):
+                names = batch["name"].slice(i, KEYED_WORDS)
+                for places, letters in _by_length(batch["word"].slice(i, KEYED_WORDS)):
                     grams = Grams(letters, held)
                     n = grams.length
                     if pivots:
@@ -252,23 +257,32 @@ def gram_keys(words: DataFrame, held: np.ndarray, pivots: bool, least: int = 5)
                     of = np.concatenate([r for r, _ in found])
                     key = np.concatenate([k for _, k in found])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key), column.take(pa.array(places[of])), pa.array(grams.last[of].astype(np.int32))],
-                        ["key", "word", "last"],
+                        [pa.array(key), names.take(pa.array(places[of])), pa.array(grams.last[of].astype(np.int32))],
+                        ["key", "name", "last"],
                     )
 
-    return words.select("word").mapInArrow(make, "key bigint, word string, last int")
+    return words.select("word", "name").mapInArrow(make, "key bigint, name string, last int")
 
 
 def near_words(words: DataFrame, least: int = 5) -> DataFrame:
     """`a`, `b`: each two words, a before b, that are one edit apart."""
     held = gram_order(words)
-    mine = gram_keys(words, held, pivots=True, least=least).alias("p")
-    others = gram_keys(words, held, pivots=False, least=least).alias("q")
-    a, b = F.col("p.word"), F.col("q.word")
+    # A code begins with what no word holds.
+    code = F.concat(F.lit("#"), F.sha2("word", 256))
+    named = words.select("word", F.when(F.length("word") > LONG_WORD, code).otherwise(F.col("word")).alias("name"))
+    mine = gram_keys(named, held, pivots=True, least=least).alias("p")
+    others = gram_keys(named, held, pivots=False, least=least).alias("q")
+    a, b = F.col("p.name"), F.col("q.name")
     together = (F.col("p.key") == F.col("q.key")) & (F.col("p.last") <= F.col("q.last")) & (a != b)
-    one_apart = F.levenshtein(a, b, 1) == 1
-    found = mine.join(others, together & one_apart)
-    return found.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    coded = a.startswith("#") | b.startswith("#")
+    found = mine.join(others, together & (coded | (F.levenshtein(a, b, 1) == 1)))
+    found = found.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    for side in ("a", "b"):
+        long = named.where(F.length("word") > LONG_WORD).select(F.col("name").alias(side), "word")
+        found = found.join(long, side, "left").withColumn(side, F.coalesce("word", side)).drop("word")
+    a, b = F.col("a"), F.col("b")
+    exact = (F.greatest(F.length(a), F.length(b)) <= LONG_WORD) | (F.levenshtein(a, b, 1) == 1)
+    return found.where(exact).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
