@@ -8,9 +8,11 @@ from tradeloom.llm.decontaminate import op3_decontaminate
 from tradeloom.llm.frames import prepare
 from tradeloom.llm.language import op2_language_id
 from tradeloom.llm.mixing import op5_mix_sources
+from tradeloom.llm.negatives import op11_hard_negatives
 from tradeloom.llm.parity import op9_ngram_jaccard
 from tradeloom.llm.pii import op8_pii
 from tradeloom.llm.quality import op1_quality
+from tradeloom.llm.rules import op12_quality_rules
 from tradeloom.llm.spelling import op13_spelling_variants
 from tradeloom.llm.substrings import op7_suffix_dedup
 from tradeloom.llm.tokens import op4_token_counts
@@ -37,6 +39,8 @@ OPERATORS = (
     op8_pii,
     op9_ngram_jaccard,
     op10_toxicity,
+    op11_hard_negatives,
+    op12_quality_rules,
     op13_spelling_variants,
 )
 QUERIES = {query.__name__: _prepared(query) for query in OPERATORS}
@@ -121,6 +125,27 @@ FROM w JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON c.x =
 LEFT JOIN sizes ON sizes.doc_id = w.doc_id
 """
 
+NEGATIVE_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 # The checksum is made bit by bit: a byte is added, then eight steps of division follow.
 SPELLING_SQL = r"""
 WITH RECURSIVE runs AS (
@@ -174,5 +199,6 @@ ORACLE_SQL = {
     "op5_mix_sources": MIX_SQL,
     "op6_embedding_dedup": VECTOR_SQL,
     "op9_ngram_jaccard": NEAR_SQL,
+    "op11_hard_negatives": NEGATIVE_SQL,
     "op13_spelling_variants": SPELLING_SQL,
 }
