@@ -179,7 +179,7 @@ def _discounts(grams: DataFrame) -> DataFrame:
     """`lang`, `d1`, `d2`, `d3`: what counts of 1, 2 and more give up, from the counts of counts."""
     n = [F.count(F.when(F.col("n") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)]
     counted = grams.groupBy("lang").agg(*n)
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
     made = [i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")) for i in (1, 2, 3)]
     usable = F.lit(True)
     for i, d in enumerate(made, 1):
