@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradeloom.operators import portfolio, prices
+from tradeloom.sources import scratch
 
 DAYS = [dt.date(2024, 1, 1) + dt.timedelta(days=d) for d in (0, 1, 2, 5, 6, 7, 12, 13, 20, 21)]
 GAPS = {
@@ -187,6 +188,72 @@ def test_nothing_to_infer(spark):
     )
     wide = spark.createDataFrame([(dt.date(2024, 1, 1), 10.0)], "date date, A double")
     assert [tuple(r) for r in portfolio.infer_prices(trades, wide, ["A"]).collect()] == [(dt.date(2024, 1, 1), 10.0)]
-    assert portfolio.portfolio_value(
-        portfolio.all_positions(trades.drop("cumulative_portfolio_value"), ["A"]), wide, ["A"]
-    ).select(F.col("cumulative_portfolio_value")).first()[0] == 10.0
+    held = portfolio.held_after(trades.drop("cumulative_portfolio_value"), ["A"])
+    assert portfolio.value_holdings(held, wide, ["A"]).first()["cumulative_portfolio_value"] == 10.0
+    assert portfolio.holdings_against_prices(held, wide, ["A"]).collect() == []
+
+
+def test_rounds_read_less_and_less(spark, monkeypatch):
+    """Each round's frontier is a part of the one before."""
+    sizes = []
+
+    def counted(frame, label):
+        out = scratch.materialize(frame, label)
+        if label == "frontier":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(portfolio, "materialize", counted)
+    rng = random.Random(11)
+    rows = random_trades(11, n=300, customers=5)
+    days = sorted({r[1].date() for r in rows})
+    true = {d: {t: round(rng.uniform(1, 50), 2) for t in TICKERS} for d in days}
+    held = replay(rows)
+    trades = spark.createDataFrame(
+        [(*r, sum((true[r[1].date()][t] * q for t, q in held[r[0]].items()), 0.0)) for r in rows],
+        TRADE_TYPE + ", cumulative_portfolio_value double",
+    )
+    cells = [(d, *[None if rng.random() < 0.6 else true[d][t] for t in TICKERS]) for d in days]
+    wide = spark.createDataFrame(cells, "date date, " + ", ".join(f"{t} double" for t in TICKERS))
+    found = portfolio.infer_prices(trades, wide, TICKERS).collect()
+    assert len(sizes) > 2 and all(a > b for a, b in zip(sizes, sizes[1:]))
+    before = sum(c is None for row in cells for c in row)
+    after = sum(r[t] is None for r in found for t in TICKERS)
+    assert after < before
+    for r in found:
+        assert all(r[t] is None or r[t] == pytest.approx(true[r.date][t]) for t in TICKERS)
+
+
+def test_holdings_of_thousands_of_tickers(spark):
+    """No column per ticker: 5 000 of them, one customer with a third of all trades."""
+    rng = random.Random(2)
+    tickers = [f"T{i:04d}" for i in range(5000)]
+    start = dt.datetime(2024, 3, 1)
+    rows = [
+        (f"t{i:05d}", start + dt.timedelta(days=i // 100), rng.choice([0, 0, *range(1, 5)]), rng.choice(tickers),
+         rng.choice(["BUY", "BUY", "SELL"]), rng.randrange(1, 20))
+        for i in range(3000)
+    ]
+    want = replay(rows)
+    trades = spark.createDataFrame(rows, TRADE_TYPE)
+    held = portfolio.held_after(trades, tickers)
+    assert {r.transaction_id: r.holdings for r in held.collect()} == want
+    day = spark.createDataFrame([(start.date() + dt.timedelta(days=d),) for d in (3, 29)], "_day date")
+    some = portfolio.held_after(trades, tickers, day)
+    assert {r.transaction_id: r.holdings for r in some.collect()} == {
+        r[0]: want[r[0]] for r in rows if (r[1] - start).days in (3, 29)
+    }
+    assert len(trades.columns) + 2 == len(held.columns)
+
+
+def test_holdings_of_odd_trades(spark):
+    """Unknown customers and tickers, repeated rows, kinds that are neither, more rows than a block."""
+    at = dt.datetime(2024, 1, 1)
+    rows = [("1", at, None, "A", "BUY", 2), ("2", at, None, None, "BUY", 3), ("3", at, 0, "A", "BUY", 5), ("4", at, 0, "B", "HOLD", 5)]
+    rows += [("5", at, 0, "B", "BUY", 1)] * 40 + [("6", None, 0, "A", "BUY", 7)]
+    got = sorted((r.transaction_id, sorted(r.holdings.items())) for r in portfolio.portfolio_map(spark.createDataFrame(rows, TRADE_TYPE), ["A", "B"]).collect())
+    assert got[:2] == [("1", [("A", 2)]), ("2", [("A", 2)])]
+    assert got[2:4] == [("3", [("A", 12)]), ("4", [("A", 12)])]
+    assert sorted(dict(h)["B"] for i, h in got if i == "5") == list(range(1, 41))
+    assert got[-1] == ("6", [("A", 7)])
+    assert portfolio.portfolio_map(spark.createDataFrame([], TRADE_TYPE), ["A"]).collect() == []

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradeloom.operators import quality, quantiles, transforms
+from tradeloom.operators.ordered import running_count
 from tradeloom.operators.quantiles import exact_quantiles
 from tradeloom.plans import rollups
 
@@ -140,12 +141,52 @@ def test_medians_of_hot_tickers(spark, monkeypatch):
 def test_bracketed_quantiles_equal_numpy(spark, monkeypatch, accuracy):
     monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
     rng = random.Random(accuracy)
-    rows = [(None if i % 7 == 0 else "k", float(rng.choice([rng.randrange(50), rng.gauss(0, 1)]))) for i in range(4000)]
-    frame = spark.createDataFrame(rows, "k string, v double")
+    values = [float(rng.choice([rng.randrange(50), rng.gauss(0, 1)])) for _ in range(4000)]
+    frame = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     probs = {"low": 0.0, "a": 0.01, "b": 0.37, "c": 0.5, "d": 0.99, "top": 1.0}
-    got = {r.k: r for r in exact_quantiles(frame, ["k"], ["v"], probs).collect()}
-    assert set(got) == {None, "k"}
-    for k, row in got.items():
-        values = [v for key, v in rows if key == k]
-        for name, p in probs.items():
-            assert row[name] == pytest.approx(np.percentile(values, 100 * p), abs=1e-12)
+    row = exact_quantiles(frame, [], ["v"], probs).first()
+    for name, p in probs.items():
+        assert row[name] == pytest.approx(np.percentile(values, 100 * p), abs=1e-12)
+
+
+def test_quantiles_of_a_hot_key_and_many_small_ones(spark):
+    """One key holds a third of all rows, over several slices; 100 000 others have two each."""
+    hot = spark.range(100_000).select(F.lit("hot").alias("k"), (F.col("id") * 7919 % 100_003).cast("double").alias("v"))
+    small = spark.range(200_000).select(
+        (F.col("id") % 100_000).cast("string").alias("k"), F.col("id").cast("double").alias("v")
+    )
+    nulls = spark.range(5).select(F.lit(None).cast("string").alias("k"), F.col("id").cast("double").alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = exact_quantiles(hot.union(small).union(nulls), ["k"], ["v"], {"q": 0.25, "half": 0.5}).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    got = {r.k: r for r in rows}
+    assert len(rows) == len(got) == 100_002
+    values = [i * 7919 % 100_003 for i in range(100_000)]
+    assert (got["hot"].n, got["hot"].half) == (100_000, np.percentile(values, 50))
+    assert got["hot"].q == np.percentile(values, 25)
+    assert (got[None].n, got[None].half) == (5, 2.0)
+    for k in ("0", "77", "99999"):
+        assert (got[k].n, got[k].q, got[k].half) == (2, int(k) + 25_000, int(k) + 50_000)
+
+
+def test_running_counts_of_cut_keys(spark):
+    """Keys over many slices, keys at the borders, single rows and a NULL key."""
+    rng = random.Random(3)
+    rows = [(k, i, rng.randrange(1, 9)) for k, n in [("a", 1), ("b", 900), ("c", 3), (None, 200), ("d", 500)] for i in range(n)]
+    frame = spark.createDataFrame(rows, "k string, at int, n int").repartition(5)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.k, r["at"]): (r.upto, r.total) for r in running_count(frame, ["k"], "at", "n", "upto").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(got) == len(rows)
+    for key in {r[0] for r in rows}:
+        upto, total = 0, sum(n for k, _, n in rows if k == key)
+        for k, i, n in rows:
+            if k == key:
+                upto += n
+                assert got[k, i] == (upto, total)

@@ -1,11 +1,14 @@
 """Column expressions used across the catalogue.
 
-Sums of money are sums of whole 1/10 000 units, so that a result does not depend on
-the order in which partitions are merged; a double sum changes from run to run and
-loses cents once it passes 2**53. The units are added up as two BIGINT halves, which
-is as fast as a double sum and leaves room for 10**12 rows. A value that is no amount
-of money - not a number, finer than a unit, or beyond MOST - is an error, never a
-wrong sum; other measures are averaged by `avg`.
+Sums of doubles do not depend on the order in which partitions are merged; a plain double sum
+changes from run to run. Each value is split without error into whole multiples of fixed steps,
+22 bits apart from 2**-68 to 2**63, and the multiples are added up as BIGINTs, which leaves
+room for 2**41 rows of a group. The six totals are put together without intermediate rounding, so
+the sum is the exact one rounded once, as close as a double gets.
+
+What lies below 2**-68 or beyond 2**63 goes to one double sum beside them. It is exact as well for
+remainders of values of some 1e-12 or more; NaN and infinities give what IEEE addition gives. So
+every double can be summed.
 """
 
 from __future__ import annotations
@@ -16,57 +19,80 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Units per whole, and the size of the lower half of a unit count in bits.
-UNITS = 10000
-LOW_BITS = 20
-# Amounts from here on are not exact to a unit in a double.
-MOST = 9e11
+# Bits between two steps, and the upper exponent of each step taken at once: two steps are
+# 2**(e) and 2**(e + STEP).
+STEP = 22
+EXPONENTS = (20, -24, -68)
+# The largest part of a value that is split.
+MOST = float(1 << 63)
 
 # Fixed order of the weekdays.
 WEEK = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
-def _units_sql(x: str) -> str:
-    """`x` in whole units, NULL for NULL, an error for what is no amount."""
-    near = f"floor(({x}) * {UNITS} + 0.5D)"
-    # A double holds an amount to some 1e-15 of its size.
-    fits = f"abs(({x}) * {UNITS} - {near}) <= 0.001D + abs({x}) * 1e-11D and abs({x}) < {MOST}"
-    return f"case when ({x}) is null then null when {fits} then {near} else raise_error('no amount of money: ' || ({x})) end"
+def _scaled(x: str, exponent: int) -> str:
+    return f"(({x}) * {2.0**exponent!r}D)"
 
 
-def exact_sum(column: str | Column) -> Column:
-    """Order-independent sum of amounts of money, NULL for a group without values."""
-    x = _col(column).cast("double")
-    near = F.floor(x * UNITS + 0.5)
-    fits = (F.abs(x * UNITS - near) <= 0.001 + F.abs(x) * 1e-11) & (F.abs(x) < MOST)
-    wrong = F.raise_error(F.concat(F.lit("no amount of money: "), x.cast("string"))).cast("bigint")
-    units = F.when(x.isNull(), None).when(fits, near).otherwise(wrong)
-    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << LOW_BITS) - 1))).cast("decimal(20,0)")
-    return (high * F.lit(1 << LOW_BITS).cast("decimal(10,0)") + low).cast("double") / UNITS
+def _pieces_sql(x: str) -> tuple[list[str], str]:
+    """`x` as whole multiples of 2**20, 2**-24 and 2**-68, and what is left of it.
+
+    There is no branch in them, so that each part is computed once for all sums that take it.
+    For NULL the multiples are 0 and what is left is NULL.
+    """
+    split = f"greatest(least(coalesce({x}, 0D), {MOST!r}D), {-MOST!r}D)"
+    rest, multiples = split, []
+    for exponent in EXPONENTS:
+        # Cut towards zero: both the multiple and the remainder are exact.
+        multiple = f"cast({_scaled(rest, -exponent)} as bigint)"
+        multiples.append(multiple)
+        rest = f"({rest} - {_scaled(multiple, exponent)})"
+    return multiples, f"{rest} + ({x} - {split})"
 
 
 def exact_sum_sql(expression: str) -> str:
-    """exact_sum as SQL text."""
-    units = _units_sql(f"cast({expression} as double)")
+    """Order-independent sum of doubles as SQL text, NULL for a group without values."""
+    multiples, rest = _pieces_sql(f"cast({expression} as double)")
+    low_bits, wide = (1 << STEP) - 1, 1 << STEP
+    totals = []
+    for i, multiple in enumerate(multiples):
+        totals += [f"'s{2 * i}', sum(shiftright({multiple}, {STEP}))", f"'s{2 * i + 1}', sum({multiple} & {low_bits})"]
+    # Carry what exceeds STEP bits upwards, so that the totals no longer overlap.
+    digits, carried = [], "t.s5"
+    for i in range(4, -1, -1):
+        digits.insert(0, f"({carried} & {low_bits})")
+        carried = f"(t.s{i} + shiftright({carried}, {STEP}))"
+    parts = {
+        "a": _scaled(carried, EXPONENTS[0] + STEP),
+        "b": _scaled(f"{digits[0]} * {wide} + {digits[1]}", EXPONENTS[1] + STEP),
+        "c": _scaled(f"{digits[2]} * {wide} + {digits[3]}", EXPONENTS[2] + STEP),
+        "d": f"{_scaled(digits[4], EXPONENTS[2])} + t.rest",
+    }
+    apart = ", ".join(f"'{name}', {part}" for name, part in parts.items())
+    # Each part is smaller than a unit of the one before: what an addition rounds off is exact.
+    whole = "u.a + u.b + u.c + ((u.b - (u.a + u.b - u.a)) + (u.c - (u.a + u.b + u.c - (u.a + u.b))) + u.d)"
     return (
-        f"cast(cast(sum(shiftright({units}, {LOW_BITS})) as decimal(20, 0)) * {1 << LOW_BITS}"
-        f" + cast(sum({units} & {(1 << LOW_BITS) - 1}) as decimal(20, 0)) as double) / {UNITS}"
+        f"get(transform(transform(array(named_struct({', '.join(totals)}, 'rest', sum({rest}))), "
+        f"t -> named_struct({apart})), u -> {whole}), 0)"
     )
 
 
-def exact_avg(column: str | Column) -> Column:
-    """Order-independent mean of amounts of money, NULL for a group without values."""
-    c = _col(column)
-    return F.try_divide(exact_sum(c), F.count(c))
+def exact_sum(column: str) -> Column:
+    """Order-independent sum of a column of numbers, NULL for a group without values."""
+    return F.expr(exact_sum_sql(f"`{column}`"))
 
 
 def exact_avg_sql(expression: str) -> str:
-    """exact_avg as SQL text."""
+    """Order-independent mean as SQL text, NULL for a group without values."""
     return f"try_divide({exact_sum_sql(expression)}, count({expression}))"
 
 
-def sum_or_zero(column: str | Column) -> Column:
+def exact_avg(column: str) -> Column:
+    """Order-independent mean of a column of numbers, NULL for a group without values."""
+    return F.expr(exact_avg_sql(f"`{column}`"))
+
+
+def sum_or_zero(column: str) -> Column:
     """exact_sum with 0 for a group without values (dashboard roll-ups)."""
     return F.coalesce(exact_sum(column), F.lit(0.0))
 

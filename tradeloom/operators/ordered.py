@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.sources.scratch import materialize
@@ -18,93 +18,45 @@ def running_count(
     Adds the running sum as `out` and the key's whole sum as `total`.
 
     (keys, order) must be unique. The rows are range-partitioned and written, each
-    with the number of its slice; a slice then adds the sum of the earlier slices
-    of the same key to its own running sum. The written table fixes the slices, so
-    both uses below, and any retry, see the same ones.
+    with the number of its slice. A key that lies in one slice is done there; a slice
+    that holds part of a key adds the sum of the key's earlier slices to its own. The
+    written table fixes the slices, so all uses below, and any retry, see the same ones.
     """
-    sliced = (
-        frame.repartitionByRange(*keys, order).withColumn("_slice", F.spark_partition_id())
-    )
+    sliced = frame.repartitionByRange(*keys, order).withColumn("_slice", F.spark_partition_id())
     sliced = materialize(sliced, "slices")
-    inside = Window.partitionBy(*keys, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    # One row per key and slice: at most #keys + #slices in all.
+    inside = Window.partitionBy(*keys, "_slice")
+    before = inside.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    parts = cut_keys(sliced, keys).groupBy(*keys, "_slice").agg(F.sum(weight).alias("_part"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.sum(weight).alias("_part"))
-        .select(
-            *keys,
-            "_slice",
-            F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_part").over(Window.partitionBy(*keys)).alias(total),
-        )
+    carried = parts.select(
+        *[F.col(c).alias(f"_c_{c}") for c in [*keys, "_slice"]],
+        F.coalesce(F.sum("_part").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_part").over(Window.partitionBy(*keys)).alias("_whole"),
     )
-    before = before.withColumnsRenamed({c: f"_c_{c}" for c in [*keys, "_slice"]})
     match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in [*keys, "_slice"]]
-    return (
-        sliced.withColumn("_inside", F.sum(weight).over(inside))
-        .join(before, match)
-        .withColumn(out, F.col("_before") + F.col("_inside"))
-        .select(*frame.columns, total, out)
+    summed = sliced.withColumns({"_upto": F.sum(weight).over(before), "_all": F.sum(weight).over(inside)})
+    # At most two rows per slice.
+    return summed.join(F.broadcast(carried), match, "left").select(
+        *frame.columns,
+        F.coalesce("_whole", "_all").alias(total),
+        (F.coalesce("_before", F.lit(0)) + F.col("_upto")).alias(out),
     )
 
 
-def floored_running_sums(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[str], deltas: Mapping[str, Column]
-) -> DataFrame:
-    """Running sums that never fall below zero, one output column per delta.
-
-    A sum floored at zero after each step equals S - min(0, lowest S so far) with
-    S the plain running sum, so two running window functions replace the loop.
+def cut_keys(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of keys that lie in more than one slice of a range partitioning along the keys.
 
-    The rows are range-partitioned along keys and order and written with the number
-    of their slice, as in running_count; a slice takes over S and its lowest value
-    from the key's earlier slices. Keys of any size are spread over tasks alike.
+    Such a key is the first or the last one of each of its slices, so there are fewer of
+    them than slices.
     """
-    sliced = (
-        frame.withColumns({f"_d_{n}": delta for n, delta in deltas.items()})
-        .repartitionByRange(*keys, *order)
-        .withColumn("_block", F.spark_partition_id())
-    )
-    sliced = _running(materialize(sliced, "slices"), [*keys, "_block"], order, list(deltas))
-    carried = _carried(sliced, keys, list(deltas))
-    # least skips NULLs, so the first slice has no earlier floor to regard.
-    taken_over = [
-        (
-            F.col(f"_o_{n}")
-            + F.col(f"_s_{n}")
-            - F.least(F.lit(0), F.col(f"_o_{n}") + F.col(f"_m_{n}"), F.col(f"_f_{n}"))
-        ).alias(n)
-        for n in deltas
-    ]
-    return carried.select(*frame.columns, *taken_over)
-
-
-def _running(frame: DataFrame, keys: Sequence[str], order: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Adds the running sum _s and the lowest running sum so far _m of each delta _d."""
-    along = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return frame.withColumns({f"_s_{n}": F.sum(f"_d_{n}").over(along) for n in names}).withColumns(
-        {f"_m_{n}": F.min(f"_s_{n}").over(along) for n in names}
-    )
+    listed = cut_key_list(sliced, keys)
+    return sliced.join(F.broadcast(listed), [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys], "left_semi")
 
 
-def _carried(blocks: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Adds what each block takes over: _o, the sum, and _f, the lowest sum, of the earlier ones."""
-    per_block = blocks.groupBy(*keys, "_block").agg(
-        *[F.sum(f"_d_{n}").alias(f"_t_{n}") for n in names],
-        *[F.min(f"_s_{n}").alias(f"_l_{n}") for n in names],
-    )
-    # One row per key and slice: at most #keys + #slices in all.
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = per_block.withColumns(
-        {f"_o_{n}": F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)) for n in names}
-    )
-    floors = sums.withColumns(
-        {f"_f_{n}": F.min(F.col(f"_o_{n}") + F.col(f"_l_{n}")).over(earlier) for n in names}
-    ).select(
-        *[F.col(c).alias(f"_c_{c}") for c in [*keys, "_block"]],
-        *[f"_o_{n}" for n in names],
-        *[f"_f_{n}" for n in names],
-    )
-    match = [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in [*keys, "_block"]]
-    return blocks.join(floors, match, "left")
+def cut_key_list(sliced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys themselves, as `_k_` and their names."""
+    key = F.struct(*keys)
+    ends = sliced.groupBy("_slice").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    listed = ends.select(F.explode(F.array_distinct(F.array("_first", "_last"))).alias("_key"))
+    cut = listed.groupBy("_key").agg(F.count("*").alias("_slices")).filter("_slices > 1")
+    return cut.select(*[F.col(f"_key.{c}").alias(f"_k_{c}") for c in keys])

@@ -21,37 +21,16 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per key and column: keys, column_name, n and one column per prob.
 
-    A first scan brackets each quantile by a sketch of bounded size. A second one
-    counts the values inside the brackets one by one and those between them together;
-    these few counts are ranked along a range partitioning. Groups smaller than the
-    sketch are counted whole. NULL values are left out, NULL keys are a group.
+    Equal values of a group are counted, by the tasks first; the counts are ranked along one
+    range partitioning by group and value, so a task holds a slice of them, be it part of a
+    large group or many small ones. Quantiles of whole columns are few, so a sketch of each
+    column leaves only the values next to them to be counted one by one. NULL values are left
+    out, NULL keys are a group.
     """
     group = [*keys, "column_name"]
     pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns]
     long = frame.select(*keys, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
-    reach = MARGIN / ACCURACY
-    ends = [min(max(p + side * reach, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
-    brackets = long.groupBy(*group).agg(
-        F.count("*").alias("_n"), F.percentile_approx("value", ends, ACCURACY).alias("_ends")
-    )
-    brackets = materialize(brackets, "brackets").withColumnsRenamed({c: f"_b_{c}" for c in group})
-    if not keys:
-        # One row per column.
-        brackets = F.broadcast(brackets)
-    match = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in group]
-    value, bounds = F.col("value"), F.col("_ends")
-    inside = reduce(
-        lambda a, b: a | b,
-        [value.between(bounds[2 * i], bounds[2 * i + 1]) for i in range(len(probs))],
-        F.col("_n") < ACCURACY / MARGIN,
-    )
-    between = F.size(F.filter(bounds, lambda end: end < value))
-    counts = (
-        long.join(brackets, match)
-        .groupBy(*group, F.when(inside, value).alias("_value"), F.when(~inside, between).alias("_between"))
-        .agg(F.count("*").alias("n"), F.min("value").alias("value"))
-        .drop("_value", "_between")
-    )
+    counts = long.groupBy(*group, "value").agg(F.count("*").alias("n")) if keys else _near(long, probs)
     ranked = running_count(counts, group, "value", "n", "upto", total="size")
 
     def at(rank: Column) -> Column:
@@ -72,3 +51,32 @@ def exact_quantiles(
     return ends_of.select(
         *group, F.col("size").alias("n"), *[interpolated(n, p).alias(n) for n, p in probs.items()]
     )
+
+
+def _near(long: DataFrame, probs: Mapping[str, float]) -> DataFrame:
+    """`column_name`, `value`, `n`: counts of the values around the quantiles, and of those between.
+
+    A first scan brackets each quantile of a column by a sketch of bounded size. A second one
+    counts the values inside the brackets one by one and those between them together. Columns
+    with fewer values than the sketch is exact for are counted whole.
+    """
+    reach = MARGIN / ACCURACY
+    ends = [min(max(p + side * reach, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
+    brackets = long.groupBy("column_name").agg(
+        F.count("*").alias("_n"), F.percentile_approx("value", ends, ACCURACY).alias("_ends")
+    )
+    # One row per column.
+    brackets = F.broadcast(materialize(brackets, "brackets").withColumnRenamed("column_name", "_column"))
+    value, bounds = F.col("value"), F.col("_ends")
+    inside = reduce(
+        lambda a, b: a | b,
+        [value.between(bounds[2 * i], bounds[2 * i + 1]) for i in range(len(probs))],
+        F.col("_n") < ACCURACY / MARGIN,
+    )
+    between = F.size(F.filter(bounds, lambda end: end < value))
+    return (
+        long.join(brackets, F.col("column_name") == F.col("_column"))
+        .groupBy("column_name", F.when(inside, value).alias("_value"), F.when(~inside, between).alias("_between"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("value"))
+        .drop("_value", "_between")
+    )

@@ -459,39 +459,38 @@ def _fill(method: str) -> Query:
     return run
 
 
-def _written_trades(spark: SparkSession, sf: str) -> DataFrame:
-    """Panel-level trades as a table: they are read for key sizes and for the windows."""
-    return scratch.materialize(star.brand_trades(spark, sf), "brand-trades")
-
-
 def win_position(spark: SparkSession, sf: str) -> DataFrame:
-    trades = _written_trades(spark, sf)
+    trades = star.brand_trades(spark, sf)
     return portfolio.running_position(trades).select("transaction_id", "customer_id", "stock_ticker", "holding")
 
 
 def win_portfolio_map(spark: SparkSession, sf: str) -> DataFrame:
     """The holdings map, as text so that it compares."""
-    held = portfolio.portfolio_map(_written_trades(spark, sf), star.brands(spark, sf))
+    held = portfolio.portfolio_map(star.brand_trades(spark, sf), star.brands(spark, sf))
     entries = F.transform(
         F.array_sort(F.map_entries("holdings")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
     )
     return held.select("transaction_id", F.array_join(entries, ",").alias("holdings"))
 
 
-def _valued_positions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Positions with the value of each portfolio at filled prices, panel with its holes, tickers."""
+def _panels(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The panel with its holes, the same filled, and its tickers."""
     brands = star.brands(spark, sf)
     panel = scratch.materialize(star.price_panel(spark, sf, brands), "panel")
     filled = prices.widen(prices.fill_prices(prices.melt(panel, brands)), brands)
-    positions = portfolio.all_positions(_written_trades(spark, sf), brands)
-    filled = scratch.materialize(filled, "filled")
-    return portfolio.portfolio_value(positions, filled, brands), panel, brands
+    return panel, scratch.materialize(filled, "filled"), brands
+
+
+def _valued_holdings(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Holdings of the days with holes, their value at filled prices, panel with its holes, tickers."""
+    panel, filled, brands = _panels(spark, sf)
+    held = portfolio.held_after(star.brand_trades(spark, sf), brands, portfolio.open_days(panel, brands))
+    return scratch.materialize(portfolio.value_holdings(held, filled, brands), "valued"), panel, brands
 
 
 def jn_holdings_prices(spark: SparkSession, sf: str) -> DataFrame:
-    positions, panel, brands = _valued_positions(spark, sf)
-    checked = portfolio.holdings_against_prices(positions, panel, brands)
-    return checked.select(
+    held, panel, brands = _valued_holdings(spark, sf)
+    return portfolio.holdings_against_prices(held, panel, brands).select(
         "transaction_id",
         "date",
         "missing_prices",
@@ -504,8 +503,8 @@ def jn_holdings_prices(spark: SparkSession, sf: str) -> DataFrame:
 def price_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """What the observed prices alone decide: one price per day and ticker, from the
     first deciding trade."""
-    positions, panel, brands = _valued_positions(spark, sf)
-    found = portfolio.price_candidates(portfolio.holdings_against_prices(positions, panel, brands))
+    held, panel, brands = _valued_holdings(spark, sf)
+    found = portfolio.price_candidates(portfolio.holdings_against_prices(held, panel, brands))
     first = F.struct("customer_id", "timestamp", "transaction_id")
     return found.groupBy("date", F.col("missing_ticker").alias("stock_ticker")).agg(
         F.round(F.min_by("inferred_price", first), 4).alias("inferred_price"),
@@ -515,8 +514,8 @@ def price_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 def win_price_inference(spark: SparkSession, sf: str) -> DataFrame:
     """Prices inferred for holes of the panel: (date, stock_ticker, stock_price)."""
-    positions, panel, brands = _valued_positions(spark, sf)
-    inferred = prices.melt(portfolio.infer_from_positions(positions, panel, brands), brands)
+    held, panel, brands = _valued_holdings(spark, sf)
+    inferred = prices.melt(portfolio.infer_from_held(held, panel, brands), brands)
     known = prices.melt(panel, brands).filter("stock_price is not null").select("date", "stock_ticker")
     new = inferred.filter("stock_price is not null").join(known, ["date", "stock_ticker"], "left_anti")
     return new.withColumn("stock_price", F.round("stock_price", 4))
@@ -719,17 +718,14 @@ def _pipeline(order: Callable[[pipelines.Star], DataFrame], with_portfolio: bool
     """A cleaning order with gates that these tables pass: without outliers nothing is treated."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        brands = star.brands(spark, sf)
-        panel = scratch.materialize(star.price_panel(spark, sf, brands), "panel")
-        valued = None
         if with_portfolio:
-            filled = prices.widen(prices.fill_prices(prices.melt(panel, brands)), brands)
-            written = _written_trades(spark, sf)
-            positions = portfolio.all_positions(written, brands)
-            valued = portfolio.portfolio_value(positions, scratch.materialize(filled, "filled"), brands).select(
-                *written.columns, "cumulative_portfolio_value"
-            )
+            panel, filled, brands = _panels(spark, sf)
+            held = portfolio.held_after(star.brand_trades(spark, sf), brands)
+            valued = portfolio.value_holdings(held, filled, brands).drop("_row", "holdings")
             valued = scratch.materialize(valued, "valued")
+        else:
+            valued, brands = None, star.brands(spark, sf)
+            panel = scratch.materialize(star.price_panel(spark, sf, brands), "panel")
         out = order(
             pipelines.Star(
                 trades=star.trades(spark, sf),
