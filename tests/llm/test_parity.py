@@ -83,6 +83,55 @@ def test_nulls_repeated_ids_and_one_kept(spark):
     assert parity.near_duplicates(frame.limit(0)).collect() == [] and parity.keep_one(frame.limit(0)).collect() == []
 
 
+def near_group(copies, strays, seed=4):
+    """One text of 300 words with two changed in each copy, and strays that share half of it."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(300)]
+    out = {}
+    for i in range(copies):
+        w = list(base)
+        for _ in range(2):
+            w[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+        out[i] = " ".join(w)
+    for i in range(strays):
+        out[copies + i] = " ".join(base[:150] + [f"s{i}_{k}" for k in range(150)])
+    return out
+
+
+def test_a_large_group_with_strays_equals_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(parity, "BLOCK", 32)
+    texts = near_group(300, 5)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in parity.near_duplicates(frame).collect()}
+    assert got == near_classes(texts)
+
+
+def test_rows_dealt_out_grow_with_the_group(spark, monkeypatch):
+    """Members of a group's largest class are dealt out once for each block of the others."""
+    monkeypatch.setattr(parity, "BLOCK", 50)
+    dealt = {}
+    for n in (500, 2000):
+        members = spark.range(n).select(F.lit(1).alias("sig"), F.col("id").alias("member"))
+        classes = spark.range(n - 5).select("id", F.lit(0).cast("long").alias("component"))
+        sketches = spark.range(n).select(F.col("id").alias("key"), F.lit(100).alias("n"), F.lit(bytes(64)).alias("sketch"))
+        rows = parity.mixed_groups(members, classes, sketches, 4).cache()
+        dealt[n] = rows.count()
+        met = rows.where("side = 0").select("member", "i", "j").join(
+            rows.where("side = 1").select(F.col("member").alias("other"), "i", "j"), ["i", "j"]
+        )
+        assert met.select("member", "other").distinct().count() == 5 * n
+    assert dealt[500] <= 2 * 500 and dealt[2000] <= 2 * 2000
+
+
+def test_a_text_of_many_words(spark):
+    long = " ".join(f"w{i % 70_000}" for i in range(200_000))
+    rows = [(1, long), (2, long + " more"), (3, None), (4, long[: len(long) // 2])]
+    got = {r.doc_id: r.component_id for r in parity.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: shingle_set(t) for i, t in rows}
+    near = 100 * len(sets[1] & sets[4]) >= 75 * len(sets[1] | sets[4])
+    assert got == {1: 1, 2: 1, 3: 3, 4: 1 if near else 4}
+
+
 def test_components_of_chains_stars_and_rings(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     frame = spark.createDataFrame(links, "a long, b long")

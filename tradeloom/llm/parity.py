@@ -19,9 +19,11 @@ difference from below by its Hamming distance. Candidates that pass are compared
 
 Groups that share a lane are not expanded into pairs. In a group of more than SMALL documents
 all are compared with its smallest. Then those outside a group's largest class are compared
-with the one of PROBES others that is nearest by the sketches, some rounds long. What is then
-still in different classes is compared by the sketches, block by block, and what passes
-exactly.
+with the one of PROBES others that is nearest by the sketches, some rounds long. Those that are
+then still outside it are compared by the sketches with all others, block by block, and what
+passes exactly. Members of the largest class are never compared with one another, so a large
+group of near copies with a few strays is dealt out about once. Links found later join classes,
+not documents, so each search for components but the first is a small one.
 
 Equal sets are one set throughout. Texts without words link with nothing, with fewer than
 five words they are one shingle. Null ids link with nothing new; rows that share an id are
@@ -49,7 +51,8 @@ ROUNDS = 2  # rounds of these comparisons at most
 WIDTH = 2  # a parity sketch has 2**WIDTH bits or more for each shingle, one for ranking has one
 FLUSH = 1 << 20  # lanes a task gathers before it passes them on
 TASK = 1 << 21  # lanes of a bucket, about
-BITMAP = 1 << 20  # slots of the bitmap of documents whose sets are wanted
+BITMAP = 1 << 24  # bits of the bitmap of documents whose sets are wanted
+FEW = 1 << 17  # keys that are sent to all tasks at most, 8 bytes each
 
 
 def bands() -> tuple[np.ndarray, np.ndarray]:
@@ -215,6 +218,23 @@ PAIR_ROWS = "bucket int, kind int, c0 binary, c1 binary"
 LONGEST = 0xFFFF  # lanes of a run
 
 
+class Seen:
+    """The keys a task has come across, so that copies of a text leave it once."""
+
+    def __init__(self):
+        self.keys: set[int] = set()
+        self.last = np.zeros(0, dtype=bool)
+
+    def first(self, keys: np.ndarray) -> np.ndarray:
+        """Which of `keys` come for the first time; kept as `last`."""
+        self.last = np.zeros(len(keys), dtype=bool)
+        for i, key in enumerate(keys.tolist()):
+            if key not in self.keys:
+                self.keys.add(key)
+                self.last[i] = True
+        return self.last
+
+
 def packed_lanes(buckets: int):
     """Rows of texts to their lanes by bucket of signatures and their needs by bucket of keys."""
 
@@ -240,11 +260,13 @@ def packed_lanes(buckets: int):
 
     def emit(batches):
         held: list[tuple] = []
+        known = Seen()
         for batch in batches:
             for part in slices(batch.column("text")):
                 doc, value = shingles(words(part), len(part))
                 size, key, _ = set_keys(doc, value, len(part))
-                (d, band, sig), (_, _, _) = lanes(doc, value, size)
+                fresh = known.first(key)[doc]
+                (d, band, sig), (_, _, _) = lanes(doc[fresh], value[fresh], np.where(known.last, size, 0))
                 if len(sig):
                     held.append((sig, key[d], band))
                 if sum(len(x[0]) for x in held) >= FLUSH:
@@ -360,25 +382,25 @@ def candidates(key, table):
     return pa.table({"kind": pa.array(kind), "a": pa.array(x), "b": pa.array(y)})
 
 
-def wanted_sets(bitmap: np.ndarray):
+def wanted_sets(sent):
     """Rows of documents in the bitmap to their sets: key, size, parity sketch, hashes."""
-    packed = np.packbits(bitmap)
 
     def emit(batches):
-        wanted = np.unpackbits(packed).astype(bool)
+        bitmap, known = np.frombuffer(sent.value, np.uint8), Seen()
         for batch in batches:
-            batch = batch.filter(pa.array(wanted[batch.column("slot").to_numpy()]))
+            slot = batch.column("slot").to_numpy()
+            batch = batch.filter(pa.array((bitmap[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)))
             if not batch.num_rows:
                 continue
             for part in slices(batch.column("text")):
                 doc, value = shingles(words(part), len(part))
                 size, key, _ = set_keys(doc, value, len(part))
                 bounds = np.searchsorted(doc, np.arange(len(part) + 1))
-                sets = [value[x:y] for x, y in zip(bounds[:-1], bounds[1:])]
+                fresh = np.flatnonzero(known.first(key) & (size > 0))
+                sets = [value[bounds[i] : bounds[i + 1]] for i in fresh]
                 sketches = [bits(s, len(s)) for s in sets]
                 yield pa.record_batch(
-                    {"doc_id": batch.column("doc_id").slice(part.first, len(part)), "key": pa.array(key.view(np.int64)),
-                     "n": pa.array(size, pa.int64()),
+                    {"key": pa.array(key[fresh].view(np.int64)), "n": pa.array(size[fresh], pa.int64()),
                      "sketch": pa.array(sketches, pa.binary()),
                      "rough": pa.array([rough(x) for x in sketches], pa.binary()),
                      "hashes": pa.array([s.tobytes() for s in sets], pa.binary())}
@@ -410,11 +432,31 @@ def exact(batches):
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
+def bitmap_of(ids: DataFrame) -> bytes:
+    """The bits of the slots of `doc_id`, least bit of a byte first; BITMAP bits, made by the tasks."""
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)) + 1  # bits are numbered from 1
+    rows = ids.where("doc_id is not null").groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
+    )
+    out = np.zeros(BITMAP // 8, np.uint8)
+    for row in rows.collect():
+        first = (row["bucket"] - 1) * 4096  # 32768 bits of a bucket
+        out[first : first + 4096] = np.frombuffer(row["bits"], np.uint8)
+    return out.tobytes()
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) of keys that link."""
+    """The distinct pairs (a, b) of keys that link.
+
+    Where the pairs name few sets these are picked out before they are shuffled.
+    """
+    pairs = materialize(pairs.distinct(), "parity-pairs")
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    if keys.limit(FEW + 1).count() <= FEW:
+        sets = sets.join(F.broadcast(keys), "key", "left_semi")
     small = sets.select("key", "n", "sketch")
     sized = (
-        pairs.distinct()
+        pairs
         .join(small.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a")), "a")
         .join(small.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b")), "b")
         .where("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
@@ -437,7 +479,7 @@ def groups_of(table):
     for group in np.split(order, np.flatnonzero(np.diff(sig[order])) + 1):
         size = min(len(sketch[i]) for i in group.tolist())
         words = np.stack([folded(np.frombuffer(sketch[i], np.uint8), size).view(np.uint64) for i in group.tolist()])
-        yield member[group], kind[group], n[group], words, np.flatnonzero(side[group] != 1), np.flatnonzero(side[group] != 0)
+        yield member[group], kind[group], n[group], words, np.flatnonzero(side[group] == 0), np.flatnonzero(side[group] == 1)
 
 
 def near(i: int, others: np.ndarray, kind, n, words) -> tuple[np.ndarray, np.ndarray]:
@@ -453,9 +495,8 @@ def cross_pairs(key, table):
     trim()
     a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for member, kind, n, words, left, right in groups_of(table):
-        both = np.array_equal(left, right)
-        for at, i in enumerate(left.tolist()):
-            found, _ = near(i, right[at + 1 :] if both else right, kind, n, words)
+        for i in left.tolist():
+            found, _ = near(i, right, kind, n, words)
             a.append(np.minimum(member[found], member[i]))
             b.append(np.maximum(member[found], member[i]))
     pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], axis=1), axis=0)
@@ -463,15 +504,13 @@ def cross_pairs(key, table):
 
 
 def nearest_pairs(turn: int):
-    """For members of a block outside the largest class: the nearest of some others, if it may link."""
+    """For members of a left block: the nearest of some of another class, if it may link."""
 
     def nearest(key, table):
         trim()
         best: dict[int, tuple[int, int]] = {}
         for member, kind, n, words, left, right in groups_of(table):
-            classes, counts = np.unique(kind, return_counts=True)
-            largest = classes[counts.argmax()]
-            for i in left[kind[left] != largest].tolist():
+            for i in left.tolist():
                 others = right[kind[right] != kind[i]]
                 if len(others) > PROBES:
                     step = (i * 7919 + turn * 104729 + np.arange(PROBES) * (len(others) // PROBES)) % len(others)
@@ -491,38 +530,57 @@ def nearest_pairs(turn: int):
 def mixed_groups(members: DataFrame, classes: DataFrame, sketches: DataFrame, buckets: int) -> DataFrame:
     """Members of large groups that are not one class yet, dealt out for comparison.
 
-    A group of up to BLOCK members is part of the task `spot`; of a larger one each pair of
-    blocks i <= j is a task. side -1 meets itself, 0 meets 1.
+    The members outside a group's largest class (side 0) meet all its members (side 1). Both are
+    dealt into blocks of about BLOCK and each two blocks are a task, groups of one block each
+    share tasks. A member of the largest class so goes to as many tasks as there are blocks of
+    the others.
     """
-    placed = members.join(classes.select(F.col("id").alias("member"), "component"), "member", "left").select(
+    placed = members.join(classes.withColumnRenamed("id", "member"), "member", "left").select(
         "sig", "member", F.coalesce("component", "member").alias("class")
     )
-    mixed = placed.groupBy("sig").agg(
-        F.min("class").alias("least"), F.max("class").alias("most"), F.count("*").alias("size")
-    ).where("least < most").select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    rows = placed.join(mixed, "sig").join(
-        sketches.select(F.col("key").alias("member"), "n", "sketch").dropDuplicates(["member"]), "member"
-    ).withColumn("block", F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int"))
-    columns = ["sig", "member", "class", "n", "sketch"]
-    one = rows.where("blocks = 1").select(
-        *columns, F.lit(-1).alias("side"), F.pmod(F.xxhash64("sig"), F.lit(8 * buckets)).cast("long").alias("spot"),
-        F.lit(0).alias("i"), F.lit(0).alias("j"),
-    )
-    split = rows.where("blocks > 1").select(
-        *columns, "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select(
-        *columns, F.when(F.col("block") == F.col("other"), -1).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
-        F.col("sig").alias("spot"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+    sizes = placed.groupBy("sig", "class").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("sig").agg(
+        F.count("*").alias("classes"), F.sum("n").alias("size"), F.max(F.struct("n", "class")).alias("top")
+    ).where("classes > 1").select(
+        "sig", F.col("top.class").alias("largest"),
+        F.ceil((F.col("size") - F.col("top.n")) / BLOCK).cast("int").alias("lefts"),
+        F.ceil(F.col("size") / BLOCK).cast("int").alias("rights"),
     )
-    return one.union(split)
+    rows = placed.join(mixed, "sig").join(sketches.withColumnRenamed("key", "member"), "member")
+
+    def dealt(side: int, some: DataFrame, own: str, others: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("member"), F.col(own)).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col(others) - 1))
+        i, j = (block.alias("i"), other.alias("j")) if side == 0 else (other.alias("i"), block.alias("j"))
+        shared = (F.col("lefts") == 1) & (F.col("rights") == 1)
+        spot = F.when(shared, F.pmod(F.xxhash64("sig"), F.lit(8 * buckets)).cast("long")).otherwise(F.col("sig"))
+        return some.select("sig", "member", "class", "n", "sketch", F.lit(side).alias("side"), spot.alias("spot"), i, j)
+
+    strangers = rows.where(F.col("class") != F.col("largest"))
+    return dealt(0, strangers, "lefts", "rights").union(dealt(1, rows, "rights", "lefts"))
+
 
+def joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """`classes` (id, component) with the classes joined that the links (a, b) connect.
 
-def further_links(members: DataFrame, links: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
-    """`links` and those that still join classes within large groups."""
+    Ids that are in no class yet are classes of their own.
+    """
+    between = links
+    for side in ("a", "b"):
+        named = classes.select(F.col("id").alias(side), F.col("component").alias(f"_{side}"))
+        between = between.join(named, side, "left").withColumn(side, F.coalesce(f"_{side}", side)).drop(f"_{side}")
+    more = components(between.where("a != b"), label="parity-classes")
+    more = more.select(F.col("id").alias("component"), F.col("component").alias("least"))
+    known = classes.join(more, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
+    new = more.join(classes, "component", "left_anti").select(F.col("component").alias("id"), F.col("least").alias("component"))
+    return materialize(known.union(new), "parity-classes")
+
+
+def further_classes(members: DataFrame, classes: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
+    """`classes` and what still joins them within large groups."""
     task = ["spot", "i", "j"]
+    roughly = sets.select("key", "n", F.col("rough").alias("sketch"))
     for turn in range(ROUNDS):
-        classes = components(links, label="parity-classes")
-        roughly = sets.select("key", "n", F.col("rough").alias("sketch"))
         probes = mixed_groups(members, classes, roughly, buckets).groupBy(*task).applyInArrow(
             nearest_pairs(turn), "member long, apart long, other long"
         )
@@ -532,10 +590,11 @@ def further_links(members: DataFrame, links: DataFrame, sets: DataFrame, buckets
         found = materialize(verified(pairs, sets), "parity-probes")
         if found.isEmpty():
             break
-        links = links.union(found)
-    classes = components(links, label="parity-classes")
-    rest = mixed_groups(members, classes, sets, buckets).groupBy(*task).applyInArrow(cross_pairs, "a long, b long")
-    return links.union(materialize(verified(rest, sets), "parity-rest"))
+        classes = joined(classes, found)
+    wide = sets.select("key", "n", "sketch")
+    rest = mixed_groups(members, classes, wide, buckets).groupBy(*task).applyInArrow(cross_pairs, "a long, b long")
+    found = materialize(verified(rest, sets), "parity-rest")
+    return classes if found.isEmpty() else joined(classes, found)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -555,42 +614,41 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .groupBy("bucket").applyInArrow(candidates, "kind int, a long, b long"),
         "parity-candidates",
     )
-    pairs = found.where("kind = 0").select("a", "b").distinct()
+    pairs = found.where("kind = 0").select("a", "b")
     members = found.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("member"))
     # All members of large groups are in pairs with the first.
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)).cast("int")
     keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    some = reps.join(keys, "key", "left_semi").select(F.col("rep").alias("doc_id")).select(slot.alias("slot")).distinct()
-    bitmap = np.zeros(BITMAP, np.uint8)
-    bitmap[[r["slot"] for r in some.where("slot is not null").collect()]] = 1
-    sets = materialize(
-        rows.select("doc_id", "text", F.coalesce(slot, F.lit(0)).alias("slot")).mapInArrow(
-            wanted_sets(bitmap), "doc_id long, key long, n long, sketch binary, rough binary, hashes binary"
-        ).where("n > 0"),
-        "parity-sets",
-    ) if bitmap.any() else None
-    if sets is None:
-        links = spark.createDataFrame([], "a long, b long")
+    wanted = materialize(reps.join(keys, "key", "left_semi").select("key", F.col("rep").alias("doc_id")), "parity-wanted")
+    if wanted.isEmpty():
+        classes = spark.createDataFrame([], "id long, component long")
     else:
-        sets = sets.join(reps.select("key", F.col("rep").alias("doc_id")), ["key", "doc_id"], "left_semi")
-        links = materialize(verified(pairs, sets), "parity-links")
+        sent = spark.sparkContext.broadcast(bitmap_of(wanted))
+        slot = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)), F.lit(0)).alias("slot")
+        sets = rows.where("doc_id is not null").select("doc_id", "text", slot).mapInArrow(
+            wanted_sets(sent), "key long, n long, sketch binary, rough binary, hashes binary"
+        )
+        # Other documents in a wanted slot, and the repeated rows of one, go here.
+        sets = materialize(sets.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "parity-sets")
+        classes = materialize(components(verified(pairs, sets), label="parity-classes"), "parity-classes")
         if not members.isEmpty():
-            links = further_links(members, links, sets, buckets)
-    by_key = reps.select("key", "rep").where("rep is not null")
-    named = (
-        links.join(by_key.select(F.col("key").alias("a"), F.col("rep").alias("x")), "a")
-        .join(by_key.select(F.col("key").alias("b"), F.col("rep").alias("y")), "b").select("x", "y")
+            classes = further_classes(members, classes, sets, buckets)
+    known = reps.join(classes, F.col("key") == F.col("id"), "left").select(
+        "key", "check", "n", "rep", F.coalesce("component", "key").alias("class")
     )
+    known = materialize(known, "parity-known")
     # Rows that share an id are one document.
     repeated = sums.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
-    again = sums.where("n > 0").join(repeated, "doc_id", "left_semi").join(reps, ["key", "check", "n"]).select(
-        F.col("doc_id").alias("x"), F.col("rep").alias("y")
-    )
-    classes = components(named.union(again), "x", "y", label="parity-components")
-    return (
-        sums.join(reps, ["key", "check", "n"], "left")
-        .join(classes.select(F.col("id").alias("rep"), "component"), "rep", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
+    again = sums.where("n > 0").join(repeated, "doc_id", "left_semi").join(known, ["key", "check", "n"])
+    again = again.select("doc_id", "class").distinct()
+    lowest = again.groupBy("doc_id").agg(F.min("class").alias("a"))
+    again = materialize(again.join(lowest, "doc_id").select("a", F.col("class").alias("b")).where("a != b"), "parity-again")
+    if not again.isEmpty():
+        more = components(again, label="parity-again").select(F.col("id").alias("class"), F.col("component").alias("least"))
+        known = known.join(more, "class", "left").withColumn("class", F.coalesce("least", "class")).drop("least")
+    least = known.groupBy("class").agg(F.min("rep").alias("component"))
+    known = known.join(least, "class").select("key", "check", "n", "component")
+    return sums.join(known, ["key", "check", "n"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
 
 

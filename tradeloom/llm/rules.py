@@ -41,6 +41,8 @@ PART_ENTRIES = 1 << 22
 # Units per bit in sums, and bins per bit of the histogram; more bits a byte count as MOST_BITS.
 UNITS, BINS, MOST_BITS = 1 << 20, 1 << 10, 32
 WIDTH, LEAST = 8.0, 0.5
+# Parts a language is dealt into where its model is made.
+SALTS = 64
 # Discounts where counts of counts give none.
 FALLBACK = (0.5, 1.0, 1.5)
 # Fixed set of symbols and fixed limits of the rules.
@@ -176,7 +178,7 @@ def _texts(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def _discounts(grams: DataFrame) -> DataFrame:
-    """`lang`, `d1`, `d2`, `d3`: what counts of 1, 2 and more give up, from the counts of counts."""
+    """What counts of 1, 2 and more give up in a language, from the counts of counts, once per salt."""
     n = [F.count(F.when(F.col("n") == i, 1)).alias(f"n{i}") for i in (1, 2, 3, 4)]
     counted = grams.groupBy("lang").agg(*n)
     y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
@@ -186,7 +188,7 @@ def _discounts(grams: DataFrame) -> DataFrame:
         usable = usable & (d > 0) & (d < i)
     usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0) & usable
     return counted.select(
-        F.col("lang").alias("_lang"), *[F.when(usable, d).otherwise(f).alias(f"d{i}") for i, (d, f) in enumerate(zip(made, FALLBACK), 1)]
+        F.col("lang").alias("_lang"), F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt"), *[F.when(usable, d).otherwise(f).alias(f"d{i}") for i, (d, f) in enumerate(zip(made, FALLBACK), 1)]
     )
 
 
@@ -200,9 +202,11 @@ def probabilities(counts: DataFrame) -> list[DataFrame]:
     out: list[DataFrame] = []
     for k in range(1, ORDER + 1):
         grams = orders[k].withColumn("context", F.shiftright("gram", 8))
-        same = Window.partitionBy("lang", "context")  # at most 256 rows, one per byte
+        # A language is spread over tasks by its contexts.
+        grams = grams.withColumn("salt", F.pmod(F.xxhash64("context"), F.lit(SALTS)).cast("int"))
+        same = Window.partitionBy("lang", "salt", "context")  # at most 256 rows, one per byte
         n = F.col("n")
-        known = grams.join(_discounts(orders[k]), F.col("lang") == F.col("_lang"))
+        known = grams.join(_discounts(orders[k]), (F.col("lang") == F.col("_lang")) & (F.col("salt") == F.col("_salt")))
         taken = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
         given = [F.sum(F.when(test, 1).otherwise(0)).over(same) for test in (n == 1, n == 2, n >= 3)]
         total = F.sum("n").over(same)
