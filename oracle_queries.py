@@ -770,8 +770,9 @@ def oracle_sql() -> dict[str, str]:
         "dq_value_counts": over_star("SELECT quantity, count(*) AS frequency FROM trades GROUP BY 1"),
         "dq_profile": profile(),
         "dq_reconcile": over_star(
-            """SELECT (SELECT count(*) FROM main) AS rows_before, (SELECT count(*) FROM arriving) AS processed,
-                 (SELECT count(*) FROM stocks) AS rows_after, TRUE AS matches""",
+            """SELECT rows_before, processed, rows_after, rows_after - rows_before = processed AS matches
+               FROM (SELECT (SELECT count(*) FROM main) AS rows_before, (SELECT count(*) FROM arriving) AS processed,
+                            (SELECT count(*) FROM stocks) AS rows_after)""",
             SPLIT,
         ),
         "tf_cap": treated("greatest(least({x}, {p}.upper), {p}.lower)", 8),

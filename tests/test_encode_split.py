@@ -52,7 +52,7 @@ def test_unseen_and_stream_nulls(spark):
     by_id = {r.transaction_id: r for r in coded.collect()}
     assert by_id["1"].stock_sector == -1  # Energy
     assert by_id["60"].stock_sector == -1 and by_id["60"].is_weekend == -1
-    counts = coded.agg(*encode.unseen_counts(coded)).first()
+    counts = coded.agg(*[n.alias(c) for c, n in encode.unseen_counts(coded).items()]).first()
     assert counts.stock_sector == 13
     kept = encode.decode(coded, lookups).filter("transaction_id = '1'").first()
     assert kept.stock_sector == "-1"
@@ -99,3 +99,26 @@ def test_split_is_reproducible_and_seeded(spark):
     assert pick(frame, 42) == pick(frame.repartition(7), 42) != pick(frame, 43)
     with pytest.raises(ValueError):
         split.mark_stream(frame, share=1.5)
+
+
+@pytest.mark.parametrize("sent", [8 << 20, 0])
+def test_coding_with_sent_and_with_salted_lookups(spark, monkeypatch, sent):
+    """A third of the rows NULL, a third one value, some unseen: both ways give the same."""
+    monkeypatch.setattr(encode, "SENT_BYTES", sent)
+    values = [None, "hot", *[f"v{i}" for i in range(40)]]
+    rows = [(i, values[i % 3] if i % 3 < 2 else values[2 + i % 40], f"s{i % 5}") for i in range(600)]
+    frame = spark.createDataFrame(rows, "transaction_id int, stock_ticker string, stock_sector string")
+    lookups = encode.fit_lookups(frame.where("stock_ticker is null or stock_ticker != 'v7'").drop("transaction_id"))
+    coded = encode.encode(frame, lookups, null_code=-1)
+    known = sorted({r[1] for r in rows} - {None, "v7"})
+    got = {r.transaction_id: (r.stock_ticker, r.stock_sector) for r in coded.collect()}
+    assert got == {i: (known.index(t) if t in known else -1, int(s[1])) for i, t, s in rows}
+    back = encode.decode(encode.encode(frame, lookups), lookups).collect()
+    assert {r.transaction_id: r.stock_ticker for r in back} == {i: "-1" if t == "v7" else t for i, t, _ in rows}
+
+
+def test_small_lookups_need_no_shuffle(spark):
+    frame = spark.range(100).select(F.concat(F.lit("t"), F.col("id") % 7).alias("stock_ticker"), F.lit(None).cast("string").alias("stock_sector"))
+    lookups = encode.fit_lookups(frame)
+    plan = encode.encode(frame, lookups)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

@@ -13,6 +13,10 @@ from tradeloom.sources.lookups import Lookups
 from tradeloom.sources.scratch import fresh_path
 
 UNSEEN = -1
+# Bytes of a lookup's values and codes that are sent to every task at most.
+SENT_BYTES = 8 << 20
+# Parts a frequent value is dealt into where its lookup is larger.
+SALTS = 16
 
 
 def fit_labels(
@@ -49,9 +53,8 @@ def encode(
 ) -> DataFrame:
     """Values to codes: unseen values become -1, NULLs become `null_code`, flags 0/1.
 
-    Batch encoding keeps NULLs, the stream codes them as -1. Each lookup is read
-    from its own files, so Catalyst broadcasts it only if those are small; the join
-    works on streams as well.
+    Batch encoding keeps NULLs, the stream codes them as -1. Lookups of checked size are sent
+    to all tasks, so the rows are scanned once and not shuffled for them; see `_looked_up`.
     """
     out = fact
     for c in [c for c in columns if c in fact.columns]:
@@ -60,11 +63,8 @@ def encode(
             # Nothing was known when the lookups were fitted, so every value is unseen.
             out = out.withColumn(c, missing.otherwise(F.lit(UNSEEN).cast("bigint")))
             continue
-        table = lookups.of(c).select(
-            F.col("original_value").alias("_value"), F.col("encoded_value").alias("_code")
-        )
-        code = missing.otherwise(F.coalesce("_code", F.lit(UNSEEN).cast("bigint")))
-        out = out.join(table, F.col(c) == F.col("_value"), "left").withColumn(c, code).drop("_value", "_code")
+        code = missing.otherwise(F.coalesce("_found", F.lit(UNSEEN).cast("bigint")))
+        out = _looked_up(out, c, lookups, "original_value", "encoded_value").withColumn(c, code).drop("_found")
     return out.withColumns({c: _flag_code(c, null_code) for c in FLAG_COLUMNS if c in fact.columns})
 
 
@@ -72,15 +72,30 @@ def decode(encoded: DataFrame, lookups: Lookups, columns: Sequence[str] = LABEL_
     """Codes back to values; a code without a value stays, as text. Flags become booleans."""
     out = encoded
     for c in [c for c in columns if c in encoded.columns and c in lookups.columns]:
-        table = lookups.of(c).select(
-            F.col("original_value").alias("_value"), F.col("encoded_value").alias("_code")
-        )
-        value = F.coalesce("_value", F.col(c).cast("string"))
-        out = out.join(table, F.col(c) == F.col("_code"), "left").withColumn(c, value).drop("_value", "_code")
+        value = F.coalesce("_found", F.col(c).cast("string"))
+        out = _looked_up(out, c, lookups, "encoded_value", "original_value").withColumn(c, value).drop("_found")
     flags = {c: F.when(F.col(c) >= 0, F.col(c) == 1) for c in FLAG_COLUMNS if c in encoded.columns}
     return out.withColumns(flags)
 
 
+def _looked_up(frame: DataFrame, column: str, lookups: Lookups, key: str, value: str) -> DataFrame:
+    """Adds `_found`: what the column's lookup has at `value` for the column's value at `key`.
+
+    A lookup of at most SENT_BYTES goes to all tasks. A larger one is joined on the value and
+    a salt made of the whole row, each entry once per salt: neither a frequent value nor the
+    NULLs of a column, which match nothing, then meet in one task. That also holds on streams,
+    where nothing splits a skewed partition.
+    """
+    table = lookups.of(column).select(F.col(key).alias("_key"), F.col(value).alias("_found"))
+    if lookups.bytes_of(column) <= SENT_BYTES:
+        return frame.join(F.broadcast(table), F.col(column) == F.col("_key"), "left").drop("_key")
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_its_salt")
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in frame.columns]), F.lit(SALTS)).cast("int")
+    salted = table.select("_key", "_found", salts)
+    match = (F.col(column) == F.col("_key")) & (F.col("_salt") == F.col("_its_salt"))
+    return frame.withColumn("_salt", salt).join(salted, match, "left").drop("_key", "_salt", "_its_salt")
+
+
 def with_date_parts(frame: DataFrame) -> DataFrame:
     """Adds date, year, month and month_name."""
     return frame.withColumns(
@@ -93,9 +108,9 @@ def with_date_parts(frame: DataFrame) -> DataFrame:
     )
 
 
-def unseen_counts(encoded: DataFrame, columns: Sequence[str] = LABEL_COLUMNS) -> list[Column]:
-    """Counters of unseen values, for observe() or agg()."""
-    return [F.count_if(F.col(c) == UNSEEN).alias(c) for c in columns if c in encoded.columns]
+def unseen_counts(encoded: DataFrame, columns: Sequence[str] = LABEL_COLUMNS) -> dict[str, Column]:
+    """Counters of unseen values by column, for observe() or agg()."""
+    return {c: F.count_if(F.col(c) == UNSEEN) for c in columns if c in encoded.columns}
 
 
 def _entry(name: str, value: Column) -> Column:

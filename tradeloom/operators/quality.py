@@ -195,15 +195,3 @@ def profile(frame: DataFrame, common: int = 5, approximate: bool = False) -> Dat
         "min_value",
         "max_value",
     )
-
-
-def reconcile(before: DataFrame, processed: DataFrame, after: DataFrame) -> DataFrame:
-    """Row counts around an append, and whether they add up."""
-    def rows(frame: DataFrame, name: str) -> Column:
-        return frame.agg(F.count("*")).scalar().alias(name)
-
-    one = before.sparkSession.range(1, numPartitions=1)
-    counts = one.select(rows(before, "rows_before"), rows(processed, "processed"), rows(after, "rows_after"))
-    return counts.withColumn(
-        "matches", F.col("rows_after") - F.col("rows_before") == F.col("processed")
-    )

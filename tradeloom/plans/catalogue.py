@@ -15,6 +15,7 @@ from tradeloom.plans import pipelines, questions, rollups, star, templates
 from tradeloom.sources import files, scratch, sinks
 from tradeloom.sources.lookups import Lookups
 from tradeloom.streaming import jobs, messages
+from tradeloom.streaming.appends import AppendTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -640,9 +641,21 @@ def dq_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_reconcile(spark: SparkSession, sf: str) -> DataFrame:
-    """The main part, the stream part and what their append holds."""
-    main, stream = split.write_split(_trade_keys(spark, sf), scratch.fresh_path(spark, "split"))
-    return quality.reconcile(main, stream, scratch.materialize(sinks.append(main, stream), "all"))
+    """The main part, what the stream counted while it was appended, and what the table holds."""
+    main, stream = _stream_parts(spark, sf, "transaction_id", "transaction_type")
+    table = AppendTable(spark, scratch.fresh_path(spark, "audited"))
+    lookups = encode.fit_lookups(main.select("transaction_type"))
+    table.append(encode.encode(main, lookups))
+    _streamed(spark, stream, lookups, table.path)
+    loaded = F.col("stream") == "load"
+    sums = table.audit().agg(
+        F.sum(F.when(loaded, F.col("stored")).otherwise(0)).alias("rows_before"),
+        F.sum(F.when(~loaded, F.col("processed")).otherwise(0)).alias("processed"),
+        F.sum("stored").alias("rows_after"),
+        F.every("matches").alias("_parts"),
+    )
+    adds_up = F.col("rows_after") - F.col("rows_before") == F.col("processed")
+    return sums.withColumn("matches", F.col("_parts") & adds_up).drop("_parts")
 
 
 def _rounded(frame: DataFrame, *columns: str, digits: int = 8) -> DataFrame:
@@ -753,8 +766,10 @@ _STREAMED = ["transaction_id", "timestamp", "customer_id", "quantity", "stock_pr
 
 
 def _stream_parts(spark: SparkSession, sf: str, *columns: str) -> tuple[DataFrame, DataFrame]:
-    """Main part and stream part of the fact. The cut between them is located once, on the keys."""
-    return split.split_for_streaming(star.fact(spark, sf, *(columns or _STREAMED)), keys=_trade_keys(spark, sf))
+    """Main part and stream part of the fact, written in one pass. The cut between them is
+    located once, on the keys."""
+    fact = star.fact(spark, sf, *(columns or _STREAMED))
+    return split.write_split(fact, scratch.fresh_path(spark, "split"), keys=_trade_keys(spark, sf))
 
 
 def st_produce(spark: SparkSession, sf: str) -> DataFrame:
@@ -771,14 +786,12 @@ def st_produce(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _streamed(spark: SparkSession, stream: DataFrame, lookups: Lookups, table: str) -> tuple[str, str]:
-    """Publish `stream` and append it, encoded, to `table`; returns quarantine and unseen counts."""
+def _streamed(spark: SparkSession, stream: DataFrame, lookups: Lookups, table: str) -> None:
+    """Publish `stream` and append it, encoded, to `table`."""
     topic = messages.publish_files(stream, scratch.fresh_path(spark, "topic"))
-    quarantine, unseen = scratch.fresh_path(spark, "quarantine"), scratch.fresh_path(spark, "unseen")
     source = messages.subscribe_files(spark, topic)
-    progress = scratch.fresh_path(spark, "progress")
-    jobs.finish([jobs.append_encoded(source, lookups, stream.schema, table, progress, quarantine, unseen)])
-    return quarantine, unseen
+    progress, quarantine = scratch.fresh_path(spark, "progress"), scratch.fresh_path(spark, "quarantine")
+    jobs.finish([jobs.append_encoded(source, lookups, stream.schema, table, progress, quarantine)])
 
 
 def _main_lookups(main: DataFrame) -> Lookups:
@@ -833,40 +846,35 @@ def st_bad_record(spark: SparkSession, sf: str) -> DataFrame:
     events.withColumn("value", whole).select(F.when(failed, cut).otherwise(F.col("value")).alias("value")).write.text(topic)
     lookups = encode.fit_lookups(events.filter("transaction_type <> 'view'").select("transaction_type"))
     table, quarantine = scratch.fresh_path(spark, "good"), scratch.fresh_path(spark, "bad")
-    source = messages.subscribe_files(spark, topic)
-    progress, unseen = scratch.fresh_path(spark, "progress"), scratch.fresh_path(spark, "unseen")
-    jobs.finish([jobs.append_encoded(source, lookups, events.schema, table, progress, quarantine, unseen)])
-    good = spark.read.parquet(table).groupBy(F.col("transaction_type").alias("code")).agg(F.count("*").alias("records"))
-    bad = spark.read.text(quarantine).agg(F.count("*").alias("records")).withColumn("code", F.lit(None).cast("bigint"))
-    # The counter kept beside the stream, as a code of its own.
-    warned = spark.read.json(unseen).agg(F.sum("unseen").alias("records")).withColumn("code", F.lit(-100).cast("bigint"))
+    source, progress = messages.subscribe_files(spark, topic), scratch.fresh_path(spark, "progress")
+    jobs.finish([jobs.append_encoded(source, lookups, events.schema, table, progress, quarantine)])
+    coded = jobs.read_appended(spark, table)
+    good = coded.groupBy(F.col("transaction_type").alias("code")).agg(F.count("*").alias("records"))
+    bad = jobs.read_quarantined(spark, table).agg(F.count("*").alias("records")).withColumn("code", F.lit(None).cast("bigint"))
+    # The counter kept with the batches, as a code of its own.
+    warned = jobs.unseen(spark, table).agg(F.sum("unseen").alias("records")).withColumn("code", F.lit(-100).cast("bigint"))
     return good.unionByName(bad).unionByName(warned)
 
 
-def st_append(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
-    """The table of the encoded main part, to which the stream part is appended, and its path."""
+def st_append(spark: SparkSession, sf: str) -> AppendTable:
+    """The table of the encoded main part, to which the stream part is appended."""
     main, stream = _stream_parts(spark, sf)
-    table = scratch.fresh_path(spark, "full")
+    table = AppendTable(spark, scratch.fresh_path(spark, "full"))
     lookups = _main_lookups(main)
-    sinks.save(encode.encode(main, lookups), f"{table}/batch=-1", "parquet")
-    _streamed(spark, stream, lookups, table)
-    return jobs.read_appended(spark, table), table
+    table.append(encode.encode(main, lookups))
+    _streamed(spark, stream, lookups, table.path)
+    return table
 
 
 def st_append_counts(spark: SparkSession, sf: str) -> DataFrame:
-    appended, _ = st_append(spark, sf)
-    return appended.groupBy("stock_ticker", "transaction_type").agg(
+    return st_append(spark, sf).read().groupBy("stock_ticker", "transaction_type").agg(
         F.count("*").alias("trades"), F.sum("quantity").alias("quantity")
     )
 
 
 def st_final_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The appended files as a table of the catalog under its name, read through it."""
-    _, path = st_append(spark, sf)
-    # A table of its own over the files the stream has appended to.
-    spark.sql("drop table if exists final_stock_trades")
-    spark.catalog.createTable("final_stock_trades", path=path, source="parquet")
-    spark.catalog.recoverPartitions("final_stock_trades")
+    """The committed parts as a table of the catalog under its name, read through it."""
+    st_append(spark, sf).register("final_stock_trades")
     return spark.table("final_stock_trades").select("transaction_id", "transaction_type", "stock_sector", "quantity")
 
 

@@ -23,10 +23,21 @@ class Lookups:
         return cls(lookup.sparkSession, path)
 
     @cached_property
+    def _bytes(self) -> dict[str, int]:
+        """Size of each column's lookup in memory, about: 32 bytes an entry and its text.
+
+        There are no more columns than the fact has.
+        """
+        size = F.sum(F.octet_length("original_value") + 32).alias("size")
+        return {r.column_name: r["size"] for r in self.all().groupBy("column_name").agg(size).collect()}
+
+    @property
     def columns(self) -> list[str]:
-        """Encoded columns; there are no more of them than the fact has columns."""
-        rows = self.all().select("column_name").distinct().collect()
-        return sorted(row.column_name for row in rows)
+        """Encoded columns."""
+        return sorted(self._bytes)
+
+    def bytes_of(self, column: str) -> int:
+        return self._bytes[column]
 
     def all(self) -> DataFrame:
         return self.spark.read.schema(LOOKUP).parquet(self.path)
