@@ -350,13 +350,18 @@ def oracle_sql() -> dict[str, str]:
         # sources and sinks
         "src_csv": over_star(f"SELECT {stage} FROM trades"),
         "src_star": over_star(
-            """SELECT 'trades' AS table_name, count(*) AS row_count, CAST(sum(customer_id) AS BIGINT) AS key_sum FROM trades
-               UNION ALL SELECT 'dim_customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
-               UNION ALL SELECT 'dim_stock', count(*), CAST(sum(p_partkey) AS BIGINT) FROM part
-               UNION ALL SELECT 'dim_date', count(*), CAST(sum(CAST(strftime(d, '%Y%m%d') AS BIGINT)) AS BIGINT)
+            """SELECT 'trades' AS table_name, concat_ws('|', transaction_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S'), customer_id,
+                 stock_ticker, transaction_type, quantity, CAST(average_trade_size AS DECIMAL(18, 4)), 'null') AS row_text FROM trades
+               UNION ALL SELECT 'dim_customer', concat_ws('|', c_custkey, c_custkey, c_mktsegment) FROM customer
+               UNION ALL SELECT 'dim_stock', concat_ws('|', p_partkey, 'STK' || lpad(CAST(p_partkey AS VARCHAR), 12, '0'), p_name,
+                   CASE WHEN p_size <= 16 THEN 'Low' WHEN p_size <= 33 THEN 'Mid' ELSE 'High' END, p_type, p_brand) FROM part
+               UNION ALL SELECT 'dim_date', concat_ws('|', strftime(d, '%Y%m%d'), d, day(d), month(d), monthname(d), quarter(d), year(d),
+                   isodow(d), dayname(d), isodow(d) >= 6, strftime(d, '%m-%d') IN HOLIDAYS)
                  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
-               UNION ALL SELECT 'daily_trade_prices', count(*), CAST(sum(year(d)) AS BIGINT)
-                 FROM (SELECT DISTINCT date AS d FROM trades)"""
+               UNION ALL SELECT 'daily_trade_prices', date || '|' ||
+                   string_agg(coalesce(CAST(CAST(stock_price AS DECIMAL(18, 4)) AS VARCHAR), 'null'), '|' ORDER BY stock_ticker)
+                 FROM panel GROUP BY date""".replace("HOLIDAYS", HOLIDAYS),
+            PANEL,
         ),
         "src_csv_infer": over_star("SELECT transaction_id, customer_id, quantity, stock_price, transaction_type FROM trades"),
         "src_frame_to_spark": over_star(

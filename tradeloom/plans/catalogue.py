@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom import schemas
 from tradeloom.functions.columns import holiday_label, year_month
@@ -46,7 +47,7 @@ def src_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def src_star(spark: SparkSession, sf: str) -> DataFrame:
-    """Write the five star tables as CSV, load them typed, count each."""
+    """Write the five star tables as CSV, load them typed: every row of each, as text."""
     folder = scratch.fresh_path(spark, "star")
     spark_trades = star.fact(spark, sf, *_CSV_COLUMNS).withColumn(
         "cumulative_portfolio_value", F.lit(None).cast("double")
@@ -61,7 +62,7 @@ def src_star(spark: SparkSession, sf: str) -> DataFrame:
             F.col("p_partkey").cast("int").alias("stock_key"),
             star.ticker("p_partkey").alias("stock_ticker"),
             F.col("p_name").alias("company_name"),
-            F.lit("Mid").alias("liquidity_tier"),
+            star.liquidity_tier().alias("liquidity_tier"),
             F.col("p_type").alias("sector"),
             F.col("p_brand").alias("industry"),
         ),
@@ -87,25 +88,21 @@ def src_star(spark: SparkSession, sf: str) -> DataFrame:
     for name, table in tables.items():
         sinks.save(table, f"{folder}/{name}.csv", "csv")
     loaded = files.load_star(spark, folder, star.brands(spark, sf))
-    keys = {
-        "trades": F.col("customer_id"),
-        "dim_customer": F.col("customer_id"),
-        "dim_stock": F.col("stock_key"),
-        "dim_date": F.col("date_key"),
-        "daily_trade_prices": F.year("date"),
-    }
-    counted = [
-        loaded[name].agg(
-            F.lit(name).alias("table_name"),
-            F.count("*").alias("row_count"),
-            F.sum(key.cast("bigint")).alias("key_sum"),
-        )
-        for name, key in keys.items()
-    ]
-    out = counted[0]
-    for other in counted[1:]:
-        out = out.unionByName(other)
-    return out
+    rows = [loaded[name].select(F.lit(name).alias("table_name"), _as_text(loaded[name])) for name in tables]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _as_text(frame: DataFrame) -> Column:
+    """A row's values in the order of the columns: numbers with 4 digits, times to the second."""
+    texts = []
+    for f in frame.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DoubleType):
+            c = c.cast("decimal(18,4)")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        texts.append(F.coalesce(c.cast("string"), F.lit("null")))
+    return F.concat_ws("|", *texts).alias("row_text")
 
 
 def src_csv_infer(spark: SparkSession, sf: str) -> DataFrame:

@@ -110,11 +110,16 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def liquidity_tier() -> Column:
+    """A part's tier, by thirds of the sizes."""
     size = F.col("p_size")
+    return F.when(size <= 16, "Low").when(size <= 33, "Mid").otherwise("High")
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select(
         "p_partkey",
-        F.when(size <= 16, "Low").when(size <= 33, "Mid").otherwise("High").alias("liquidity_tier"),
+        liquidity_tier().alias("liquidity_tier"),
         F.col("p_type").alias("sector"),
         F.col("p_brand").alias("industry"),
     )
