@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -111,6 +112,38 @@ def test_profile(spark):
     assert rough == {"t": 7, "n": 5, "f": 2}
 
 
+@pytest.mark.parametrize("few", [1000, 3])
+def test_profile_equals_plain_counts(spark, monkeypatch, few):
+    """Near-unique texts, ties at the last place, a hot value, NULLs only, both zeros and NaN."""
+    monkeypatch.setattr(quality, "FEW_VALUES", few)
+    rng = random.Random(few)
+    rows = [
+        (f"id{i * 7919 % 1000:04d}" * 30, rng.choice(["x", "y", None, *"abcdefgh"]), f"p{i // 2 % 400:03d}" if i % 9 else "hot", None,
+         rng.choice([0.0, -0.0, 1.5, float("nan")]), rng.random() < 0.3)
+        for i in range(1000)
+    ]
+    rows += [("twice", None, None, None, None, None)] * 2
+    schema = "unique string, tied string, pairs string, nothing string, number double, flag boolean"
+    got = {r.column_name: r for r in quality.profile(spark.createDataFrame(rows, schema)).collect()}
+    for i, name in enumerate(["unique", "tied", "pairs", "nothing", "number", "flag"]):
+        values = [r[i] for r in rows if r[i] is not None]
+        assert got[name].row_count == 1002 and got[name].null_count == 1002 - len(values)
+        if name == "number":
+            assert got[name].unique_values == 3
+            continue
+        counts = Counter(str(v).lower() if name == "flag" else v for v in values)
+        assert got[name].unique_values == len(counts)
+        want = [v for v, _ in sorted(counts.items(), key=lambda e: (-e[1], e[0]))[:5]]
+        assert got[name].common_values == ("|".join(want) if want else None)
+
+
+def test_profile_shuffles_hashes_not_texts(spark):
+    wide = spark.range(2000).select(F.repeat(F.col("id").cast("string"), 200).alias("text"))
+    hashed = quality._hashed(wide, ["text"])
+    assert hashed.columns == ["column_name", "_a", "_b"]
+    assert quality.profile(wide).first().common_values == "|".join(sorted(str(i) * 200 for i in range(2000))[:5])
+
+
 def test_small_checks(spark):
     frame = spark.createDataFrame([(1, "x"), (1, "x"), (1, "x"), (-2, None)], "n int, s string")
     assert quality.duplicate_rows(frame).first()[0] == 2

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradeloom.operators.quantiles import exact_quantiles
+from tradeloom.sources.scratch import materialize
 
 
 def column_values(frame: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
@@ -146,27 +148,18 @@ def profile(frame: DataFrame, common: int = 5, approximate: bool = False) -> Dat
     """One row per column: row_count, unique_values, null_count; texts and flags with
     their most common values; numbers with min and max.
 
-    The table is read twice, whatever its width: once for value frequencies, once
-    for the ranges. The ranking of frequencies is cut to the top before it is
-    shuffled by column. `approximate` replaces the exact distinct count by a sketch
-    and then only ranks the texts and flags.
+    Values are counted by 128 bits of their hash, so a column of long and near-unique texts
+    is shuffled as narrowly as a number; the texts of the most common ones are looked up in a
+    further scan. `approximate` replaces the exact distinct count by a sketch and then only
+    ranks the texts and flags.
     """
     fields = frame.schema.fields
     numbers = [f.name for f in fields if _is_number(f)]
     categories = [f.name for f in fields if _is_category(f)]
     counted = categories if approximate else [f.name for f in fields]
-    frequency = (
-        column_values(frame, counted, "string").groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    )
-    place = Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
-    top = (
-        frequency.filter(F.col("value").isNotNull() & F.col("column_name").isin(categories))
-        .withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= common)
-        .groupBy("column_name")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("ranked"))
-        .select("column_name", F.array_join(F.col("ranked.value"), "|").alias("common_values"))
-    )
+    values = _hashed(frame, counted).select("column_name", *_HASH).filter(F.col("_a").isNotNull())
+    counts = materialize(values.groupBy("column_name", *_HASH).agg(F.count("*").alias("n")), "profile")
+    ranked = _most_common(frame, counts, categories, common) if categories else None
 
     def facts(f: T.StructField) -> Column:
         c = F.col(f"`{f.name}`")
@@ -184,14 +177,77 @@ def profile(frame: DataFrame, common: int = 5, approximate: bool = False) -> Dat
 
     ranges = frame.agg(F.array(*[facts(f) for f in fields]).alias("facts")).select(F.inline("facts"))
     if not approximate:
-        distinct = frequency.groupBy("column_name").agg(F.count("value").alias("unique_values"))
+        distinct = counts.groupBy("column_name").agg(F.count("*").alias("unique_values"))
         ranges = ranges.join(distinct, "column_name", "left").na.fill(0, ["unique_values"])
-    return ranges.join(top, "column_name", "left").select(
-        "column_name",
-        "row_count",
-        "unique_values",
-        "null_count",
-        "common_values",
-        "min_value",
-        "max_value",
+    if ranked is None:
+        ranges = ranges.withColumn("common_values", F.lit(None).cast("string"))
+    else:
+        ranges = ranges.join(ranked, "column_name", "left")
+    return ranges.select(
+        "column_name", "row_count", "unique_values", "null_count", "common_values", "min_value", "max_value"
     )
+
+
+_HASH = ["_a", "_b"]
+# Values of a column that are looked up by sending their hashes to all tasks at most.
+FEW_VALUES = 1000
+
+
+def _hashed(frame: DataFrame, columns: Sequence[str], text: bool = False) -> DataFrame:
+    """One row per cell: column_name, hashes of the value, NULL for NULL, and if asked its text."""
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    cells = []
+    for name in columns:
+        c = F.col(f"`{name}`")
+        if isinstance(kinds[name], (T.DoubleType, T.FloatType)):
+            c = c + F.lit(0.0)  # one zero
+        entry = [F.lit(name).alias("column_name")]
+        entry += [F.when(c.isNotNull(), h).alias(n) for n, h in zip(_HASH, (F.xxhash64(c), F.xxhash64(F.lit(1), c)))]
+        cells.append(F.struct(*entry, c.cast("string").alias("value")) if text else F.struct(*entry))
+    return frame.select(F.inline(F.array(*cells)))
+
+
+def _most_common(frame: DataFrame, counts: DataFrame, columns: Sequence[str], common: int) -> DataFrame:
+    """`column_name`, `common_values`: by count, of equally frequent ones the first by value.
+
+    The count of the last place tells which values can be among them: those above it, and
+    those that tie with it. Where these are few they are picked out of the rows; where all
+    others occur once, the first ones by value are, in tasks before they are shuffled.
+    """
+    known = counts.where(F.col("column_name").isin(list(columns)))
+    place = Window.partitionBy("column_name").orderBy(F.desc("n"))
+    last = known.withColumn("_place", F.row_number().over(place)).where(F.col("_place") <= common)
+    last = last.groupBy("column_name").agg(F.min("n").alias("_last"))
+    # One row per column.
+    ties = known.join(F.broadcast(last), "column_name").where(F.col("n") >= F.col("_last"))
+    shape = ties.groupBy("column_name", "_last").agg(F.count("*").alias("size")).collect()
+    few = [r.column_name for r in shape if r["size"] <= FEW_VALUES]
+    once = [r.column_name for r in shape if r["size"] > FEW_VALUES and r["_last"] == 1]
+    many = [r.column_name for r in shape if r["size"] > FEW_VALUES and r["_last"] > 1]
+    key = ["column_name", *_HASH]
+    found = []
+
+    def texts(names: Sequence[str]) -> DataFrame:
+        return _hashed(frame, names, text=True).where(F.col("_a").isNotNull())
+
+    if few:
+        picked = F.broadcast(ties.where(F.col("column_name").isin(few)).select(*key, "n"))
+        rows = texts(few).join(picked, key)
+        found.append(rows.groupBy(*key, "n").agg(F.min("value").alias("value")).select("column_name", "value", "n"))
+    if once:
+        above = ties.where(F.col("column_name").isin(once) & (F.col("n") > 1)).select(*key, "n")  # fewer than `common` each
+        rows = texts(once).join(F.broadcast(above), key, "left")
+        more = rows.where(F.col("n").isNotNull()).groupBy(*key, "n").agg(F.min("value").alias("value"))
+        first = F.row_number().over(Window.partitionBy("column_name").orderBy("value"))
+        single = rows.where(F.col("n").isNull()).select("column_name", "value").withColumn("_place", first)
+        found.append(more.select("column_name", "value", "n"))
+        found.append(single.where(F.col("_place") <= common).select("column_name", "value", F.lit(1).cast("bigint").alias("n")))
+    if many:
+        rows = texts(many).join(ties.where(F.col("column_name").isin(many)).select(*key, "n"), key)
+        found.append(rows.groupBy(*key, "n").agg(F.min("value").alias("value")).select("column_name", "value", "n"))
+    if not found:
+        return known.sparkSession.createDataFrame([], "column_name string, common_values string")
+    order = Window.partitionBy("column_name").orderBy(F.desc("n"), "value")
+    best = reduce(DataFrame.union, found).withColumn("place", F.row_number().over(order)).where(F.col("place") <= common)
+    listed = best.groupBy("column_name").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("ranked"))
+    return listed.select("column_name", F.array_join(F.col("ranked.value"), "|").alias("common_values"))

@@ -634,7 +634,8 @@ def dq_value_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def dq_profile(spark: SparkSession, sf: str) -> DataFrame:
     columns = ["customer_id", "stock_ticker", "transaction_type", "quantity", "total_trade_amount", "stock_sector", "stock_industry", "is_holiday"]
-    return quality.profile(star.fact(spark, sf, *columns))
+    # Read three times.
+    return quality.profile(scratch.materialize(star.fact(spark, sf, *columns), "profiled"))
 
 
 def dq_reconcile(spark: SparkSession, sf: str) -> DataFrame:
