@@ -139,6 +139,7 @@ def test_components_of_chains_stars_and_rings(spark):
     ids = {i for pair in links for i in pair if pair[0] != pair[1]}
     assert got == {i: c for i, c in reach(ids, links[:-1]).items()}
     rng = np.random.default_rng(0)
-    for n in (1, 5, 60):
-        a, b = rng.integers(0, n, n // 2), rng.integers(0, n, n // 2)
+    for n in (1, 5, 60, *[300] * 30):
+        m = int(n * rng.choice([0.4, 0.7, 1.0, 2.0]))
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
         assert local_roots(n, a, b).tolist() == list(reach(range(n), list(zip(a.tolist(), b.tolist()))).values())

@@ -37,9 +37,9 @@ def clusters(seed=0, dim=6, n=240):
     return out
 
 
-@pytest.mark.parametrize("cell, block", [(4000, 2000), (40, 2000), (30, 7)])
-def test_cells_and_blocks_equal_all_pairs(spark, monkeypatch, cell, block):
-    monkeypatch.setattr(vectors, "CELL", cell)
+@pytest.mark.parametrize("chunk, block", [(4096, 2000), (50, 2000), (30, 7)])
+def test_cells_and_blocks_equal_all_pairs(spark, monkeypatch, chunk, block):
+    monkeypatch.setattr(vectors, "CHUNK", chunk)
     monkeypatch.setattr(vectors, "BLOCK", block)
     rows = clusters()
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
@@ -47,29 +47,46 @@ def test_cells_and_blocks_equal_all_pairs(spark, monkeypatch, cell, block):
     assert got == plain(rows)
 
 
-def test_labels_whose_pivots_begin_alike(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "CELL", 40)
-    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(size)
+def test_labels_of_vectors_that_begin_alike(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "CHUNK", 40)
     rows = [(i, [0.0] * 4 + v, i % 6) for i, v, _ in clusters(seed=1, dim=3, n=900)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(2, "vec_id")
-    try:
-        spark.conf.set(size, 50)
-        got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect()}
-    finally:
-        spark.conf.set(size, before)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect()}
     assert got == plain(rows)
 
 
-def test_cells_follow_the_own_pivots():
-    pivots = {1: [[0.0] * 4 + [1.0, 0.0], [0.0] * 4 + [0.0, 1.0]], 2: [[0.0] * 4 + [0.0, 1.0], [0.0] * 4 + [1.0, 0.0]]}
-
-    def cells(labels):
-        rows = [{"label": x, "dim": 6, "rep": x, "copies": 1, "vector": pivots[1][0], "pivots": sum(pivots[x], [])} for x in labels]
-        found = next(iter(vectors.assign(0.2)([pa.RecordBatch.from_pylist(rows)]))).to_pylist()
-        return [(r["label"], r["cell"]) for r in found if r["home"]]
-
-    assert cells([1, 2]) == cells([1]) + cells([2]) == [(1, 0), (2, 1)]
+def test_pivots_grow_with_the_label_and_lie_apart(spark):
+    """From the first pair on, without a limit; none for a vector on its own."""
+    rng = np.random.default_rng(0)
+    rows = [(label * 10_000 + i, [float(x) for x in rng.normal(size=4)], label, 1) for label, n in enumerate([1, 2, 3, 200, 3000]) for i in range(n)]
+    frame = spark.createDataFrame(rows, "node long, vector array<double>, label int, copies long").withColumn("dim", F.lit(4))
+    cells = vectors.cells_of(frame, 0.2).groupBy("label").agg(
+        F.countDistinct("cell").alias("cells"), F.countDistinct("node").alias("nodes"), F.count_if("home").alias("homes"), F.count("*").alias("rows")
+    )
+    got = {r.label: r for r in cells.collect()}
+    assert {k: r.cells for k, r in got.items()} == {1: 2, 2: 2, 3: 8, 4: 12}
+    assert all(r.nodes == r.homes for r in got.values())
+    assert got[4].rows < 6 * got[4].nodes  # most cells are ruled out
+
+
+def test_cells_hold_all_neighbours():
+    """Whatever is within the radius of a vector is in its home cell."""
+    rng = np.random.default_rng(1)
+    units = vectors.unit(rng.normal(size=(400, 3)))
+    pivots = units[:9]
+    own, near = vectors.homes(units, pivots, 0.2)
+    apart = np.sqrt(np.maximum(2 - 2 * units @ units.T, 0))
+    for i, j in zip(*np.nonzero(apart <= 0.2)):
+        assert near[j, own[i]]
+    assert near.sum() < near.size / 2
+
+
+def test_repeated_ids_of_different_vectors(spark):
+    """Counts belong to rows, not to ids, and labels do not mix."""
+    rows = [(1, "a", [1.0, 0.0]), (1, "a", [0.0, 1.0]), (2, "a", [1.0, 0.001]), (3, "a", [0.001, 1.0]), (1, "b", [1.0, 0.0]), (7, "b", [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_duplicates(frame).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (7, 1, 1)]
 
 
 def test_query_equals_all_pairs(spark):

@@ -14,12 +14,8 @@ def local_roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest node that each of n nodes reaches over the links (a, b)."""
     root = np.arange(n)
     while len(a):
-        low = np.minimum(root[a], root[b])
-        before = root.copy()
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        np.minimum.at(root, before[a], low)
-        np.minimum.at(root, before[b], low)
+        # Roots only are moved, each below the lowest root it is linked with.
+        np.minimum.at(root, np.maximum(root[a], root[b]), np.minimum(root[a], root[b]))
         while True:
             up = root[root]
             if np.array_equal(up, root):

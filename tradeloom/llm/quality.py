@@ -5,10 +5,11 @@ likelihood ratio. The expected number of good documents is summed per host and p
 host; the spread between hosts (and between paths of a host) says how strongly a site's share
 is drawn towards the level above it: path to host, host to all documents. Sites with few
 rows therefore stay near the prior of the level above. A document's score combines its own
-evidence with the odds of its path.
+evidence with the odds of its path as the other documents have it: what it adds to its site is
+taken out first, so that its evidence counts once.
 
 Null and empty texts have no evidence for quality and are rejected. Null sources form a site
-of their own. Repeated rows score alike and count for their site each time. Without labelled
+of their own, apart from empty ones. Repeated rows score alike and count for their site each time. Without labelled
 rows all evidence is 0 and every document with words is kept. An empty table gives an empty
 result; other columns are passed through.
 """
@@ -152,8 +153,8 @@ def evidence(model: Model):
 
 
 def host(source: Column) -> Column:
-    """What stands before the first slash, without a scheme."""
-    return F.lower(F.regexp_extract(F.coalesce(source, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/?#]*)", 1))
+    """What stands before the first slash, without a scheme; null for null."""
+    return F.lower(F.regexp_extract(source, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?([^/?#]*)", 1))
 
 
 def path(source: Column) -> Column:
@@ -188,8 +189,27 @@ def strength(groups: DataFrame, n: str, good: str, above: Column) -> float:
     return 1.0 / share - 1.0
 
 
-def site_posteriors(judged: DataFrame, prior: float) -> DataFrame:
-    """`host`, `path`, `odds`: a row per path of a host, with the log odds of its share.
+@dataclass
+class Sites:
+    """`table`: host, path, n, good, host_n, host_good; the share of all documents, and how many
+    rows it counts for in a host and the host's share in a path."""
+
+    table: DataFrame
+    overall: float
+    between_hosts: float
+    between_paths: float
+
+    def odds(self, site: Column, own: Column, rows: int = 1) -> Column:
+        """Log odds of a site's share without `rows` rows that add `own` to it."""
+        host_share = (site["host_good"] - own + self.overall * self.between_hosts) / (
+            site["host_n"] - rows + self.between_hosts
+        )
+        share = (site["good"] - own + host_share * self.between_paths) / (site["n"] - rows + self.between_paths)
+        return logit(F.least(F.greatest(share, F.lit(1e-3)), F.lit(1 - 1e-3)))
+
+
+def site_posteriors(judged: DataFrame, prior: float) -> Sites:
+    """What the sites of the documents say.
 
     judged: host, path, evidence, one row per document with words. Rows are summed before
     they are shuffled, so a hot host costs no more than another.
@@ -198,20 +218,16 @@ def site_posteriors(judged: DataFrame, prior: float) -> DataFrame:
     paths = materialize(
         judged.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum(p).alias("good")), "quality-paths"
     )
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
+    hosts = paths.groupBy(F.col("host").alias("_host")).agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
+    table = paths.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
     total = paths.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     if not total["n"]:
-        return paths.select("host", "path", F.lit(0.0).alias("odds"))
+        return Sites(table, 0.5, 1.0, 1.0)
     overall = min(max(total["good"] / total["n"], 1e-3), 1 - 1e-3)
     between_hosts = strength(hosts, "host_n", "host_good", F.lit(overall))
-    hosts = hosts.withColumn(
-        "host_share", (F.col("host_good") + overall * between_hosts) / (F.col("host_n") + between_hosts)
-    )
-    joined = paths.join(hosts, "host")
-    between_paths = strength(joined, "n", "good", F.col("host_share"))
-    share = (F.col("good") + F.col("host_share") * between_paths) / (F.col("n") + between_paths)
-    share = F.least(F.greatest(share, F.lit(1e-3)), F.lit(1 - 1e-3))
-    return materialize(joined.select("host", "path", logit(share).alias("odds")), "quality-sites")
+    share = (F.col("host_good") + overall * between_hosts) / (F.col("host_n") + between_hosts)
+    between_paths = strength(table.withColumn("host_share", share), "n", "good", F.col("host_share"))
+    return Sites(materialize(table, "quality-sites"), overall, between_hosts, between_paths)
 
 
 def judge(docs: DataFrame, model: Model, name: str = "quality") -> DataFrame:
@@ -228,12 +244,11 @@ def judge(docs: DataFrame, model: Model, name: str = "quality") -> DataFrame:
     here, found, site = free_name(docs, "site_here"), free_name(docs, "evidence_here"), free_name(docs, "site")
     judged = docs.withColumns({here: F.struct(host(source).alias("host"), path(source).alias("path")),
                                found: evidence(model)(text)})
-    sites = sites.select(F.struct("host", "path", "odds").alias(site))
-    odds = F.coalesce(col(site).odds, F.lit(0.0))
+    table = sites.table.select(F.struct(*sites.table.columns).alias(site))
+    same = col(here).host.eqNullSafe(col(site).host) & (col(here).path == col(site).path)
+    odds = F.coalesce(sites.odds(col(site), logistic(col(found) + model.prior)), F.lit(0.0))
     score = F.coalesce(logistic(col(found) + odds), F.lit(0.0))
-    return judged.join(
-        sites, (col(here).host == col(site).host) & (col(here).path == col(site).path), "left"
-    ).select(
+    return judged.join(table, same, "left").select(
         *[col(c) for c in docs.columns],
         F.struct(col(found).alias("evidence"), odds.alias("site_odds"), score.alias("score"),
                  (score >= THRESHOLD).alias("kept")).alias(name),
