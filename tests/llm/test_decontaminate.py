@@ -96,3 +96,15 @@ def test_nulls_empty_tables_and_clashing_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
     assert dc.clean(docs, benchmark.limit(0)).count() == 6
     assert dc.clean(docs.limit(0), benchmark).count() == 0
+
+
+def test_text_ids_and_a_very_long_text(spark):
+    rng = random.Random(8)
+    passage = " ".join(f"item{k}" for k in range(40))
+    filler = [f"w{rng.randrange(5000)}" for _ in range(300_000)]
+    long = " ".join([*filler[:200_000], passage, *filler[200_000:]])
+    docs = spark.createDataFrame([(1, long), (2, " ".join(filler)), (3, passage)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("q-1", passage), ("q-2", "something else that is not there at all"), (None, passage)], "item_id string, text string")
+    got = {r.doc_id: [i.item_id for i in r["items"]] for r in dc.contaminated(docs, benchmark).collect()}
+    assert got == {1: ["q-1"], 2: [], 3: ["q-1"]}
+    assert [r.doc_id for r in dc.clean(docs, benchmark).collect()] == [2]

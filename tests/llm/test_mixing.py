@@ -48,3 +48,9 @@ def test_emitted_rows_and_clashing_columns(spark):
     assert out.columns == [*docs.columns, "_copy"]
     many = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert set(many.values()) <= {1, 2} and out.where("copy = 7 and size = 7").count() == sum(many.values())
+
+
+def test_a_very_long_text_is_counted_whole(spark):
+    docs = frame(spark, [(1, "a", "word " * 1_000_000), (2, "a", "x" * 3_000_000), (3, "b", "one")])
+    got = {r.doc_id: r.size for r in mixing.mix(docs, mixing.targets(docs), keep=["doc_id"]).select("doc_id", "mix.size").collect()}
+    assert got == {1: 1_000_000, 2: 1, 3: 1}

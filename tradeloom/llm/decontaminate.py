@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradeloom.llm.frames import col, free_name
 from tradeloom.llm.texts import Texts, Words, mix, powers, run_hashes, runs, slices
@@ -199,14 +200,19 @@ def indexes(ids: list, questions: list[str], answers: list[str], overlap: float
     return out
 
 
-FOUND = "array<struct<item_id: long, bm25: double, question: double, answer: double>>"
-ROW = pa.struct([("item_id", pa.int64()), ("bm25", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
+def found_type(kind: str) -> str:
+    return f"array<struct<item_id: {kind}, bm25: double, question: double, answer: double>>"
 
 
-def matcher(made: list[Index], overlap: float = OVERLAP):
-    """Column function of a text: the items it holds, with BM25 score and shares found."""
+def matcher(made: list[Index], overlap: float = OVERLAP, kind: str = "long"):
+    """Column function of a text: the items it holds, with BM25 score and shares found.
 
-    @F.arrow_udf(FOUND)
+    `kind` is the type of the items' ids, long or string.
+    """
+    number = pa.int64() if kind == "long" else pa.string()
+    row = pa.struct([("item_id", number), ("bm25", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())])
+
+    @F.arrow_udf(found_type(kind))
     def match(column: pa.Array) -> pa.Array:
         out: list[list[tuple]] = []
         for part in slices(pc.utf8_lower(column)):
@@ -216,7 +222,7 @@ def matcher(made: list[Index], overlap: float = OVERLAP):
                 for rows, more in zip(found, search(words, len(part), index, overlap)):
                     rows += [dict(zip(("item_id", "bm25", "question", "answer"), m)) for m in more]
             out += [sorted(rows, key=lambda r: r["item_id"]) for rows in found]
-        return pa.array(out, pa.list_(ROW))
+        return pa.array(out, pa.list_(row))
 
     return match
 
@@ -226,11 +232,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, name: str = "items", ite
                  overlap: float = OVERLAP) -> DataFrame:
     """All columns of `docs` and an array `name` of the items that a row's text holds.
 
-    `item_id` must be a whole number. Items are read in parts by a hash of their id, as many
-    as PART_BYTES asks for; rows never leave their partition.
+    Ids of items that are whole numbers are so in the result, others are text there. Items are
+    read in parts by a hash of their id, as many as PART_BYTES asks for; rows never leave their
+    partition.
     """
+    kind = "long" if isinstance(benchmark.select(col(item_id)).schema[0].dataType, T.IntegralType) else "string"
     items = benchmark.select(
-        col(item_id).cast("long").alias("item_id"), F.coalesce(col(question), F.lit("")).alias("question"),
+        col(item_id).cast(kind).alias("item_id"), F.coalesce(col(question), F.lit("")).alias("question"),
         F.coalesce(col(answer), F.lit("")).alias("answer") if answer else F.lit("").alias("answer"),
     ).where(F.col("item_id").isNotNull())
     held = items.agg(F.sum(F.octet_length("question") + F.octet_length("answer"))).first()[0] or 0
@@ -241,8 +249,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, name: str = "items", ite
         rows = mine.orderBy("item_id", "question", "answer").collect()
         if rows:
             made = indexes([r.item_id for r in rows], [r.question for r in rows], [r.answer for r in rows], overlap)
-            found.append(matcher(made, overlap)(col(text)))
-    none = F.array().cast(FOUND)
+            found.append(matcher(made, overlap, kind)(col(text)))
+    none = F.array().cast(found_type(kind))
     return docs.withColumn(name, F.coalesce(reduce(F.concat, found) if found else none, none))
 
 
