@@ -45,7 +45,7 @@ from tradeloom.sources.scratch import materialize
 
 PERCENT = 75
 SMALL = 8  # documents of a group that is compared pair by pair at once
-BLOCK = 512  # documents of a block of a larger group
+BLOCK = 4096  # documents of a block of a larger group
 PROBES = 64  # documents of other classes that one is compared with in a round
 ROUNDS = 2  # rounds of these comparisons at most
 WIDTH = 2  # a parity sketch has 2**WIDTH bits or more for each shingle, one for ranking has one
@@ -591,8 +591,8 @@ def further_classes(members: DataFrame, classes: DataFrame, sets: DataFrame, buc
         if found.isEmpty():
             break
         classes = joined(classes, found)
-    wide = sets.select("key", "n", "sketch")
-    rest = mixed_groups(members, classes, wide, buckets).groupBy(*task).applyInArrow(cross_pairs, "a long, b long")
+    # Folded sketches bound the difference too; pairs that pass are sieved by the wide ones.
+    rest = mixed_groups(members, classes, roughly, buckets).groupBy(*task).applyInArrow(cross_pairs, "a long, b long")
     found = materialize(verified(rest, sets), "parity-rest")
     return classes if found.isEmpty() else joined(classes, found)
 
