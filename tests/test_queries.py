@@ -272,6 +272,49 @@ def test_scratch_folder_is_demanded_and_shared(spark):
         scratch.shared_folder(Unset)
 
 
+class ElsewhereSession:
+    """A session whose settings name a cluster's master; its tasks run here."""
+
+    def __init__(self, spark, read=None, **settings):
+        self.conf = {"spark.master": "spark://m:7077", "spark.app.id": "x", **settings}
+        self.sparkContext, self.range, self.read = spark.sparkContext, spark.range, read or spark.read
+
+
+def test_a_path_that_all_tasks_reach_serves_a_cluster(spark, tmp_path):
+    folder = f"{tmp_path}/mounted"
+    for name in (folder, f"file://{folder}/"):
+        session = ElsewhereSession(spark, **{"spark.checkpoint.dir": name})
+        assert scratch.shared_folder(session) == name.rstrip("/")
+        assert scratch.fresh_path(session, "prices").startswith(f"{name.rstrip('/')}/tradeloom/x/prices-")
+
+
+def test_a_path_whose_rows_are_not_found_again_is_refused(spark, tmp_path):
+    class OneMachineLess:
+        def schema(self, _):
+            return self
+
+        def parquet(self, _):
+            return spark.range(1)
+
+    session = ElsewhereSession(spark, OneMachineLess(), **{"spark.checkpoint.dir": f"{tmp_path}/own"})
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="do not share"):
+            scratch.shared_folder(session)
+
+
+def test_scratch_goes_below_the_warehouse_where_nothing_else_is_named(spark):
+    class Plain:
+        conf = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "file:/w/"}
+
+    assert scratch.shared_folder(Plain) == "file:/w"
+
+    class WithContext(Plain):
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: "s3a://b/kept")
+
+    assert scratch.shared_folder(WithContext) == "s3a://b/kept"
+
+
 def test_scratch_tables_are_released(spark):
     table = scratch.materialize(spark.range(3), "gone")
     assert table.count() == 3
