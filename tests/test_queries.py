@@ -17,8 +17,10 @@ from tradeloom.functions.columns import (
     exact_avg,
     exact_sum,
     exact_sum_sql,
+    exact_totals,
     holiday_label,
     holiday_label_or_null,
+    sum_of_totals,
     sum_or_zero,
 )
 from tradeloom.operators import filters, integrate
@@ -215,6 +217,41 @@ def test_no_cross_joins(spark, name):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_sums_of_groups_join_exactly(spark):
+    """Totals of groups give the sum of all rows, not the sum of rounded sums."""
+    xs = [1e16, 1.0, -1e16, 1.0, 0.1, 1e-9, None] * 3 + [2.0**60, 0.5, -(2.0**60)]
+    rows = spark.createDataFrame([(i % 4, x) for i, x in enumerate(xs)] + [(9, None)], "k int, x double")
+    parts = rows.groupBy("k").agg(exact_totals("x").alias("t"))
+    assert parts.agg(sum_of_totals("t")).first()[0] == math.fsum(x for x in xs if x is not None)
+    assert parts.filter("k = 9").agg(sum_of_totals("t")).first()[0] is None
+
+
+def test_customers_are_hashed_and_their_first_type_is_kept(spark, monkeypatch):
+    """Several types, types without ids, unknown types, amounts and customers; no trade is sorted."""
+    rng = random.Random(5)
+    trades = [
+        (c, rng.choice([1e16, -1e16, 0.1, 2.5, None]), rng.choice([None, "A", "B", "C"] if c % 2 else [None, "A"]), f"{i:04}")
+        for i, c in enumerate(rng.choices(range(1, 40), k=600))
+    ]
+    trades += [(50, 1.0, "A", None), (50, 1.0, "B", "0700"), (51, 1.0, "A", None), (52, None, None, "0701"), (None, 1.0, "A", "0702")]
+    rng.shuffle(trades)
+    schema = "customer_id bigint, total_trade_amount double, customer_account_type string, transaction_id string"
+    plans = []
+    written = rollups.materialize
+    monkeypatch.setattr(rollups, "materialize", lambda frame, label: plans.append(plan_of(frame)) or written(frame, label))
+    got = [tuple(r) for r in rollups.customer_distribution(spark.createDataFrame(trades, schema)).collect()]
+
+    wanted = []
+    for c in {t[0] for t in trades} - {None}:
+        own = [t for t in trades if t[0] == c]
+        firsts = sorted((t[3], t[2]) for t in own if t[3] is not None and t[2] is not None)
+        total = math.fsum(t[1] for t in own if t[1] is not None)
+        wanted.append((c, total, len(own), firsts[0][1] if firsts else None))
+    assert got == sorted(wanted, key=lambda r: (-r[1], r[0]))
+    per_type = [line for line in plans[0].splitlines() if "Aggregate" in line and "_type" in line.partition("functions=")[0]]
+    assert len(per_type) >= 2 and all("HashAggregate" in line for line in per_type), plans[0]
+
+
 # --- sources and sinks ---------------------------------------------------------
 
 
