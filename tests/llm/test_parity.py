@@ -83,6 +83,31 @@ def test_nulls_repeated_ids_and_one_kept(spark):
     assert parity.near_duplicates(frame.limit(0)).collect() == [] and parity.keep_one(frame.limit(0)).collect() == []
 
 
+def test_rows_that_stay_are_not_shuffled_for_the_removal(spark, monkeypatch):
+    """Rows in no slot of a removed or repeated id pass by the joins; the others are joined by id."""
+    monkeypatch.setattr(parity, "BITMAP", 1 << 15)  # some slots hold several ids
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = [(i, f"a{i // 2} b{i // 2} c d e f") for i in range(0, 1000)] + [(i, f"u{i} v{i} w x y z") for i in range(1000, 5000)]
+        texts += [(None, "p q r s t u"), (None, None), (2000, "again a b c d e"), (2000, None)]
+        frame = spark.createDataFrame(texts, "`doc.id` long, text string").withColumn("slot_bits", F.lit(1))
+        kept = parity.keep_one(frame, "doc.id")
+        assert kept.columns == frame.columns
+        got = sorted((r[0], r.text or "") for r in kept.collect() if r[0] is not None)
+        assert got == sorted([*texts[:1000:2], *(t for t in texts[1000:5000] if t[0] != 2000), (2000, "again a b c d e")])
+        assert sorted(r.text or "" for r in kept.collect() if r[0] is None) == ["", "p q r s t u"]
+
+        ids = spark.range(0, 5000, 500).withColumnRenamed("id", "doc_id")
+        free, met = parity.parted(frame, ids, "doc.id")
+        assert "Exchange hashpartitioning" not in free._jdf.queryExecution().executedPlan().toString()
+        found = [r[0] for r in met.collect()]
+        assert set(range(0, 5000, 500)) <= set(found) and len(found) < 200
+        assert free.count() + len(found) == len(texts)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def near_group(copies, strays, seed=4):
     """One text of 300 words with two changed in each copy, and strays that share half of it."""
     rng = random.Random(seed)

@@ -25,6 +25,9 @@ passes exactly. Members of the largest class are never compared with one another
 group of near copies with a few strays is dealt out about once. Links found later join classes,
 not documents, so each search for components but the first is a small one.
 
+Removal does not shuffle the texts that stay: rows whose id is in no slot of a bitmap of the
+removed and repeated ids pass by, the others are joined by id.
+
 Equal sets are one set throughout. Texts without words link with nothing, with fewer than
 five words they are one shingle. Null ids link with nothing new; rows that share an id are
 one document. Very long texts are read whole; an empty table gives an empty result.
@@ -35,7 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.components import components
@@ -432,19 +435,45 @@ def exact(batches):
         yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
 
-def bitmap_of(ids: DataFrame) -> bytes:
-    """The bits of the slots of `doc_id`, least bit of a byte first; BITMAP bits, made by the tasks."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP)) + 1  # bits are numbered from 1
-    rows = ids.where("doc_id is not null").groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
+def slot_of(doc_id: Column) -> Column:
+    """One of BITMAP slots of an id, numbered from 1."""
+    return F.pmod(F.xxhash64(doc_id.cast("long")), F.lit(BITMAP)) + 1
+
+
+def slots_of(ids: DataFrame) -> DataFrame:
+    """`bucket`, `bits`: the slots of `doc_id`, 32768 of a bucket, least bit of a byte first."""
+    slot = slot_of(F.col("doc_id"))
+    return ids.where("doc_id is not null").groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
     )
+
+
+def bitmap_of(ids: DataFrame) -> bytes:
+    """The bits of the slots of `doc_id`, least bit of a byte first; BITMAP bits, made by the tasks."""
     out = np.zeros(BITMAP // 8, np.uint8)
-    for row in rows.collect():
+    for row in slots_of(ids).collect():
         first = (row["bucket"] - 1) * 4096  # 32768 bits of a bucket
         out[first : first + 4096] = np.frombuffer(row["bits"], np.uint8)
     return out.tobytes()
 
 
+def parted(docs: DataFrame, ids: DataFrame, doc_id: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of `docs` whose slot holds none of `ids`, and the others.
+
+    The first need not be joined with `ids`, so their texts are not shuffled for it. The slots
+    are BITMAP // 32768 rows at most, of 4 KB each, whatever the number of ids.
+    """
+    bucket, bits, known = (free_name(docs, n) for n in ("slot_bucket", "slot_bits", "slot_known"))
+    slots = materialize(slots_of(ids), "parity-slots").select(F.col("bucket").alias(bucket), F.col("bits").alias(bits))
+    slot = slot_of(col(doc_id))
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substr(F.col(bits), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    held = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    marked = docs.join(F.broadcast(slots), F.bitmap_bucket_number(slot) == F.col(bucket), "left").withColumn(known, held)
+    marked = marked.select(*[col(c) for c in docs.columns], known)
+    return marked.where(~F.col(known)).drop(known), marked.where(known).drop(known)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The distinct pairs (a, b) of keys that link.
 
@@ -657,15 +686,18 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     first by text. Rows with a null id, and texts without words, stay."""
     classes = materialize(near_duplicates(docs, doc_id, text), "parity-result")
     gone, again, place = (free_name(docs, n) for n in ("gone_id", "repeated_id", "place"))
-    removed = classes.where("component_id != doc_id").select(F.col("doc_id").alias(gone)).distinct()
-    kept = docs.join(removed, col(doc_id) == col(gone), "left_anti")
-    repeated = classes.where("doc_id is not null and n_shingles > 0").groupBy(F.col("doc_id").alias(again)).agg(
+    removed = classes.where("component_id != doc_id").select("doc_id").distinct()
+    repeated = classes.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(
         F.count("*").alias("rows")
-    ).where("rows > 1").select(again)
+    ).where("rows > 1").select("doc_id")
+    # Most rows are in no slot of an id to look at and stay as they are.
+    others, rows = parted(docs, removed.union(repeated), doc_id)
+    kept = rows.join(removed.withColumnRenamed("doc_id", gone), col(doc_id) == col(gone), "left_anti")
     if repeated.isEmpty():
-        return kept
+        return others.union(kept)
+    repeated = repeated.withColumnRenamed("doc_id", again)
     first = Window.partitionBy(col(doc_id)).orderBy(F.col(text).asc_nulls_last())
-    return kept.join(repeated, col(doc_id) == col(again), "left_anti").union(
+    return others.union(kept.join(repeated, col(doc_id) == col(again), "left_anti")).union(
         kept.join(repeated, col(doc_id) == col(again), "left_semi")
         .withColumn(place, F.row_number().over(first)).where(col(place) == 1).drop(place)
     )
