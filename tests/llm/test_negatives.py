@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tradeloom.llm import negatives
@@ -120,3 +121,51 @@ def test_bounds_hold_and_prune():
     for j in range(5):
         kth = np.sort(scores[:, j])[-5]
         assert (upper[:, j] >= kth).mean() < 0.5
+
+
+class Counted(np.ndarray):
+    """Rows whose matrix products are counted."""
+
+    products = 0
+
+    def __matmul__(self, other):
+        Counted.products += 1
+        return np.asarray(self) @ np.asarray(other)
+
+    def __rmatmul__(self, other):
+        Counted.products += 1
+        return np.asarray(other) @ np.asarray(self)
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_queries_share_products_where_boxes_exclude_nothing(monkeypatch, same):
+    """Directions spread over 64 coordinates: every query meets nearly every page."""
+    rng = np.random.default_rng(5)
+    rows = np.floor(rng.normal(size=(4000, 64)) * 256)
+    labels = rng.integers(3, size=len(rows))
+    pages = negatives.tiles(rows)
+    parts = [[x[p].astype(kind).tobytes() for p in pages] for x, kind in ((np.arange(4000), "<i8"), (labels, "<i8"), (rows, "<f8"))]
+    batch = pa.RecordBatch.from_arrays([pa.array([64] * len(pages), pa.int32()), *map(pa.array, parts)], schema=negatives.PAGES)
+    # Five windows of each of 40 anchors.
+    asked = [(key, low) for key in range(40) for low in (-(1 << 40), 0, 100_000, 200_000, 1 << 40)]
+    own = np.array([key * 100 for key, _ in asked])
+    table = pa.table({
+        "key": [key for key, _ in asked], "vec_id": own, "label": labels[own], "dim": [64] * len(asked),
+        "vector": [rows[i] for i in own], "low": [low for _, low in asked], "high": [low + (1 << 41) for _, low in asked],
+    })
+
+    class Sent:
+        value = negatives.grouped(table, same, 5)
+
+    exact_with = negatives.Tree.exact_with
+    monkeypatch.setattr(negatives.Tree, "exact_with", lambda t, q: (lambda r, v: (r.view(Counted), v))(*exact_with(t, q)))
+    Counted.products = 0
+    found = pa.Table.from_batches(negatives.searcher(Sent)(iter([batch]))).to_pylist()
+    want = []
+    for (key, low), i in zip(asked, own):
+        scores = (rows @ rows[i]).astype(int)
+        good = [j for j in range(4000) if scores[j] >= low and (labels[j] == labels[i]) == same and not (same and j == i)]
+        want += [(key, low, scores[j], j) for j in sorted(good, key=lambda j: (-scores[j], j))[:5]]
+    assert sorted((f["key"], f["low"], f["score"], f["found_id"]) for f in found) == sorted(want)
+    # A product per query and page would be about 200 * 63.
+    assert Counted.products < 200

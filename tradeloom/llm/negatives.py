@@ -5,9 +5,11 @@ R-trees by sort, tile, recurse: slabs along the coordinate that spreads most are
 partitioning, tasks tile a slab along the further coordinates into pages of PAGE rows, which are
 written once; a task that reads pages builds the upper levels over them. A box gives each
 coordinate an interval, and so bounds the inner product with a query from both sides. A
-best-first queue opens boxes by upper bound and leaves out boxes outside the query's window of
-scores and those strictly below the kth score found. Each task returns its k best rows of a
-query; the k best of these are the answer.
+best-first queue per query opens boxes of FAN pages by upper bound, in turns of one, two, four
+boxes and so on, and leaves out boxes and pages outside the query's window of scores and those
+strictly below the kth score found. What the queries of a turn open in a box is scored by one
+matrix product, once for all windows of an anchor. Each task returns its k best rows of a query;
+the k best of these are the answer.
 
 Queries are dealt into parts of QUERY_BYTES, each of which is sent to all tasks in turn, so
 that neither the driver nor a task holds more than a part, a batch of pages and k rows a query.
@@ -21,7 +23,6 @@ label. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,9 +38,10 @@ from tradeloom.sources.scratch import materialize
 UNIT = 256  # units per 1 of a component
 PAGE, FAN = 64, 16  # rows of a page, boxes of a box
 QUERY_BYTES = 32 << 20
-QUERIES_AT_ONCE = 512
+QUERIES_AT_ONCE = 1024
 LONGEST = float(1 << 62)  # square of the longest vector, in units
 EVERYTHING = (np.iinfo(np.int64).min, np.iinfo(np.int64).max)
+NOTHING = EVERYTHING[0]  # below all scores
 
 
 def usable_rows(vectors: DataFrame) -> DataFrame:
@@ -146,82 +148,147 @@ class Tree:
         In each coordinate the product lies between those with the box's two ends. Bounds are
         widened by what rounding may have taken from large ones.
         """
+        for level in range(len(self.levels)):
+            yield self.bounds_of(level, slice(None), queries)
+
+    def bounds_of(self, level: int, boxes: np.ndarray | slice, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bounds of some boxes of a level."""
+        low, high = (side[boxes] for side in self.levels[level])
         up, down = np.maximum(queries, 0).T, np.minimum(queries, 0).T
-        for low, high in self.levels:
-            spare = (np.maximum(np.abs(low), np.abs(high)) @ np.abs(queries).T) * 1e-12
-            spare = np.where(spare < 1e-2, 0.0, spare)  # sums of whole numbers this small are exact
-            yield low @ up + high @ down - spare, high @ up + low @ down + spare
+        spare = (np.maximum(np.abs(low), np.abs(high)) @ np.abs(queries).T) * 1e-12
+        spare = np.where(spare < 1e-2, 0.0, spare)  # sums of whole numbers this small are exact
+        return low @ up + high @ down - spare, high @ up + low @ down + spare
+
+    def below(self, level: int, boxes: np.ndarray) -> np.ndarray:
+        """The boxes of the next lower level that lie in some boxes of a level."""
+        inside = (boxes[:, None] * FAN + np.arange(FAN)).ravel()
+        return inside[inside < len(self.levels[level - 1][0])]
+
+    def rows_of(self, pages: np.ndarray) -> np.ndarray | slice:
+        """The places of the pages' rows; ascending pages without a gap are one slice."""
+        if pages[-1] - pages[0] == len(pages) - 1:
+            return slice(self.first[pages[0]], self.first[pages[-1] + 1])
+        return np.concatenate([np.arange(self.first[p], self.first[p + 1]) for p in pages])
 
 
 @dataclass
 class Queries:
-    """Queries of one dimension: the k best rows with scores from low to high, of the label or of all others."""
+    """Queries of one dimension: the k best rows with scores from low to high, of the label or of all others.
+
+    Queries of one key have one vector and lie side by side.
+    """
 
     key: np.ndarray
     own: np.ndarray  # id not to be returned for a query of its own label
     label: np.ndarray
-    vectors: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    of: np.ndarray  # vector of each query, ascending
+    vectors: np.ndarray
     same: bool
     k: int
 
 
-Best = list[tuple[int, int, int]]  # minus score, id, label; best first
-
+@dataclass
+class Best:
+    """The k best rows of each query so far, best first; NOTHING is the score of a free place."""
 
-def best_first(tree: Tree, rows: np.ndarray, q: np.ndarray, bounds: list, wanted: np.ndarray,
-               low: int, high: int, k: int, best: Best) -> Best:
-    """The k best of `best` and the tree's `wanted` rows whose scores lie from low to high.
+    score: np.ndarray
+    found: np.ndarray
+    label: np.ndarray
 
-    `bounds` holds the lower and upper bounds of the inner products of each level's boxes.
-    """
-    def open_boxes(level: int, a: int, b: int) -> Iterator[tuple]:
-        lower, upper = bounds[level]
-        least = max(low, -best[-1][0]) if len(best) == k else low
-        for i in np.flatnonzero((upper[a:b] >= least) & (lower[a:b] <= high)) + a:
-            yield (-upper[i], level, i)
-
-    top = len(tree.levels) - 1
-    queue = list(open_boxes(top, 0, len(tree.levels[top][0])))
-    heapq.heapify(queue)
-    while queue:
-        minus, level, i = heapq.heappop(queue)
-        if len(best) == k and minus > best[-1][0]:
-            break  # all boxes left are strictly below the kth score
-        if level:
-            for box in open_boxes(level - 1, i * FAN, (i + 1) * FAN):
-                heapq.heappush(queue, box)
-            continue
-        a, b = tree.first[i], tree.first[i + 1]
-        scores = rows[a:b] @ q
-        good = wanted[a:b] & (scores >= low) & (scores <= high)
-        if len(best) == k:
-            good &= scores >= -best[-1][0]
-        some = np.flatnonzero(good)
-        if len(some):
-            more = [(-int(scores[j]), int(tree.ids[a + j]), int(tree.labels[a + j])) for j in some]
-            best = heapq.nsmallest(k, best + more)
-    return best
-
-
-def answer(tree: Tree, queries: Queries, best: list[Best]) -> None:
+    @classmethod
+    def of(cls, queries: Queries) -> Best:
+        shape = (len(queries.key), queries.k)
+        return cls(np.full(shape, NOTHING), np.zeros(shape, np.int64), np.zeros(shape, np.int64))
+
+    def least(self, queries: Queries, some: np.ndarray) -> np.ndarray:
+        """The score a row needs at least to be among the best of some queries."""
+        return np.maximum(queries.low[some], self.score[some, -1])
+
+    def take(self, of: np.ndarray, score: np.ndarray, found: np.ndarray, label: np.ndarray) -> None:
+        """Put each row in its place among the best rows of its query."""
+        places = (self.score, self.found, self.label)
+        touched = np.unique(of)
+        held, at = np.nonzero(self.score[touched] > NOTHING)
+        of = np.concatenate([of, touched[held]])
+        rows = [np.concatenate([new, old[touched[held], at]]) for new, old in zip((score, found, label), places)]
+        order = np.lexsort((rows[2], rows[1], -rows[0], of))
+        of = of[order]
+        rank = np.arange(len(of)) - np.searchsorted(of, of)
+        kept = rank < self.score.shape[1]
+        self.score[touched] = NOTHING
+        for new, old in zip(rows, places):
+            old[of[kept], rank[kept]] = new[order][kept]
+
+
+def best_first(tree: Tree, queries: Queries, some: np.ndarray, best: Best) -> None:
+    """Bring the best rows of `some` queries, which lie side by side, up to date with the tree's."""
+    of = queries.of[some] - queries.of[some[0]]
+    rows, vectors = tree.exact_with(queries.vectors[queries.of[some[0]] : queries.of[some[-1]] + 1])
+    high, least = queries.high[some], best.least(queries, some)
+    level = len(tree.levels) - 1
+    boxes = np.arange(len(tree.levels[level][0]))
+    while True:
+        lower, upper = (side[:, of] for side in tree.bounds_of(level, boxes, vectors))
+        wanted = (upper >= least) & (lower <= high)
+        if level <= 1:
+            break
+        boxes = tree.below(level, boxes[wanted.any(axis=1)])
+        level -= 1
+    queue = np.argsort(np.where(wanted, -upper, np.inf), axis=0, kind="stable")
+    length = wanted.sum(axis=0)
+    start, turn = 0, 1
+    while start < length.max(initial=0):
+        next_ones = queue[start : start + turn]
+        _, query = np.nonzero(start + np.arange(len(next_ones))[:, None] < length)
+        box = next_ones[start + np.arange(len(next_ones))[:, None] < length]
+        by_box = np.argsort(box, kind="stable")
+        for group in np.split(by_box, np.flatnonzero(np.diff(box[by_box])) + 1):
+            i, mine = box[group[0]], query[group]
+            # Boxes strictly below the kth score found are left out.
+            mine = mine[upper[i, mine] >= best.least(queries, some[mine])]
+            if len(mine):
+                pages = tree.below(1, boxes[i : i + 1]) if level else boxes[i : i + 1]
+                open_box(tree, rows, vectors, pages, queries, some[mine], of[mine], best)
+        start, turn = start + turn, 2 * turn
+
+
+def open_box(tree: Tree, rows: np.ndarray, vectors: np.ndarray, pages: np.ndarray,
+             queries: Queries, mine: np.ndarray, of: np.ndarray, best: Best) -> None:
+    """Score the rows of a box's pages for the queries `mine`, whose vectors are `vectors[of]`."""
+    least, high, k = best.least(queries, mine), queries.high[mine], queries.k
+    asked, of = np.unique(of, return_inverse=True)
+    lower, upper = (side[:, of] for side in tree.bounds_of(0, pages, vectors[asked]))
+    pages = pages[((upper >= least) & (lower <= high)).any(axis=1)]
+    if not len(pages):
+        return
+    at = tree.rows_of(pages)
+    ids, labels = tree.ids[at], tree.labels[at]
+    scores = (vectors[asked] @ rows[at].T)[of]
+    good = (scores >= least[:, None]) & (scores <= high[:, None])
+    if len(ids) > k and np.count_nonzero(good) > 8 * k * len(mine):
+        # Of many rows only those that are among the k best here, with all that tie with the last.
+        good &= (labels == queries.label[mine][:, None]) == queries.same
+        if queries.same:
+            good &= ids != queries.own[mine][:, None]
+        kth = np.partition(np.where(good, scores, scores.dtype.type(NOTHING)), len(ids) - k, axis=1)[:, len(ids) - k]
+        good &= scores >= kth[:, None]
+    query, row = np.nonzero(good)
+    score, found, label = scores[query, row].astype(np.int64), ids[row], labels[row]
+    query = mine[query]
+    kept = (label == queries.label[query]) == queries.same
+    if queries.same:
+        kept &= found != queries.own[query]
+    kept &= (score > best.score[query, -1]) | (found <= best.found[query, -1])
+    if kept.any():
+        best.take(query[kept], score[kept], found[kept], label[kept])
+
+
+def answer(tree: Tree, queries: Queries, best: Best) -> None:
     """Bring the best rows of each query up to date with the tree's."""
-    wanted_of: dict[int, np.ndarray] = {}
     for start in range(0, len(queries.key), QUERIES_AT_ONCE):
-        some = slice(start, start + QUERIES_AT_ONCE)
-        rows, vectors = tree.exact_with(queries.vectors[some])
-        levels = list(tree.bounds(queries.vectors[some]))
-        for j, q in enumerate(vectors):
-            i = start + j
-            label = int(queries.label[i])
-            if label not in wanted_of:
-                wanted_of[label] = (tree.labels == label) == queries.same
-            wanted = wanted_of[label]
-            if queries.same:
-                wanted = wanted & (tree.ids != queries.own[i])
-            bounds = [(lower[:, j], upper[:, j]) for lower, upper in levels]
-            best[i] = best_first(tree, rows, q, bounds, wanted, int(queries.low[i]), int(queries.high[i]), queries.k, best[i])
+        best_first(tree, queries, np.arange(start, min(start + QUERIES_AT_ONCE, len(queries.key))), best)
 
 
 def search(pages: DataFrame, asked: DataFrame, same: bool, k: int) -> DataFrame:
@@ -249,10 +316,11 @@ def grouped(asked: pa.Table, same: bool, k: int) -> dict[int, Queries]:
     dims = asked["dim"].to_numpy()
     out = {}
     for dim in np.unique(dims):
-        mine = asked.take(pa.array(np.flatnonzero(dims == dim)))
-        vectors = mine["vector"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
-        columns = (mine[c].to_numpy() for c in ("key", "vec_id", "label"))
-        out[int(dim)] = Queries(*columns, vectors, mine["low"].to_numpy(), mine["high"].to_numpy(), same, k)
+        mine = asked.take(pa.array(np.flatnonzero(dims == dim))).sort_by("key")
+        _, first, of = np.unique(mine["key"].to_numpy(), return_index=True, return_inverse=True)
+        vectors = mine["vector"].take(pa.array(first)).combine_chunks().flatten().to_numpy().reshape(-1, dim)
+        columns = (mine[c].to_numpy() for c in ("key", "vec_id", "label", "low", "high"))
+        out[int(dim)] = Queries(*columns, of, vectors, same, k)
     return out
 
 
@@ -262,7 +330,7 @@ FOUND = pa.schema([(c, pa.int64()) for c in ("key", "low", "high", "score", "fou
 def searcher(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked: dict[int, Queries] = sent.value
-        best: dict[int, list[Best]] = {dim: [[] for _ in q.key] for dim, q in asked.items()}
+        best = {dim: Best.of(q) for dim, q in asked.items()}
         for batch in batches:
             pages = batch.to_pydict()
             for dim in sorted(set(pages["dim"]) & set(asked)):
@@ -270,11 +338,9 @@ def searcher(sent):
                 tree = Tree.over(dim, *([pages[c][i] for i in here] for c in ("ids", "labels", "vectors")))
                 answer(tree, asked[dim], best[dim])
         for dim, q in asked.items():
-            rows = np.array(
-                [(i, -minus, found, label) for i, some in enumerate(best[dim]) for minus, found, label in some], dtype=np.int64
-            ).reshape(-1, 4)
-            of = rows[:, 0]
-            columns = (q.key[of], q.low[of], q.high[of], rows[:, 1], rows[:, 2], rows[:, 3])
+            of, place = np.nonzero(best[dim].score > NOTHING)
+            rows = (side[of, place] for side in (best[dim].score, best[dim].found, best[dim].label))
+            columns = (q.key[of], q.low[of], q.high[of], *rows)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=FOUND)
         trim()
 
