@@ -305,8 +305,10 @@ def inference(body: str, *more: str, rounds: int = 25) -> str:
 
 def profile() -> str:
     columns = {
-        "customer_id": "number", "stock_ticker": "text", "transaction_type": "text", "quantity": "number",
-        "total_trade_amount": "number", "stock_sector": "text", "stock_industry": "text", "is_holiday": "text",
+        "transaction_id": "text", "timestamp": "time", "customer_id": "number", "stock_ticker": "text", "transaction_type": "text",
+        "quantity": "number", "average_trade_size": "number", "stock_price": "number", "total_trade_amount": "number",
+        "customer_account_type": "text", "day_name": "text", "is_weekend": "text", "is_holiday": "text",
+        "stock_liquidity_tier": "text", "stock_sector": "text", "stock_industry": "text",
     }
     parts = []
     for c, kind in columns.items():

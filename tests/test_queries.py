@@ -4,6 +4,7 @@ import datetime as dt
 import glob
 import math
 import random
+from collections import Counter
 
 import duckdb
 import pandas as pd
@@ -468,6 +469,17 @@ def test_query_equals_sql(spark, sql, name):
     assert verdict.startswith("ok"), verdict
 
 
+def test_profile_covers_the_fact(spark):
+    """Every column of the fact, with the ids of the trades and the values they compute."""
+    got = {r.column_name: r for r in catalogue.dq_profile(spark, SMALL).collect()}
+    assert list(got) and set(got) == set(catalogue.schemas.FACT_COLUMNS)
+    fact = star.fact(spark, SMALL, "transaction_id", "stock_price").collect()
+    ids = Counter(r.transaction_id for r in fact)
+    assert got["transaction_id"].unique_values == len(ids)
+    assert got["transaction_id"].common_values == "|".join(sorted(ids, key=lambda i: (-ids[i], i))[:5])
+    assert got["stock_price"].max_value == max(r.stock_price for r in fact)
+
+
 def test_contract(spark):
     assert entry_point.oracle_sql().keys() <= entry_point.queries().keys()
     assert entry_point.entry(spark).columns == list(catalogue.schemas.FACT_COLUMNS)
