@@ -3,7 +3,9 @@
 import datetime as dt
 import glob
 import math
+import os
 import random
+import time
 from collections import Counter
 
 import duckdb
@@ -469,6 +471,48 @@ def test_query_equals_sql(spark, sql, name):
     assert verdict.startswith("ok"), verdict
 
 
+def _tables(spark):
+    return {os.path.basename(p).rpartition("-")[0] + "@" + p for p in glob.glob(f"{scratch._own_folder(spark)}/*")}
+
+
+def test_scratch_leaves_no_shuffles_and_no_spent_tables(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    known = shuffles()
+    first = scratch.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "first")
+    assert [p for p in first.inputFiles() if "/first-" in p]
+    for _ in range(100):  # removed in the background
+        if not shuffles() - known:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - known
+    before = _tables(spark)
+    second = scratch.materialize(first.where("k > 2"), "second", "zstd", spent=first)
+    assert second.count() == 4 and all(p.endswith(".zstd.parquet") for p in second.inputFiles())
+    assert {t.partition("@")[0] for t in before - _tables(spark)} == {"first"}
+
+
+def test_decode_keeps_the_coded_rows_only(spark):
+    before = _tables(spark)
+    assert catalogue.tf_decode(spark, SMALL).count() == star.fact(spark, SMALL).count()
+    assert sorted(t.partition("@")[0] for t in _tables(spark) - before) == ["coded", "lookups", "slices"]
+
+
+def test_portfolio_map_keeps_the_positions_only(spark):
+    before = _tables(spark)
+    assert catalogue.win_portfolio_map(spark, SMALL).count() == star.fact(spark, SMALL).count()
+    assert sorted(t.partition("@")[0] for t in _tables(spark) - before) == ["positions"]
+
+
+def test_inference_pipeline_drops_what_it_has_valued(spark):
+    before = _tables(spark)
+    assert catalogue.queries()["pipe_m1"](spark, SMALL).count() == star.fact(spark, SMALL).count()
+    left = [t.partition("@")[0] for t in _tables(spark) - before]
+    assert "positions" not in left and left.count("held") == 1 and left.count("slices") <= 1  # those of the quartiles
+
+
 def test_profile_covers_the_fact(spark):
     """Every column of the fact, with the ids of the trades and the values they compute."""
     got = {r.column_name: r for r in catalogue.dq_profile(spark, SMALL).collect()}
